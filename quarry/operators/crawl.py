@@ -26,7 +26,8 @@ def bfs(seeds: DataFrame, edges: DataFrame, max_depth: int = 5,
     """
     spark = seeds.sparkSession
     checkpoint_dir(spark)
-    e = edges.select(F.col(src).alias("__src"), F.col(dst).alias("__dst")).distinct()
+    # The edge list is read by every round: materialise it once.
+    e = edges.select(F.col(src).alias("__src"), F.col(dst).alias("__dst")).distinct().checkpoint()
     visited = seeds.select(F.col(node).alias("node")).distinct().withColumn("depth", F.lit(0))
     visited = visited.checkpoint()
     frontier = visited

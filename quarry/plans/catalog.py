@@ -1,3 +1,4 @@
 """Imports every catalogue module so that all keys are registered."""
 
+from . import docs_catalog  # noqa: F401
 from . import pages_catalog  # noqa: F401
