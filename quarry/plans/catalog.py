@@ -2,3 +2,4 @@
 
 from . import docs_catalog  # noqa: F401
 from . import pages_catalog  # noqa: F401
+from . import vectors_catalog  # noqa: F401
