@@ -4,3 +4,4 @@ from . import docs_catalog  # noqa: F401
 from . import pages_catalog  # noqa: F401
 from . import vectors_catalog  # noqa: F401
 from . import jobs_catalog  # noqa: F401
+from . import parse_catalog  # noqa: F401
