@@ -3,13 +3,14 @@
 The default provider is offline and reproducible: tokens are runs of
 letters/digits of the lower-cased text, each token falls in bucket
 ``md5(token)[:8] mod dim``, the bucket counts are L2-normalised.  Token
-hashing runs in the JVM; only the per-row bin count and normalisation
-(numpy, Arrow batches) run in Python.  A remote provider plugs in via
+splitting runs in the JVM; hashing (cached per distinct token), the bin
+count and the normalisation run on Arrow batches in Python.  A remote provider plugs in via
 ``embed_with`` (one client per partition, batched by Arrow).
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,25 +38,36 @@ def token_buckets(text, dim: int = EMBEDDING_DIM) -> Column:
     )
 
 
-def _bincount_udf(dim: int):
+def _hashed_udf(dim: int):
     @pandas_udf(ArrayType(DoubleType()))
-    def bincount(buckets: pd.Series) -> pd.Series:
+    def hashed(tokens: pd.Series) -> pd.Series:
+        cache: dict[str, int] = {}
         out = []
-        for b in buckets:
-            if b is None:
+        for toks in tokens:
+            if toks is None:
                 out.append(None)
                 continue
-            v = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
+            idx = np.empty(len(toks), dtype=np.int64)
+            for i, t in enumerate(toks):
+                b = cache.get(t)
+                if b is None:
+                    b = int(hashlib.md5(t.encode("utf-8")).hexdigest()[:8], 16) % dim
+                    cache[t] = b
+                idx[i] = b
+            v = np.bincount(idx, minlength=dim).astype(np.float64)
             n = np.sqrt(np.dot(v, v))
             out.append(v / n if n > 0 else v)
         return pd.Series(out)
-    return bincount
+    return hashed
 
 
 def hashed_embedding(text, dim: int = EMBEDDING_DIM) -> Column:
     """L2-normalised hashed bag-of-words vector (array<double>, length
-    ``dim``; all zeros for text without tokens; null for null text)."""
-    return _bincount_udf(dim)(token_buckets(text, dim))
+    ``dim``; all zeros for text without tokens; null for null text).
+    Tokenisation is native; the bucket of a token is
+    ``int(md5(token)[:8], 16) mod dim``, computed once per distinct token
+    of an Arrow batch."""
+    return _hashed_udf(dim)(tokens(text))
 
 
 def embed_hashed(df: DataFrame, text_col: str, dim: int = EMBEDDING_DIM,

@@ -128,45 +128,108 @@ def topk_cosine(corpus: DataFrame, queries: DataFrame, k: int = 2, id_col: str =
     )
 
 
+AC_MIN_QUERIES = 16
+
+
+def _ac_partial(qrows, order_col: str, text_col: str, brand_col: str | None):
+    """Per partition: one Aho-Corasick pass per row over the lower-cased
+    text finds every query keyword it contains; only the smallest
+    ``order`` per query leaves the partition."""
+    def run(batches):
+        import ahocorasick
+
+        auto = ahocorasick.Automaton()
+        by_kw: dict[str, list] = {}
+        match_all = []
+        for qid, kw, brand in qrows:
+            if kw == "":
+                match_all.append((qid, brand))
+            else:
+                by_kw.setdefault(kw, []).append((qid, brand))
+        for kw, qs in by_kw.items():
+            auto.add_word(kw, qs)
+        if by_kw:
+            auto.make_automaton()
+        best: dict = {}
+        for pdf in batches:
+            orders = pdf[order_col].tolist()
+            texts = pdf[text_col].tolist()
+            brands = pdf[brand_col].tolist() if brand_col else [None] * len(texts)
+            for o, t, b in zip(orders, texts, brands):
+                if t is None or o is None:
+                    continue
+                hit = list(match_all)
+                if by_kw:
+                    for _, qs in auto.iter(t.lower()):
+                        hit.extend(qs)
+                for qid, qb in hit:
+                    if brand_col and qb != b:
+                        continue
+                    cur = best.get(qid)
+                    if cur is None or o < cur[0]:
+                        best[qid] = (o, t)
+        if best:
+            yield pd.DataFrame({"query_id": list(best), "match_id": [v[0] for v in best.values()],
+                                "match": [v[1] for v in best.values()]})
+    return run
+
+
 def keyword_first_match(rows: DataFrame, queries: DataFrame, text_col: str, order_col: str,
-                        brand_col: str | None = None, max_queries: int = 10_000,
+                        brand_col: str | None = None, max_queries: int = 100_000,
                         default: str = NO_MATCH, answer_chars: int | None = None) -> DataFrame:
     """Per query (``query_id, keyword[, brand]``): the first row in
     ``order_col`` order whose text contains the keyword
     case-insensitively (``ILIKE '%kw%'`` with the keyword literal), else
     ``default``.
 
-    The query list is bounded and checked, then inlined as a literal
-    array; each row tests it in place and only matches leave the row, so
-    there is no join and no pair enumeration.  The per-query minimum is a
-    partial aggregate.
+    The query list is size-checked and shipped to every task (it is
+    small: questions, not data).  Few keywords: a literal array tested in
+    place with built-ins.  Many: one Aho-Corasick pass per row (cost
+    independent of the number of keywords).  Either way only the best
+    row per query leaves a task before the shuffle, so a keyword that
+    matches every row still moves one row per task.
     """
     n = queries.count()
     if n > max_queries:
-        raise ValueError(f"{n} keyword queries exceed the inline bound {max_queries}; split them")
-    qrows = queries.select("query_id", "keyword", *( [brand_col] if brand_col else [])).collect()
-    lit_q = F.array(*[
-        F.struct(F.lit(r["query_id"]).alias("qid"), F.lit((r["keyword"] or "").lower()).alias("kw"),
-                 F.lit(r[brand_col] if brand_col else None).cast("string").alias("brand"))
-        for r in qrows
-    ]) if qrows else F.array().cast("array<struct<qid:long,kw:string,brand:string>>")
-    low = F.lower(F.col(text_col))
-    if brand_col:
-        cond = lambda q: (q["brand"] == F.col(brand_col)) & F.contains(low, q["kw"])
+        raise ValueError(f"{n} keyword queries exceed the bound {max_queries}; split them")
+    qcols = ["query_id", "keyword"] + ([brand_col] if brand_col else [])
+    qrows = [(r["query_id"], (r["keyword"] or "").lower(), r[brand_col] if brand_col else None)
+             for r in queries.select(*qcols).collect()]
+    qid_type = queries.schema["query_id"].dataType
+    ord_type = rows.schema[order_col].dataType
+    src = rows.select(order_col, text_col, *([brand_col] if brand_col else []))
+    use_ac = len(qrows) >= AC_MIN_QUERIES
+    if use_ac:
+        try:
+            import ahocorasick  # noqa: F401
+        except ImportError:
+            use_ac = False
+    if use_ac:
+        schema = StructType([StructField("query_id", qid_type), StructField("match_id", ord_type),
+                             StructField("match", StringType())])
+        partial = src.mapInPandas(_ac_partial(qrows, order_col, text_col, brand_col), schema)
     else:
-        cond = lambda q: F.contains(low, q["kw"])
+        lit_q = F.array(*[
+            F.struct(F.lit(q).alias("qid"), F.lit(kw).alias("kw"), F.lit(b).cast("string").alias("brand"))
+            for q, kw, b in qrows
+        ]) if qrows else F.array().cast("array<struct<qid:long,kw:string,brand:string>>")
+        low = src.withColumn("__low", F.lower(F.col(text_col)))
+        if brand_col:
+            cond = lambda q: (q["brand"] == F.col(brand_col)) & F.contains(F.col("__low"), q["kw"])
+        else:
+            cond = lambda q: F.contains(F.col("__low"), q["kw"])
+        partial = low.select(F.col(order_col).alias("match_id"), F.col(text_col).alias("match"),
+                             F.explode(F.filter(lit_q, cond)).alias("q")).select(
+            F.col("q.qid").alias("query_id"), "match_id", "match")
     hits = (
-        rows.select(order_col, text_col, F.explode(F.filter(lit_q, cond)).alias("q"))
-        .groupBy(F.col("q.qid").alias("query_id"))
-        .agg(F.min_by(F.struct(F.col(order_col).alias("match_id"), F.col(text_col).alias("match")),
-                      F.col(order_col)).alias("m"))
+        partial.groupBy("query_id")
+        .agg(F.min_by(F.struct("match_id", "match"), F.col("match_id")).alias("m"))
         .select("query_id", "m.match_id", "m.match")
     )
     ans = F.col("match") if answer_chars is None else T.truncate(F.col("match"), answer_chars)
     return (
         queries.join(hits, "query_id", "left")
         .withColumn("answer", F.coalesce(ans, F.lit(default)))
-        .drop("match")
     )
 
 

@@ -58,5 +58,17 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def balanced(df):
+    """Spread a scan that yields fewer partitions than the cluster has
+    task slots (e.g. one large row group) over all slots.  Inputs with
+    enough splits - any real-size table - are returned unchanged, so this
+    adds a shuffle only where a single task would otherwise do all the
+    per-row work."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+    return balanced(spark.read.parquet(table_path(sf_dir, name)))

@@ -85,3 +85,18 @@ def test_hashed_embedding_unit_length(spark):
     df = spark.createDataFrame([("Hello hello world",), ("",)], "t string")
     vecs = [r[0] for r in EM.embed_hashed(df, "t", 16).select("embedding").collect()]
     assert abs(np.linalg.norm(vecs[0]) - 1) < 1e-12 and sum(vecs[1]) == 0
+
+
+def test_keyword_many_queries_same_as_few(spark):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(
+        ["Alpha beta", "50% OFF", "a_b c", "gamma", "beta again", "Ünïcode text"])], "o long, text string")
+    kws = ["beta", "0%", "a_b", "zzz", "", "ünï", "GAMMA"] + [f"none{i}" for i in range(13)]
+    q = spark.createDataFrame(list(enumerate(kws)), "query_id long, keyword string")
+    many = {r["query_id"]: (r["match_id"], r["answer"]) for r in RT.keyword_first_match(rows, q, "text", "o").collect()}
+    few = {}
+    for qid, kw in enumerate(kws[:7]):
+        one = spark.createDataFrame([(qid, kw)], "query_id long, keyword string")
+        few.update({r["query_id"]: (r["match_id"], r["answer"]) for r in RT.keyword_first_match(rows, one, "text", "o").collect()})
+    assert {k: many[k] for k in few} == few
+    assert few[0] == (0, "Alpha beta") and few[3] == (None, "No match") and few[4][0] == 0
+    assert few[5] == (5, "Ünïcode text") and few[6] == (3, "gamma")
