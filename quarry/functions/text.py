@@ -35,8 +35,9 @@ def _c(col) -> Column:
 
 
 def ustrip(col) -> Column:
-    """Python ``str.strip()``: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(_c(col), _STRIP_RE, "")
+    """Python ``str.strip()``: remove Unicode whitespace at both ends
+    (``btrim`` with the fixed character set; no regex)."""
+    return F.btrim(_c(col), F.lit(WHITESPACE))
 
 
 def normalize_space(col) -> Column:
@@ -69,8 +70,11 @@ def first_token(col, default: str = "unknown") -> Column:
 
 
 def word_count(col) -> Column:
-    """``len(s.split())`` (runs of non-whitespace), 0 for null."""
-    return F.coalesce(F.regexp_count(_c(col), F.lit(NON_WS_CLASS + "+")), F.lit(0))
+    """``len(s.split())`` (runs of non-whitespace), 0 for null: split the
+    trimmed text on whitespace runs (a positive character class; Java
+    matches the negated Unicode class much more slowly)."""
+    s = ustrip(col)
+    return F.when(s.isNull() | (s == F.lit("")), F.lit(0)).otherwise(F.size(F.split(s, WS_CLASS + "+")))
 
 
 def word_gate(col, limit: int = 100, blank: str = "") -> Column:

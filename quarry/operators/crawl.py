@@ -4,9 +4,9 @@ The reference follows links while fetching, up to a depth limit.  Here
 the pages are already stored; the walk is a bounded loop of
 ``frontier ⋈ edges`` joins with an anti join against everything visited,
 so a node is reached once, at its smallest depth, and cycles end.  Each
-round's new frontier is checkpointed to the shared folder
-(``spark.checkpoint.dir``) so lineage stays one round deep and a lost
-executor only recomputes one round.
+round's new frontier is written as a table in the shared checkpoint
+folder (``spark.checkpoint.dir``), so lineage stays one round deep and a
+lost executor only recomputes one round.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import materialize
 
 
 def bfs(seeds: DataFrame, edges: DataFrame, max_depth: int = 5,
@@ -24,12 +24,10 @@ def bfs(seeds: DataFrame, edges: DataFrame, max_depth: int = 5,
 
     ``seeds`` has column ``node``; ``edges`` has ``src`` and ``dst``.
     """
-    spark = seeds.sparkSession
-    checkpoint_dir(spark)
     # The edge list is read by every round: materialise it once.
-    e = edges.select(F.col(src).alias("__src"), F.col(dst).alias("__dst")).distinct().checkpoint()
-    visited = seeds.select(F.col(node).alias("node")).distinct().withColumn("depth", F.lit(0))
-    visited = visited.checkpoint()
+    e = materialize(edges.select(F.col(src).alias("__src"), F.col(dst).alias("__dst")).distinct(), "edges")
+    visited = materialize(seeds.select(F.col(node).alias("node")).distinct().withColumn("depth", F.lit(0)),
+                          "frontier")
     frontier = visited
     for d in range(1, max_depth + 1):
         nxt = (
@@ -38,7 +36,8 @@ def bfs(seeds: DataFrame, edges: DataFrame, max_depth: int = 5,
             .distinct()
             .join(visited.select("node"), "node", "left_anti")
             .withColumn("depth", F.lit(d))
-        ).checkpoint()
+        )
+        nxt = materialize(nxt, "frontier")
         if nxt.isEmpty():
             break
         # A union of checkpointed pieces: lineage stays one scan per round.

@@ -59,14 +59,13 @@ def assign_ids(df: DataFrame, order: str, start: int = 1, id_col: str = "id",
                partitions: int | None = None) -> DataFrame:
     """Dense ids ``start, start+1, ...`` following ``order`` (unique).
 
-    Range-partition and sort by ``order``, checkpoint (so the partition
-    layout is fixed), count rows per partition (one tiny row each), turn
+    Range-partition and sort by ``order``, write once to the shared
+    checkpoint folder (so the partition layout is fixed), count rows per partition (one tiny row each), turn
     the counts into offsets, and add each row's index inside its
     partition.  No single-task global window.
     """
     spark = df.sparkSession
-    from ..session import checkpoint_dir
-    checkpoint_dir(spark)
+    from ..session import materialize
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = (
         df.repartitionByRange(n, F.col(order))
@@ -74,8 +73,8 @@ def assign_ids(df: DataFrame, order: str, start: int = 1, id_col: str = "id",
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__local", F.monotonically_increasing_id()
                     - F.shiftleft(F.spark_partition_id().cast("long"), 33))
-        .checkpoint()
     )
+    laid = materialize(laid, "ids")
     counts = laid.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")

@@ -54,6 +54,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df, label: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    return the re-read table: lineage is cut, a lost executor never
+    recomputes upstream stages, and (unlike ``checkpoint()``) the input
+    is computed only once."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quarry-{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
