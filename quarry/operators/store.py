@@ -160,3 +160,28 @@ def read_current(spark: SparkSession, root: str, schema: StructType | None = Non
     version = data.decode().strip()
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(f"{root.rstrip('/')}/{version}")
+
+
+# --- B1/B2/B3: file sinks ---------------------------------------------------
+
+def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """JSON Lines, UTF-8 unescaped (the scalable feed format)."""
+    df.write.mode(mode).option("ignoreNullFields", "false").json(path)
+
+
+def write_routed(df: DataFrame, path: str, route_col: str = "route", mode: str = "overwrite") -> None:
+    """Kept and discarded items side by side: ``path/route=kept``,
+    ``path/route=discarded`` (one write, partitioned by the route)."""
+    df.write.mode(mode).partitionBy(route_col).option("ignoreNullFields", "false").json(path)
+
+
+def export_json_array(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
+    """One pretty JSON array file, for small exports only: the row count is
+    checked first, because a single array is written by a single task."""
+    n = df.count()
+    if n > max_rows:
+        raise ValueError(f"{n} rows is too many for a single JSON array; use write_jsonl")
+    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("j"))
+    body = lines.coalesce(1).agg(
+        F.concat(F.lit("[\n    "), F.array_join(F.collect_list("j"), ",\n    "), F.lit("\n]")).alias("value"))
+    body.coalesce(1).write.mode("overwrite").text(path)

@@ -100,3 +100,18 @@ def test_keyword_many_queries_same_as_few(spark):
     assert {k: many[k] for k in few} == few
     assert few[0] == (0, "Alpha beta") and few[3] == (None, "No match") and few[4][0] == 0
     assert few[5] == (5, "Ünïcode text") and few[6] == (3, "gamma")
+
+
+def test_file_sinks_round_trip(spark, workdir):
+    import json
+    import os
+    df = spark.createDataFrame([("u1", "é\nx", "kept"), ("u2", None, "discarded")],
+                               "url string, issue string, route string")
+    S.write_jsonl(df.drop("route"), f"{workdir}/jsonl")
+    assert sorted(r["url"] for r in spark.read.json(f"{workdir}/jsonl").collect()) == ["u1", "u2"]
+    S.write_routed(df, f"{workdir}/routed")
+    assert os.path.isdir(f"{workdir}/routed/route=kept") and os.path.isdir(f"{workdir}/routed/route=discarded")
+    S.export_json_array(df.drop("route"), f"{workdir}/arr")
+    part = [f for f in os.listdir(f"{workdir}/arr") if f.startswith("part-")][0]
+    data = json.load(open(f"{workdir}/arr/{part}"))
+    assert sorted(d["url"] for d in data) == ["u1", "u2"] and any(d["issue"] is None for d in data)
