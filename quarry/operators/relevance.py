@@ -12,6 +12,7 @@ verdict normalised by ``lower(trim(v)) = 'yes'``):
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -56,10 +57,12 @@ def topic_rule(df: DataFrame, text_col: str, topics: Sequence[str] = TOPICS,
 def train_model(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
                 num_features: int = 1 << 16, max_chars: int = CLASSIFIER_CHARS):
     """Fit a distributed MLlib pipeline on labelled rows."""
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import HashingTF, RegexTokenizer
 
+    from ..session import checkpoint_dir
+
     data = labelled.select(T.truncate(F.col(text_col), max_chars).alias("__text"),
                            F.col(label_col).cast("double").alias("__label"))
     pipe = Pipeline(stages=[
@@ -68,7 +71,13 @@ def train_model(labelled: DataFrame, text_col: str = "text", label_col: str = "l
         HashingTF(inputCol="__tok", outputCol="__tf", numFeatures=num_features),
         LogisticRegression(featuresCol="__tf", labelCol="__label", maxIter=20, regParam=0.01),
     ])
-    return pipe.fit(data)
+    model = pipe.fit(data)
+    # Keep the fitted model on shared storage and score with the stored
+    # copy: it is reusable by other jobs and carries no training summary
+    # (which holds the session and cannot be shipped to executors).
+    path = f"{checkpoint_dir(labelled.sparkSession).rstrip('/')}/quarry-model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return PipelineModel.load(path)
 
 
 def apply_model(model, df: DataFrame, text_col: str = "text",
