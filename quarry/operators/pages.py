@@ -139,8 +139,9 @@ def first_n_links(pages: DataFrame, n: int = 20) -> DataFrame:
 
 
 def next_page(pages: DataFrame, label: str = "next") -> DataFrame:
-    """First link (document order) whose text or aria-free label equals
-    ``label`` case-insensitively, resolved against the page URL."""
+    """First link (document order) whose text equals ``label``
+    case-insensitively, resolved against the page URL (class and
+    aria-label matches: ``parse.next_link_by_label``)."""
     base = pages if "links" in pages.columns else with_links(pages)
     hit = F.filter("links", lambda l: F.lower(F.trim(l["text"])) == F.lit(label.lower()))
     first = F.get(hit, 0)
@@ -180,3 +181,14 @@ def paragraph_rows(pages: DataFrame) -> DataFrame:
         .where(F.col("text") != "")
         .select("page_id", (F.col("pos0") + 1).alias("pos"), "text")
     )
+
+
+def first_pages(pages: DataFrame, n: int, order: str = "page_id") -> DataFrame:
+    """Page cap (test mode): the first ``n`` pages in arrival order, a
+    top-n (partial per partition, then merged), never a full sort."""
+    return pages.orderBy(order).limit(n)
+
+
+def within_depth(pages: DataFrame, max_depth: int = 5) -> DataFrame:
+    """Depth limit of the crawl."""
+    return pages.where(F.coalesce(F.col("depth"), F.lit(DEFAULT_DEPTH)) <= max_depth)

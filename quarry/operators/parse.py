@@ -277,3 +277,14 @@ def next_link_by_label(nodes: Column, label: str = "next") -> Column:
 __all__ = ["node_table", "with_nodes", "links_after_marker", "link_snippet", "extract_cards",
            "extract_results", "attr_or_text", "href_or_src", "links_and_embeds", "next_link_by_label",
            "parse_nodes"]
+
+
+def select_any(nodes: Column, *preds) -> Column:
+    """Union of several selectors over the node table: each node at most
+    once, in document order (one filter with an OR of the predicates)."""
+    def any_of(n):
+        out = F.lit(False)
+        for p in preds:
+            out = out | F.coalesce(p(n), F.lit(False))
+        return out
+    return F.filter(nodes, any_of)

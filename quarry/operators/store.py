@@ -185,3 +185,41 @@ def export_json_array(df: DataFrame, path: str, max_rows: int = 1_000_000) -> No
     body = lines.coalesce(1).agg(
         F.concat(F.lit("[\n    "), F.array_join(F.collect_list("j"), ",\n    "), F.lit("\n]")).alias("value"))
     body.coalesce(1).write.mode("overwrite").text(path)
+
+
+# --- B9: batched delivery to an external sink --------------------------------
+
+DELIVERY = "batch long, first_id string, n long, ok boolean, error string"
+
+
+def deliver(df: DataFrame, send, batch_size: int = 100, id_col: str = "id") -> DataFrame:
+    """Hand rows to ``send(list_of_dicts)`` in batches of ``batch_size``
+    inside the tasks (one client per partition, as many in flight as
+    there are partitions).  A failing batch is reported and skipped, the
+    others go through.  Returns one report row per batch; nothing is
+    collected to the driver.  ``send`` must be idempotent per id (upsert)
+    because Spark may retry a task."""
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            for start in range(0, len(pdf), batch_size):
+                chunk = pdf.iloc[start:start + batch_size]
+                recs = chunk.to_dict("records")
+                try:
+                    send(recs)
+                    ok, err = True, None
+                except Exception as e:  # noqa: BLE001 - reported, not raised
+                    ok, err = False, f"{type(e).__name__}: {e}"[:500]
+                yield pd.DataFrame({"batch": [start // batch_size], "first_id": [str(recs[0].get(id_col))],
+                                    "n": [len(recs)], "ok": [ok], "error": [err]})
+
+    return df.mapInPandas(run, DELIVERY)
+
+
+# --- E3: pairing two inputs by ordinal ----------------------------------------
+
+def zip_by_ordinal(left: DataFrame, right: DataFrame, ordinal: str = "ordinal") -> DataFrame:
+    """Pair rows of two inputs by their carried ordinal (an equi join, not
+    a positional zip); unmatched rows keep nulls on the other side."""
+    return left.join(right, ordinal, "full_outer")

@@ -26,6 +26,7 @@ from ..operators import relevance as R
 from ..operators import retrieve as RT
 from ..operators import store as S
 from ..schema import EMBEDDING_DIM, ITEM_DEFAULTS
+from ..session import materialize
 
 LANG_RE = r'(?i)<html[^>]*\slang="([^"]*)"'
 LINK_PREFIX = "Document link: "
@@ -130,8 +131,8 @@ def flow(pages: DataFrame, question: str, keyword: str, brand: str = "generic",
     stage messages as rows ``(step_no, step, message)``; the answer is
     the last one."""
     spark = pages.sparkSession
-    items = page_items(pages)
-    judged = R.topic_rule(items, "solution", topics)
+    # Every later step reads the judged items: write them once.
+    judged = materialize(R.topic_rule(page_items(pages), "solution", topics), "flow-items")
     kept = judged.where("relevant").drop("verdict", "relevant")
     loaded = kept.select(F.lit(brand).alias("brand"), "solution", "product", "issue", "url",
                          (F.col("page_id") * 100000 + F.col("pos")).alias("ordinal"))
@@ -145,8 +146,8 @@ def flow(pages: DataFrame, question: str, keyword: str, brand: str = "generic",
     kw = RT.keyword_first_match(loaded.select("ordinal", "solution"), kwq, "solution", "ordinal")
     va = vec_answer.first()
     ka = kw.first()
-    n_items = items.count()
-    n_kept = kept.count()
+    counts = judged.agg(F.count(F.lit(1)).alias("n"), F.count_if("relevant").alias("kept")).first()
+    n_items, n_kept = counts["n"], counts["kept"]
     msgs = [
         ("scrape", f"Harvested {n_items} items"),
         ("filter", f"Filtered to {n_kept} items"),

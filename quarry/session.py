@@ -77,10 +77,12 @@ def balanced(df):
     enough splits - any real-size table - are returned unchanged, so this
     adds a shuffle only where a single task would otherwise do all the
     per-row work."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
+        return df
+    return df.repartition(slots) if parts < slots else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):

@@ -115,3 +115,21 @@ def test_file_sinks_round_trip(spark, workdir):
     part = [f for f in os.listdir(f"{workdir}/arr") if f.startswith("part-")][0]
     data = json.load(open(f"{workdir}/arr/{part}"))
     assert sorted(d["url"] for d in data) == ["u1", "u2"] and any(d["issue"] is None for d in data)
+
+
+def test_deliver_reports_failed_batches(spark):
+    df = spark.range(0, 250, 1, 1).select(F.col("id").cast("string").alias("id"))
+
+    def send(recs):
+        if recs[0]["id"] == "100":
+            raise RuntimeError("service down")
+
+    rep = sorted(tuple(r) for r in S.deliver(df, send, 100).collect())
+    assert [(b, n, ok) for b, _, n, ok, _ in rep] == [(0, 100, True), (1, 100, False), (2, 50, True)]
+
+
+def test_zip_by_ordinal(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "ordinal long, item string")
+    b = spark.createDataFrame([(2, 20), (3, 30)], "ordinal long, id long")
+    got = sorted(tuple(r) for r in S.zip_by_ordinal(a, b).collect())
+    assert got == [(1, "x", None), (2, "y", 20), (3, None, 30)]

@@ -73,3 +73,16 @@ def test_bfs_terminates_on_cycles_and_limits_depth(spark):
     seeds = spark.createDataFrame([(0,)], "node long")
     got = {r["node"]: r["depth"] for r in C.bfs(seeds, edges, max_depth=5).collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5}
+
+
+def test_page_cap_depth_limit_and_selector_union(spark):
+    from quarry.operators import parse as PR
+    p = page_df(spark, [(i, "https://example.com/", HTML, 200) for i in range(8)])
+    assert [r[0] for r in P.first_pages(p, 5).select("page_id").collect()] == [0, 1, 2, 3, 4]
+    d = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "page_id long, depth int")
+    assert sorted(r[0] for r in P.within_depth(d).collect()) == [1, 3]
+    n = PR.with_nodes(p.limit(1))
+    sel = n.select(F.transform(PR.select_any(F.col("nodes"), lambda x: x["tag"] == "title",
+                                             lambda x: x["tag"] == "a", lambda x: x["tag"] == "title"),
+                               lambda x: x["tag"]).alias("t")).first()["t"]
+    assert sel == ["title", "a", "a", "a", "a", "a", "a"]
