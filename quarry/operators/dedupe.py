@@ -52,8 +52,12 @@ def dedupe_first(df: DataFrame, keys: str | Sequence[str], order: str | Sequence
 
 def flag_first(df: DataFrame, keys: str | Sequence[str], order: str,
                digest: bool = False, flag: str = "is_first") -> DataFrame:
-    """Adds a boolean ``flag``: the row is the first of its key.  The
-    first ordinal per key is a partial aggregate joined back on the key."""
+    """Adds a boolean ``flag``: the row is the first of its key.
+
+    The first ordinal per key is a partial aggregate (one row per key per
+    task); it is joined back on *key and ordinal*, so the join is
+    hash-partitioned by a unique pair and a hot key is spread over all
+    tasks instead of landing on one."""
     keys = _keys(keys)
     if digest:
         kcols = [F.sha2(F.col(k).cast("string"), 256).alias(f"__k{i}") for i, k in enumerate(keys)]
@@ -61,10 +65,10 @@ def flag_first(df: DataFrame, keys: str | Sequence[str], order: str,
         knames = [f"__k{i}" for i in range(len(keys))]
     else:
         df2, knames = df, keys
-    firsts = df2.groupBy(*knames).agg(F.min(order).alias("__first"))
+    firsts = df2.groupBy(*knames).agg(F.min(order).alias(order)).withColumn("__first", F.lit(True))
     return (
-        df2.join(firsts, knames, "left")
-        .withColumn(flag, F.coalesce(F.col(order) == F.col("__first"), F.lit(False)))
+        df2.join(firsts, knames + [order], "left")
+        .withColumn(flag, F.coalesce(F.col("__first"), F.lit(False)))
         .drop("__first", *([k for k in knames if k.startswith("__k")]))
     )
 

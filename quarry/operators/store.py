@@ -41,7 +41,9 @@ def insert_if_absent(existing: DataFrame, new: DataFrame, key: str, order: str,
     """Rows of ``new`` to insert: first per key (input order), minus keys
     already stored (the stored row wins).  Null keys never insert."""
     firsts = dedupe_first(new, key, order, digest=digest, keep_null_keys=False)
-    stored = existing.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull())
+    # Stored keys de-duplicated first (a partial aggregate), so a key that
+    # repeats in the table cannot pile up on one task of the anti join.
+    stored = existing.select(F.col(key).alias("__key")).where(F.col("__key").isNotNull()).distinct()
     return firsts.join(stored, firsts[key] == stored["__key"], "left_anti")
 
 
