@@ -1,26 +1,26 @@
 """URL column functions.
 
-``resolve_url`` follows ``urllib.parse.urljoin``.  The common shapes
-(absolute, ``//host``, ``/path``, ``?query``, ``#fragment``, plain
-relative, empty) are a native ``CASE``; only results that still carry
-dot segments (``./``, ``../``) go through a small Arrow UDF that calls
-``urljoin`` itself, and that UDF only sees those rows' values.
+``resolve_url`` follows ``urllib.parse.urljoin`` with built-ins only: a
+``CASE`` over the reference shapes (absolute, other scheme, ``//host``,
+``?query``, ``#fragment``, path), the stdlib's merge of relative paths
+(empty inner segments dropped) and a stack fold for dot segments that
+runs only on rows containing them.  No Python in the link hot path.
 """
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 SCHEME_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
+ABS_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://"
 ORIGIN_RE = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)"
 PATH_RE = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
-DOT_SEGMENT_RE = r"/\.\.?(/|$)"
+
+# The schemes for which urljoin resolves relative
+# references (the standard library's list, in its order).
+USES_RELATIVE = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp",
+                 "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
 
 
 def _c(col) -> Column:
@@ -48,46 +48,70 @@ def without_query(url) -> Column:
     return F.regexp_extract(_c(url), r"^([^?#]*)", 1)
 
 
-@pandas_udf(StringType())
-def _urljoin_udf(base: pd.Series, href: pd.Series) -> pd.Series:
-    return pd.Series(
-        [None if (b is None or h is None) else urljoin(b, h) for b, h in zip(base, href)],
-        dtype=object,
+def _remove_dots(segs: Column) -> Column:
+    """Resolve '.' and '..' segments with a stack fold (as urljoin does):
+    '..' above the root is dropped, a trailing '.' or '..' leaves a
+    trailing slash."""
+    folded = F.aggregate(
+        segs, F.array().cast("array<string>"),
+        lambda acc, seg: F.when(seg == "..", F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1))
+                                .otherwise(acc))
+        .when(seg == ".", acc)
+        .otherwise(F.concat(acc, F.array(seg))),
     )
-
-
-def resolve_url_native(base, href) -> Column:
-    """The native part of ``urljoin(base, href)`` (no dot-segment removal)."""
-    b, h = _c(base), _c(href)
-    directory = F.regexp_extract(url_path(b), r"^(.*/)", 1)
-    return (
-        F.when(h.isNull() | b.isNull(), F.lit(None).cast("string"))
-        .when(h == F.lit(""), b)
-        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), h)
-        .when(h.startswith("//"), F.concat(scheme(b), F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin(b), h))
-        .when(h.startswith("?"), F.concat(without_query(b), h))
-        .when(h.startswith("#"), F.concat(without_fragment(b), h))
-        .otherwise(
-            F.concat(origin(b), F.when(directory == "", F.lit("/")).otherwise(directory), h)
-        )
+    last = F.element_at(segs, -1)
+    folded = F.when(last.isin(".", ".."), F.concat(folded, F.array(F.lit("")))).otherwise(folded)
+    return F.array_join(folded, "/")
+
+
+def with_resolved(df, base_col: str, href_col: str, out: str = "abs_url"):
+    """Adds ``out`` = ``urllib.parse.urljoin(base, href)`` (null href stays
+    null).  Each intermediate is its own projected column, so it is
+    computed once per row and the expressions stay in whole-stage
+    codegen; only rows with dot segments run the stack fold."""
+    b, h = F.col(base_col), F.col(href_col)
+    c = F.col
+    t = (
+        df.withColumn("__u_bs", F.lower(F.regexp_extract(b, SCHEME_RE, 1)))
+        .withColumn("__u_hs", F.lower(F.regexp_extract(h, SCHEME_RE, 1)))
+        .withColumn("__u_bo", origin(b))
+        # 'scheme:rel' with the base's scheme is a relative reference.
+        .withColumn("__u_rel", F.when((c("__u_hs") != "") & ~h.rlike(ABS_RE),
+                                      F.regexp_replace(h, SCHEME_RE, "")).otherwise(h))
+        .withColumn("__u_rp", F.regexp_extract(c("__u_rel"), r"^([^?#]*)", 1))
+        .withColumn("__u_bd", F.split(F.when(b.rlike(ABS_RE), url_path(b))
+                                      .otherwise(F.regexp_extract(b, r"^([^?#]*)", 1)), "/"))
+        .withColumn("__u_bd", F.when(F.element_at(c("__u_bd"), -1) != "",
+                                     F.slice(c("__u_bd"), 1, F.size(c("__u_bd")) - 1)).otherwise(c("__u_bd")))
+        .withColumn("__u_m", F.when(c("__u_rp").startswith("/"), F.split(c("__u_rp"), "/"))
+                    .otherwise(F.concat(c("__u_bd"), F.split(c("__u_rp"), "/"))))
+        .withColumn("__u_m", F.when(~c("__u_rp").startswith("/") & (F.size(c("__u_m")) > 2),
+                                    F.concat(F.slice(c("__u_m"), 1, 1),
+                                             F.filter(F.slice(c("__u_m"), 2, F.size(c("__u_m")) - 2),
+                                                      lambda x: x != ""),
+                                             F.slice(c("__u_m"), F.size(c("__u_m")), 1)))
+                    .otherwise(c("__u_m")))
+        .withColumn("__u_j", F.when(F.array_contains(c("__u_m"), ".") | F.array_contains(c("__u_m"), ".."),
+                                    _remove_dots(c("__u_m"))).otherwise(F.array_join(c("__u_m"), "/")))
+        .withColumn("__u_j", F.when(c("__u_j") == "", F.lit("/"))
+                    .when((c("__u_bo") != "") & ~c("__u_j").startswith("/"), F.concat(F.lit("/"), c("__u_j")))
+                    .otherwise(c("__u_j")))
     )
-
-
-def resolve_url(base, href) -> Column:
-    """``urllib.parse.urljoin(base, href)``; null href stays null."""
-    b, h = _c(base), _c(href)
-    native = resolve_url_native(b, h)
-    # Shapes the CASE does not cover: dot segments, 'scheme:rel' hrefs,
-    # bases without '://'.
-    hard = (
-        url_path(native).rlike(DOT_SEGMENT_RE)
-        | (h.rlike(SCHEME_RE) & ~h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"))
-        | ~b.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://")
+    rel = c("__u_rel")
+    resolved = (
+        F.when(h.isNull(), F.lit(None).cast("string"))
+        .when(b.isNull() | (b == ""), h)
+        .when(h == "", b)
+        .when((c("__u_hs") != "") & ((c("__u_hs") != c("__u_bs")) | ~c("__u_hs").isin(*USES_RELATIVE)), h)
+        # same scheme with an authority: re-assembled with the scheme lower-cased
+        .when(h.rlike(ABS_RE), F.concat(c("__u_hs"), F.lit(":"), F.regexp_replace(h, SCHEME_RE, "")))
+        .when(rel.startswith("//") & (c("__u_bs") == ""), rel)
+        .when(rel.startswith("//"), F.concat(F.regexp_extract(b, SCHEME_RE, 1), F.lit(":"), rel))
+        .when(rel.startswith("?"), F.concat(without_query(b), rel))
+        .when(rel.startswith("#"), F.concat(without_fragment(b), rel))
+        .otherwise(F.concat(c("__u_bo"), c("__u_j"), F.regexp_extract(rel, r"^[^?#]*(.*)$", 1)))
     )
-    hard = F.coalesce(hard, F.lit(False))
-    slow = _urljoin_udf(F.when(hard, b), F.when(hard, h))
-    return F.when(hard, slow).otherwise(native)
+    return t.withColumn(out, resolved).drop(*[x for x in t.columns if x.startswith("__u_")])
 
 
 def url_stem(href, suffix: str = ".pdf") -> Column:

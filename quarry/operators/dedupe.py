@@ -24,30 +24,34 @@ def dedupe_first(df: DataFrame, keys: str | Sequence[str], order: str | Sequence
                  digest: bool = False, keep_null_keys: bool = True) -> DataFrame:
     """Keep, per key, the row with the smallest ``order`` (input order).
 
-    ``digest=True`` groups by the SHA-256 of the key text instead of the
-    text itself, which keeps long keys (whole documents) out of the
-    shuffle.  Rows whose key is null are never merged with each other;
-    they pass through unchanged (``keep_null_keys``) or are dropped.
+    One grouped ``min_by``: partial aggregation on the map side means a
+    key holding a third of all rows leaves every map task as one row.
+    ``digest=True`` groups by the SHA-256 of the key text, which keeps
+    long keys (whole documents) out of the shuffle.  Rows whose key is
+    null are never merged: they group by their own ordinal (and pass
+    through, or are dropped with ``keep_null_keys=False``).
     """
     keys, order = _keys(keys), _keys(order)
     cols = df.columns
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    keyed = df.where(~null_key)
     if digest:
         group_cols = [F.sha2(F.col(k).cast("string"), 256).alias(f"__k{i}") for i, k in enumerate(keys)]
     else:
         group_cols = [F.col(k) for k in keys]
     ordering = F.struct(*[F.col(o) for o in order]) if len(order) > 1 else F.col(order[0])
+    own_group = F.when(null_key, ordering).alias("__nk")
     firsts = (
-        keyed.groupBy(*group_cols)
+        df.groupBy(*group_cols, own_group)
         .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("__row"))
-        .select("__row.*")
     )
-    if keep_null_keys:
-        return firsts.unionByName(df.where(null_key))
-    return firsts
+    if not keep_null_keys:
+        keep = F.lit(True)
+        for k in keys:
+            keep = keep & F.col(f"__row.{k}").isNotNull()
+        firsts = firsts.where(keep)
+    return firsts.select("__row.*")
 
 
 def flag_first(df: DataFrame, keys: str | Sequence[str], order: str,

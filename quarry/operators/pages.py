@@ -85,7 +85,10 @@ def with_links(pages: DataFrame) -> DataFrame:
 def explode_links(pages: DataFrame, keep=("page_id", "url")) -> DataFrame:
     """One row per anchor: ``pos`` (1-based document order), href, text."""
     base = pages if "links" in pages.columns else with_links(pages)
-    return base.select(*keep, F.posexplode("links").alias("pos0", "link")).select(
+    # The outer form keeps the optimizer from inferring a size(links) > 0
+    # filter and pushing it (a second regex pass) below the scan.
+    return base.select(*keep, F.posexplode_outer("links").alias("pos0", "link")).where(
+        F.col("link").isNotNull()).select(
         *keep,
         (F.col("pos0") + 1).alias("pos"),
         F.col("link.href").alias("href"),
@@ -144,11 +147,8 @@ def next_page(pages: DataFrame, label: str = "next") -> DataFrame:
     aria-label matches: ``parse.next_link_by_label``)."""
     base = pages if "links" in pages.columns else with_links(pages)
     hit = F.filter("links", lambda l: F.lower(F.trim(l["text"])) == F.lit(label.lower()))
-    first = F.get(hit, 0)
-    return base.select(
-        "page_id",
-        U.resolve_url(F.col("url"), first["href"]).alias("next_url"),
-    )
+    first = base.select("page_id", "url", F.get(hit, 0)["href"].alias("__href"))
+    return U.with_resolved(first, "url", "__href", "next_url").select("page_id", "next_url")
 
 
 def pages_without_items(pages: DataFrame, keyword: str) -> DataFrame:
@@ -177,7 +177,7 @@ def paragraph_rows(pages: DataFrame) -> DataFrame:
     """One row per non-blank paragraph, ``pos`` = 1-based order among
     all paragraphs of the page."""
     return (
-        pages.select("page_id", F.posexplode(H.paragraphs("html")).alias("pos0", "text"))
+        pages.select("page_id", F.posexplode_outer(H.paragraphs("html")).alias("pos0", "text"))
         .where(F.col("text") != "")
         .select("page_id", (F.col("pos0") + 1).alias("pos"), "text")
     )

@@ -46,9 +46,10 @@ def harvest(pages: DataFrame, doc_marker: str | None = None, suffix: str = ".pdf
     links = P.explode_links(P.with_links(p), keep=("page_id", "url", "depth", "page_lang"))
     if doc_marker:
         links = links.where(P.href_contains(F.col("href"), doc_marker))
+    links = U.with_resolved(links, "url", "href", "abs_url")
     items = links.select(
         "page_id", F.col("pos").cast("long").alias("pos"),
-        U.resolve_url(F.col("url"), F.col("href")).alias("url"),
+        F.col("abs_url").alias("url"),
         T.or_default("text", default_product).alias("product"),
         T.or_default("page_lang", default_category).alias("category"),
         U.url_stem(F.col("href"), suffix).alias("issue"),

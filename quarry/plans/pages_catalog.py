@@ -146,9 +146,9 @@ def paragraph_rows(spark, sf):
 @register("resolve_url", f"""
 SELECT page_id, pos, href, {O.resolve('url', 'href')} AS abs_url FROM {EXPLODED_SQL}""")
 def resolve_url(spark, sf):
-    return P.explode_links(pages(spark, sf)).select(
-        "page_id", F.col("pos").cast("long").alias("pos"), "href",
-        U.resolve_url(F.col("url"), F.col("href")).alias("abs_url"))
+    links = P.explode_links(pages(spark, sf))
+    return U.with_resolved(links, "url", "href", "abs_url").select(
+        "page_id", F.col("pos").cast("long").alias("pos"), "href", "abs_url")
 
 
 @register("url_stem", f"""

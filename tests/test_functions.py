@@ -68,17 +68,23 @@ def test_concat_fields_keeps_separator_for_null(spark):
 
 
 HREFS = ["http://other.org/x", "//cdn.example.com/p", "/p/q", "p", "../p", "./p/../q", "?q=1",
-         "#f", "", "a/b/../../c", "../../../x", "g;x?y#s", "https:rel"]
+         "#f", "", "a/b/../../c", "../../../x", "g;x?y#s", "https:rel", "http:rel", "g//h", "g/",
+         "/a/./b/../c", "/../x", ".", "..", "./", "../", "mailto:x@example.com", "javascript:void(0)",
+         "g?y/./x", "g#s/../x", "HTTP://Upper.example.com/A", "//h2.example.com/a/../b", "a/./b/."]
 BASES = ["http://a.example.com/b/c/d;p?q#frag", "https://h.example.org", "http://h/x/",
-         "https://h.example.net/en/825?page=2&ref=x"]
+         "https://h.example.net/en/825?page=2&ref=x", "http://h.example.com/b//c/d", "relative/base",
+         "http://h.example.com/a/b/"]
 
 
 def test_resolve_url_equals_urljoin(spark):
-    pairs = [(b, h) for b in BASES for h in HREFS] + [(BASES[0], None)]
+    pairs = [(b, h) for b in BASES for h in HREFS] + [(BASES[0], None), ("", "x/y")]
     df = spark.createDataFrame(pairs, "base string, href string")
-    for r in df.select("base", "href", U.resolve_url("base", "href").alias("r")).collect():
+    bad = []
+    for r in U.with_resolved(df, "base", "href", "r").collect():
         expect = None if r["href"] is None else urljoin(r["base"], r["href"])
-        assert r["r"] == expect, (r["base"], r["href"])
+        if r["r"] != expect:
+            bad.append((r["base"], r["href"], r["r"], expect))
+    assert not bad, bad
 
 
 def test_url_stem_keeps_percent_escapes(spark):
