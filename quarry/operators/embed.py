@@ -78,8 +78,10 @@ def embed_hashed(df: DataFrame, text_col: str, dim: int = EMBEDDING_DIM,
 def embedding_long(df: DataFrame, keys, vec_col: str = "embedding", digits: int = 6) -> DataFrame:
     """Sparse long form ``(*keys, bucket, weight)`` of non-zero weights."""
     keys = [keys] if isinstance(keys, str) else list(keys)
+    # posexplode_outer: no inferred size() filter, which would make Spark
+    # evaluate the embedding UDF a second time.
     return (
-        df.select(*keys, F.posexplode(vec_col).alias("bucket", "weight"))
+        df.select(*keys, F.posexplode_outer(vec_col).alias("bucket", "weight"))
         .where(F.col("weight") != 0)
         .select(*keys, F.col("bucket").cast("long").alias("bucket"),
                 F.round("weight", digits).alias("weight"))

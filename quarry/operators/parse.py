@@ -175,7 +175,7 @@ def links_after_marker(pages: DataFrame, marker: str = "results", marker_tag: st
     p = pages if "nodes" in pages.columns else with_nodes(pages)
     m = first(F.col("nodes"), lambda n: (n["tag"] == marker_tag) & n["own_text"].contains(marker))
     after = F.filter("nodes", lambda n: (n["tag"] == "a") & (n["pos"] > m["pos"]))
-    return p.select("page_id", "url", F.explode(after).alias("n")).select(
+    return p.select("page_id", "url", F.explode_outer(after).alias("n")).where(F.col("n").isNotNull()).select(
         "page_id", F.col("n.pos").alias("pos"), attr(F.col("n"), "href").alias("href"),
         F.col("n.text").alias("text"))
 
@@ -199,8 +199,9 @@ def link_snippet(pages: DataFrame, anchor_tag: str = "a", limit: int = 1000) ->
         return T.truncate(F.array_join(parts, " "), limit)
 
     anchors = F.filter(nodes, lambda n: n["tag"] == anchor_tag)
-    return p.select("page_id", F.explode(F.transform(anchors, lambda a: F.struct(
-        a["pos"].alias("pos"), a["text"].alias("title"), snippet(a).alias("snippet")))).alias("s")).select(
+    return p.select("page_id", F.explode_outer(F.transform(anchors, lambda a: F.struct(
+        a["pos"].alias("pos"), a["text"].alias("title"), snippet(a).alias("snippet")))).alias("s")).where(
+        F.col("s").isNotNull()).select(
         "page_id", "s.pos", "s.title", "s.snippet")
 
 
@@ -208,10 +209,11 @@ def link_snippet(pages: DataFrame, anchor_tag: str = "a", limit: int = 1000) ->
 
 def extract_cards(pages: DataFrame, card_class: str = "attachment-description",
                   category_class: str = "attachment-usage", link_marker: str = ".pdf",
-                  default_product: str = "unknown product") -> tuple[DataFrame, DataFrame]:
+                  default_product: str = "unknown product") -> DataFrame:
     """Result cards: the first link containing ``link_marker`` and the
     first ``category_class`` node inside each ``card_class`` element.
-    Returns ``(cards, rejects)``; a card missing either part is a reject."""
+    One pass; ``reason`` is null for a complete card, else 'no_link' /
+    'no_category' (``split_cards`` gives the two outputs)."""
     p = pages if "nodes" in pages.columns else with_nodes(pages)
     nodes = F.col("nodes")
 
@@ -222,12 +224,18 @@ def extract_cards(pages: DataFrame, card_class: str = "attachment-description",
                         link["text"].alias("link_text"), cat["text"].alias("category"))
 
     cards = F.transform(F.filter(nodes, lambda n: has_class(n, card_class)), card)
-    ex = p.select("page_id", "url", F.explode(cards).alias("c")).select("page_id", "url", "c.*")
-    ok = F.col("href").isNotNull() & F.col("category").isNotNull()
-    good = ex.where(ok).withColumn("product", T.or_default("link_text", default_product))
-    rejects = ex.where(~ok).withColumn(
-        "reason", F.when(F.col("href").isNull(), F.lit("no_link")).otherwise(F.lit("no_category")))
-    return good, rejects
+    ex = p.select("page_id", "url", F.explode_outer(cards).alias("c")).where(F.col("c").isNotNull()) \
+        .select("page_id", "url", "c.*")
+    return (
+        ex.withColumn("reason", F.when(F.col("href").isNull(), F.lit("no_link"))
+                      .when(F.col("category").isNull(), F.lit("no_category")))
+        .withColumn("product", F.when(F.col("reason").isNull(), T.or_default("link_text", default_product)))
+    )
+
+
+def split_cards(cards: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(complete cards, rejects) of ``extract_cards`` output."""
+    return cards.where(F.col("reason").isNull()), cards.where(F.col("reason").isNotNull())
 
 
 def attr_or_text(nodes: Column, container: Column, attr_name: str, cls: str, default: str) -> Column:
@@ -261,8 +269,8 @@ def extract_results(pages: DataFrame, container_tag: str = "div", container_clas
                         F.array_join(F.filter(paras, lambda t: t != ""), " ").alias("description"),
                         attr(link, "href").alias("link"), attr(doc, "href").alias("doc_link"))
 
-    return p.select("page_id", "url", F.explode(F.transform(F.filter(nodes, is_container), result)).alias("r")) \
-        .select("page_id", "url", "r.*")
+    return p.select("page_id", "url", F.explode_outer(F.transform(F.filter(nodes, is_container), result))
+                    .alias("r")).where(F.col("r").isNotNull()).select("page_id", "url", "r.*")
 
 
 def next_link_by_label(nodes: Column, label: str = "next") -> Column:

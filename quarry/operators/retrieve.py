@@ -219,7 +219,7 @@ def keyword_first_match(rows: DataFrame, queries: DataFrame, text_col: str, orde
         else:
             cond = lambda q: F.contains(F.col("__low"), q["kw"])
         partial = low.select(F.col(order_col).alias("match_id"), F.col(text_col).alias("match"),
-                             F.explode(F.filter(lit_q, cond)).alias("q")).select(
+                             F.explode_outer(F.filter(lit_q, cond)).alias("q")).where(F.col("q").isNotNull()).select(
             F.col("q.qid").alias("query_id"), "match_id", "match")
     hits = (
         partial.groupBy("query_id")

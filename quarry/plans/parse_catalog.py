@@ -42,7 +42,8 @@ SELECT page_id, unnest(generate_series(1, len(h)))::BIGINT AS pos, unnest(h) AS
 FROM (SELECT page_id, {O.link_hrefs('html')} AS h FROM pages)""")
 def links_and_embeds(spark, sf):
     n = nodes(spark, sf)
-    return n.select("page_id", F.posexplode(PR.links_and_embeds(F.col("nodes"))).alias("p", "target")).select(
+    return n.select("page_id", F.posexplode_outer(PR.links_and_embeds(F.col("nodes"))).alias("p", "target")).where(
+        F.col("p").isNotNull()).select(
         "page_id", (F.col("p") + 1).cast("long").alias("pos"), "target")
 
 
@@ -51,7 +52,7 @@ SELECT page_id, unnest({O.link_hrefs('html')}) AS target FROM pages""")
 def href_or_src(spark, sf):
     n = nodes(spark, sf)
     el = F.filter("nodes", lambda x: x["tag"].isin("a", "embed"))
-    return n.select("page_id", F.explode(el).alias("n")).select(
+    return n.select("page_id", F.explode_outer(el).alias("n")).where(F.col("n").isNotNull()).select(
         "page_id", PR.href_or_src(F.col("n")).alias("target")).where(F.col("target").isNotNull())
 
 
@@ -78,10 +79,8 @@ def link_snippet(spark, sf):
 def extract_cards(spark, sf):
     """Result cards with a document link and a category node, rejects
     with their reason (rows-only)."""
-    good, rejects = PR.extract_cards(nodes(spark, sf))
-    return good.select("page_id", "card_pos", "href", "product", "category", F.lit(None).cast("string").alias("reason")) \
-        .unionByName(rejects.select("page_id", "card_pos", "href", F.col("link_text").alias("product"),
-                                    "category", "reason"))
+    return PR.extract_cards(nodes(spark, sf)).select(
+        "page_id", "card_pos", "href", F.coalesce("product", "link_text").alias("product"), "category", "reason")
 
 
 @register("attr_or_text")
@@ -89,8 +88,8 @@ def attr_or_text(spark, sf):
     """Per list item: attribute-or-text lookup with default (rows-only)."""
     n = nodes(spark, sf)
     items = F.filter("nodes", lambda x: x["tag"] == RESULT_TAG)
-    return n.select("page_id", F.explode(F.transform(items, lambda c: F.struct(
+    return n.select("page_id", F.explode_outer(F.transform(items, lambda c: F.struct(
         c["pos"].alias("pos"),
         PR.attr_or_text(F.col("nodes"), c, "data-sku", "sku", "unknown").alias("sku"),
-        PR.attr_or_text(F.col("nodes"), c, "href", "category", "unknown").alias("ref")))).alias("r")).select(
-        "page_id", "r.*")
+        PR.attr_or_text(F.col("nodes"), c, "href", "category", "unknown").alias("ref")))).alias("r")).where(
+        F.col("r").isNotNull()).select("page_id", "r.*")

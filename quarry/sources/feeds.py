@@ -148,7 +148,7 @@ def read_json_array(spark: SparkSession, paths: str | Sequence[str], require_sha
         "file", F.lit(None).cast("long").alias("ordinal"), F.col("body").alias("line"),
         F.lit("malformed_file").alias("reason"))
     exploded = arr.where(F.col("elems").isNotNull()).select(
-        "file", F.posexplode("elems").alias("ordinal", "v"))
+        "file", F.posexplode_outer("elems").alias("ordinal", "v")).where(F.col("ordinal").isNotNull())
     exploded = exploded.withColumn("ordinal", F.col("ordinal").cast("long")).withColumn(
         "reason",
         F.when(~F.upper(J.variant_kind(F.col("v"))).startswith("OBJECT"),
@@ -182,7 +182,7 @@ def read_auto(spark: SparkSession, paths: str | Sequence[str], require_shape: bo
     arr = whole.select("file", "body", F.coalesce(elems, single).alias("elems"))
     # Whole-file values.
     exploded = arr.where(F.col("elems").isNotNull()).select(
-        "file", F.posexplode("elems").alias("ordinal", "v"))
+        "file", F.posexplode_outer("elems").alias("ordinal", "v")).where(F.col("ordinal").isNotNull())
     exploded = exploded.withColumn("ordinal", F.col("ordinal").cast("long")).withColumn(
         "reason",
         F.when(~F.upper(J.variant_kind(F.col("v"))).startswith("OBJECT"),
@@ -190,7 +190,8 @@ def read_auto(spark: SparkSession, paths: str | Sequence[str], require_shape: bo
     exploded = exploded.withColumn("line", F.when(F.col("reason").isNotNull(), F.to_json("v")))
     # Line fallback for files that are not one JSON value.
     lines = arr.where(F.col("elems").isNull()).select(
-        "file", F.posexplode(F.split(F.col("body"), "\n")).alias("ordinal", "line"))
+        "file", F.posexplode_outer(F.split(F.col("body"), "\n")).alias("ordinal", "line")).where(
+        F.col("ordinal").isNotNull())
     lines = lines.withColumn("ordinal", F.col("ordinal").cast("long")).where(~T.is_blank(F.col("line")))
     classified = _classify(lines).select("file", "ordinal", "v", "reason", "line")
     feed = _split(exploded.select("file", "ordinal", "v", "reason", "line").unionByName(classified),

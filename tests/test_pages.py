@@ -86,3 +86,25 @@ def test_page_cap_depth_limit_and_selector_union(spark):
                                              lambda x: x["tag"] == "a", lambda x: x["tag"] == "title"),
                                lambda x: x["tag"]).alias("t")).first()["t"]
     assert sel == ["title", "a", "a", "a", "a", "a", "a"]
+
+
+CARDS = ('<html><body><div class="attachment-description"><a href="/d/x%20y.pdf"> Manual X </a>'
+         '<div class="attachment-usage">Install Guide</div></div>'
+         '<div class="attachment-description"><a href="/d/z.pdf">Z</a></div>'
+         '<div class="attachment-description"><div class="attachment-usage">Only cat</div></div>'
+         '<div>12 results</div><p>intro <a href="/a1">A1</a></p><a href="/a2">A2</a><p>after a2</p>'
+         '<embed src="/v.mp4"><script>var t="</p>";</script></body></html>')
+
+
+def test_cards_results_marker_and_snippets(spark):
+    from quarry.operators import parse as PR
+    p = spark.createDataFrame([(1, "https://example.com/s", CARDS)], "page_id long, url string, html string")
+    good, bad = PR.split_cards(PR.extract_cards(p))
+    g = good.collect()
+    assert [(r["href"], r["product"], r["category"]) for r in g] == [("/d/x%20y.pdf", "Manual X", "Install Guide")]
+    assert sorted(r["reason"] for r in bad.collect()) == ["no_category", "no_link"]
+    assert [r["href"] for r in PR.links_after_marker(p).collect()] == ["/a1", "/a2"]
+    snip = {r["title"]: r["snippet"] for r in PR.link_snippet(p).collect()}
+    assert snip["A1"] == "intro A1" and snip["A2"] == "after a2"
+    n = PR.with_nodes(p).select(PR.links_and_embeds(F.col("nodes")).alias("t")).first()["t"]
+    assert n == ["/d/x%20y.pdf", "/d/z.pdf", "/a1", "/a2", "/v.mp4"]
