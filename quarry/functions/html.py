@@ -35,24 +35,30 @@ def drop_scripts(html) -> Column:
     return F.regexp_replace(_c(html), SCRIPT_RE, "")
 
 
+def anchors(html) -> Column:
+    """array<string>: every anchor match (opening tag + inline body) in
+    document order - the only full scan of the page."""
+    return F.regexp_extract_all(drop_scripts(html), F.lit(LINK_RE), 0)
+
+
 def link_hrefs(html) -> Column:
     """array<string> of anchor hrefs in document order."""
-    return F.regexp_extract_all(drop_scripts(html), F.lit(LINK_RE), 1)
+    return F.transform(anchors(html), lambda a: F.regexp_extract(a, LINK_RE, 1))
 
 
 def link_texts(html) -> Column:
     """array<string> of anchor texts (tags stripped, entities decoded,
     whitespace normalised), aligned with ``link_hrefs``."""
-    raw = F.regexp_extract_all(drop_scripts(html), F.lit(LINK_RE), 2)
-    return F.transform(raw, lambda t: clean_text(t))
+    return F.transform(anchors(html), lambda a: clean_text(F.regexp_extract(a, LINK_RE, 2)))
 
 
 def links(html) -> Column:
-    """array<struct<href, text>> in document order."""
-    body = drop_scripts(html)
-    hrefs = F.regexp_extract_all(body, F.lit(LINK_RE), 1)
-    texts = F.regexp_extract_all(body, F.lit(LINK_RE), 2)
-    return F.arrays_zip(hrefs.alias("href"), F.transform(texts, clean_text).alias("text"))
+    """array<struct<href, text>> in document order.  The page is scanned
+    once; each (short) match is then split into href and text with the
+    same pattern, which matches it identically."""
+    return F.transform(anchors(html), lambda a: F.struct(
+        F.regexp_extract(a, LINK_RE, 1).alias("href"),
+        clean_text(F.regexp_extract(a, LINK_RE, 2)).alias("text")))
 
 
 def clean_text(col) -> Column:

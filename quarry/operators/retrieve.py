@@ -131,13 +131,15 @@ def topk_cosine(corpus: DataFrame, queries: DataFrame, k: int = 2, id_col: str =
 AC_MIN_QUERIES = 16
 
 
-def _ac_partial(qrows, order_col: str, text_col: str, brand_col: str | None):
+def _ac_partial(bq, order_col: str, text_col: str, brand_col: str | None):
     """Per partition: one Aho-Corasick pass per row over the lower-cased
     text finds every query keyword it contains; only the smallest
-    ``order`` per query leaves the partition."""
+    ``order`` per query leaves the partition.  The keyword list arrives
+    as a broadcast variable (once per executor, not per task)."""
     def run(batches):
         import ahocorasick
 
+        qrows = bq.value
         auto = ahocorasick.Automaton()
         by_kw: dict[str, list] = {}
         match_all = []
@@ -207,7 +209,8 @@ def keyword_first_match(rows: DataFrame, queries: DataFrame, text_col: str, orde
     if use_ac:
         schema = StructType([StructField("query_id", qid_type), StructField("match_id", ord_type),
                              StructField("match", StringType())])
-        partial = src.mapInPandas(_ac_partial(qrows, order_col, text_col, brand_col), schema)
+        bq = rows.sparkSession.sparkContext.broadcast(qrows)
+        partial = src.mapInPandas(_ac_partial(bq, order_col, text_col, brand_col), schema)
     else:
         lit_q = F.array(*[
             F.struct(F.lit(q).alias("qid"), F.lit(kw).alias("kw"), F.lit(b).cast("string").alias("brand"))
