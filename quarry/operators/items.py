@@ -144,5 +144,3 @@ def vector_metadata(brand: Column, issue: Column, solution: Column, product: Col
         db_id.cast("string").alias("db_id"),
     )
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["ITEM_FIELDS"]

@@ -261,5 +261,4 @@ def backfill(hits: DataFrame, table: DataFrame, db_id_col: str = "db_id", id_col
     )
 
 
-__all__ = ["topk_cosine", "keyword_first_match", "hybrid_answer", "backfill", "RANK_DIGITS",
-           "StringType"]
+__all__ = ["topk_cosine", "keyword_first_match", "hybrid_answer", "backfill", "RANK_DIGITS"]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import html as H
 from ..functions import url as U
 from ..operators import crawl as C
 from ..operators import dedupe as D
@@ -234,4 +233,4 @@ def decode_body(spark, sf):
         F.sha2("html", 256).alias("body_sha"))
 
 
-__all__ = ["pages", "link_edges", "H"]
+__all__ = ["pages", "link_edges"]
