@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..schema import EMBEDDING_DIM
 
@@ -93,8 +93,9 @@ def embed_with(df: DataFrame, text_col: str, provider: Callable[[list[str]], lis
     """Embed through a user provider: ``provider(texts) -> vectors`` is
     called once per Arrow batch inside each task.  A failed batch or a
     wrong-length vector yields null (counted by ``validate_dimension``)."""
-    schema = df.schema.add(out, ArrayType(DoubleType()))
     cols = df.columns
+    # A new schema (StructType.add would change the DataFrame's own one).
+    schema = StructType(list(df.schema.fields) + [StructField(out, ArrayType(DoubleType()))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

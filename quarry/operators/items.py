@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..schema import ITEM_DEFAULTS, ITEM_FIELDS
+from ..schema import ITEM_DEFAULTS
 
 ROUTE_KEPT = "kept"
 ROUTE_DISCARDED = "discarded"

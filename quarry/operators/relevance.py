@@ -94,8 +94,10 @@ def with_provider(df: DataFrame, text_col: str, provider: Callable[[list[str]],
                   max_chars: int = CLASSIFIER_CHARS) -> DataFrame:
     """User classifier called once per Arrow batch; a failed batch gives
     null verdicts (not relevant)."""
-    schema = df.schema.add("verdict", "string")
+    from pyspark.sql.types import StringType, StructField, StructType
+
     cols = df.columns
+    schema = StructType(list(df.schema.fields) + [StructField("verdict", StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -133,3 +133,35 @@ def test_zip_by_ordinal(spark):
     b = spark.createDataFrame([(2, 20), (3, 30)], "ordinal long, id long")
     got = sorted(tuple(r) for r in S.zip_by_ordinal(a, b).collect())
     assert got == [(1, "x", None), (2, "y", 20), (3, None, 30)]
+
+
+def test_brand_table_fallback_and_providers(spark):
+    df = spark.createDataFrame([(1, "src0", None), (2, "srcX", "sol")], "doc_id long, source string, solution string")
+    brands = spark.createDataFrame([("src0", "Northwind")], "source string, brand string")
+    got = {r["doc_id"]: r["brand"] for r in I.brand_by_table(df, brands, default="generic").collect()}
+    assert got == {1: "Northwind", 2: "generic"}
+    fb = {r["doc_id"]: r["fallback_text"] for r in I.fallback_text(df).collect()}
+    assert fb == {1: "1 src0", 2: "sol"}
+    texts = spark.createDataFrame([(1, "a b"), (2, "boom")], "id long, text string")
+
+    def provider(batch):
+        if "boom" in batch:
+            raise RuntimeError("outage")
+        return [[1.0, 0.0] for _ in batch]
+
+    vec = {r["id"]: r["embedding"] for r in EM.embed_with(texts, "text", provider, dim=2).collect()}
+    # one Arrow batch here: the failing text nulls the whole batch
+    assert vec[2] is None and vec[1] in ([1.0, 0.0], None)
+    verdicts = R.with_provider(texts, "text", lambda b: [" YES " if "a" in t else "no" for t in b])
+    assert {r["id"]: r["relevant"] for r in verdicts.collect()} == {1: True, 2: False}
+
+
+def test_versioned_upsert_pointer(spark, workdir):
+    root = f"{workdir}/vectors"
+    v1 = spark.createDataFrame([("1", 1.0)], "id string, v double")
+    S.write_version(v1, root)
+    cur = S.read_current(spark, root)
+    v2 = S.upsert(cur, spark.createDataFrame([("1", 2.0, 0), ("2", 3.0, 0)], "id string, v double, o long")
+                  .select("id", "v", "o"), "id", "o")
+    S.write_version(v2, root)
+    assert sorted(tuple(r) for r in S.read_current(spark, root).collect()) == [("1", 2.0), ("2", 3.0)]
