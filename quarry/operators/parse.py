@@ -190,11 +190,18 @@ def link_snippet(pages: DataFrame, anchor_tag: str = "a", limit: int = 1000) ->
     p = pages if "nodes" in pages.columns else with_nodes(pages)
     nodes = F.col("nodes")
 
+    def node_at(pos):
+        # nodes are stored in document order, so a position is an index
+        return F.element_at(nodes, pos + 1)
+
     def snippet(a):
         sib_p = F.filter(nodes, lambda n: (n["parent"] == a["parent"]) & (n["pos"] > a["pos"]) & (n["tag"] == "p"))
-        sib_div = F.filter(nodes, lambda n: (n["parent"] == a["parent"]) & (n["pos"] > a["pos"]) & (n["tag"] == "div"))
-        div_p = F.filter(nodes, lambda n: (n["tag"] == "p") & F.exists(sib_div, lambda d: F.array_contains(n["path"], d["pos"])))
-        anc_p = F.filter(nodes, lambda n: (n["tag"] == "p") & F.array_contains(a["path"], n["pos"]))
+        # p inside a following sibling div: look the ancestors up by index
+        # (work per p is its depth, not the number of divs)
+        div_p = F.filter(nodes, lambda n: (n["tag"] == "p") & F.exists(
+            n["path"], lambda q: (q > a["pos"]) & (node_at(q)["tag"] == "div")
+            & (node_at(q)["parent"] == a["parent"])))
+        anc_p = F.transform(F.filter(a["path"], lambda q: node_at(q)["tag"] == "p"), node_at)
         parts = F.filter(F.transform(F.concat(sib_p, div_p, anc_p), lambda n: n["text"]), lambda t: t != "")
         return T.truncate(F.array_join(parts, " "), limit)
 

@@ -115,7 +115,8 @@ def topk_cosine(corpus: DataFrame, queries: DataFrame, k: int = 2, id_col: str =
 
         parts.append(corpus_cols.mapInPandas(run, out_schema))
     if not parts:
-        return spark.createDataFrame([], out_schema.add("rank", LongType()))
+        return spark.createDataFrame([], StructType([
+            out_schema["query_id"], StructField("rank", LongType()), out_schema["id"], out_schema["score"]]))
     cands = parts[0]
     for p in parts[1:]:
         cands = cands.unionByName(p)
