@@ -68,11 +68,11 @@ def assign_ids(df: DataFrame, order: str, start: int = 1, id_col: str = "id",
     """
     spark = df.sparkSession
     from ..session import materialize
-    # Without an explicit count AQE sizes the range partitions from the
-    # data at run time.
-    ranged = df.repartitionByRange(partitions, F.col(order)) if partitions else df.repartitionByRange(F.col(order))
+    # Range count: the session's shuffle-partition setting (the knob sized
+    # for the data), unless given.
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = (
-        ranged
+        df.repartitionByRange(n, F.col(order))
         .sortWithinPartitions(order)
         .withColumn("__pid", F.spark_partition_id())
         .withColumn("__local", F.monotonically_increasing_id()
