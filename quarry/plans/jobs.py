@@ -25,7 +25,7 @@ from ..operators import pages as P
 from ..operators import relevance as R
 from ..operators import retrieve as RT
 from ..operators import store as S
-from ..schema import EMBEDDING_DIM, ITEM_DEFAULTS
+from ..schema import EMBEDDING_DIM, ITEM_DEFAULTS, KB_RECORD, VECTOR
 from ..session import materialize
 
 LANG_RE = r'(?i)<html[^>]*\slang="([^"]*)"'
@@ -96,6 +96,8 @@ def kb_load(sources: Sequence[DataFrame], brands: Mapping[str, str], default_bra
     """Knowledge load from several sources.  Returns ``(kb_rows,
     vectors)``; ids are dense in source order then ``order``; vector ids
     are content hashes so a re-run upserts instead of duplicating."""
+    if not sources:
+        raise ValueError("kb_load needs at least one source")
     tagged = []
     for i, s in enumerate(sources):
         tagged.append(I.normalise_keys(valid_shape(s)).withColumn("__src", F.lit(i)))
@@ -103,6 +105,9 @@ def kb_load(sources: Sequence[DataFrame], brands: Mapping[str, str], default_bra
     for t in tagged[1:]:
         u = u.unionByName(t, allowMissingColumns=True)
     u = u.withColumn("brand", I.brand_column(F.col(source_col), brands, default_brand))
+    if u.isEmpty():  # nothing to load: skip the id layout and the vectors (one-row probe)
+        empty = u.sparkSession.createDataFrame([], KB_RECORD)
+        return empty, u.sparkSession.createDataFrame([], VECTOR)
     rows = S.assign_ids(u.withColumn("__ord", F.struct("__src", order)), "__ord")
     kb = rows.select("id", "brand", "issue", "solution", "product", "category", "url")
     kbt = I.embed_text(kb, "branded", "t").withColumn("t", T.ustrip("t")).where(F.col("t") != "")

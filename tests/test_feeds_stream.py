@@ -67,3 +67,19 @@ def test_stream_equals_batch_and_replay_is_harmless(spark, workdir):
     ST.run_feed(spark, src, table, f"{workdir}/ckpt2")
     urls = sorted(r["url"] for r in spark.read.parquet(table).collect())
     assert urls == ["u1", "u2", "u9"]
+
+
+def test_watermark_dedupe_stream(spark, workdir):
+    import os
+    from pyspark.sql import functions as F
+    src = f"{workdir}/ev"
+    os.makedirs(src)
+    rows = [("u1", "2024-01-01 00:00:00"), ("u1", "2024-01-01 00:10:00"), ("u2", "2024-01-01 00:05:00")]
+    spark.createDataFrame(rows, "url string, ts string").withColumn("ts", F.to_timestamp("ts")) \
+        .coalesce(1).write.parquet(f"{src}/b1")
+    stream = spark.readStream.schema("url string, ts timestamp").parquet(f"{src}/b1")
+    d = ST.dedupe_stream(stream, "url", event_time="ts", delay="1 hour")
+    q = (d.writeStream.format("memory").queryName("wm_dedupe").trigger(availableNow=True)
+         .option("checkpointLocation", f"{workdir}/ck").start())
+    q.awaitTermination()
+    assert sorted(r["url"] for r in spark.sql("SELECT url FROM wm_dedupe").collect()) == ["u1", "u2"]

@@ -165,3 +165,18 @@ def test_versioned_upsert_pointer(spark, workdir):
                   .select("id", "v", "o"), "id", "o")
     S.write_version(v2, root)
     assert sorted(tuple(r) for r in S.read_current(spark, root).collect()) == [("1", 2.0), ("2", 3.0)]
+
+
+def test_insert_report_counts_apart(spark):
+    new = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), ("c", 4)], "url string, o long")
+    existing = spark.createDataFrame([("c", 0)], "url string, o long")
+    ins = S.insert_if_absent(existing, new, "url", "o")
+    r = S.insert_report(new, ins).first()
+    assert (r["inserted"], r["skipped"]) == (2, 2)
+
+
+def test_kb_load_empty_sources_short_circuit(spark):
+    from quarry.plans import jobs as J
+    empty = spark.createDataFrame([], "ordinal long, url string, issue string, solution string, product string, source string")
+    kb, vec = J.kb_load([empty], {}, "generic")
+    assert kb.count() == 0 and vec.count() == 0

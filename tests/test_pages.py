@@ -108,3 +108,12 @@ def test_cards_results_marker_and_snippets(spark):
     assert snip["A1"] == "intro A1" and snip["A2"] == "after a2"
     n = PR.with_nodes(p).select(PR.links_and_embeds(F.col("nodes")).alias("t")).first()["t"]
     assert n == ["/d/x%20y.pdf", "/d/z.pdf", "/a1", "/a2", "/v.mp4"]
+
+
+def test_next_link_by_class_text_or_aria(spark):
+    from quarry.operators import parse as PR
+    html = ('<html><body><a href="/1">1</a><a class="next" href="/c">&raquo;</a>'
+            '<a aria-label="Next" href="/aria">&gt;</a><a href="/t">Next</a></body></html>')
+    p = spark.createDataFrame([(1, "https://example.com/", html)], "page_id long, url string, html string")
+    n = PR.with_nodes(p).select(PR.next_link_by_label(F.col("nodes"), "next")["attrs"]["href"].alias("h")).first()
+    assert n["h"] == "/c"
