@@ -8,6 +8,9 @@ from ..operators import items as I
 from ..session import read_table
 from . import jobs as J
 from . import oracle as O
+from ..operators import embed as EM
+from ..schema import EMBEDDING_DIM
+from .docs_catalog import ITEMS_SQL
 from .docs_catalog import BRANDS, DEFAULT_BRAND
 from .pages_catalog import EXPLODED_SQL
 from .registry import register
@@ -34,15 +37,27 @@ def job_harvest(spark, sf):
         "page_id", "pos", "url", "product", "category", "issue", "depth", "solution")
 
 
-@register("job_catalogue")
+CATALOGUE_SQL = f"""
+WITH it AS {ITEMS_SQL},
+t AS (SELECT ordinal, left(product || ' ' || category || ' ' || issue || ' ' || solution, {J.EMBED_CHARS}) AS txt
+      FROM it),
+tok AS (SELECT ordinal, unnest(regexp_extract_all(lower(txt), {O.q(EM.TOKEN_RE)})) AS tok FROM t),
+nz AS (SELECT ordinal, count(DISTINCT {O.bucket_of('tok', EMBEDDING_DIM)})::BIGINT AS nnz FROM tok GROUP BY ordinal)
+SELECT row_number() OVER (ORDER BY it.ordinal)::BIGINT AS id, it.url, it.product, it.category,
+       'doc_' || it.ordinal::VARCHAR AS vector_id, coalesce(nz.nnz, 0)::BIGINT AS nnz
+FROM it LEFT JOIN nz USING (ordinal)"""
+
+
+@register("job_catalogue", CATALOGUE_SQL)
 def job_catalogue(spark, sf):
-    """Catalogue load over the documents' items: table rows joined with
-    their vector's sparsity (rows-only: carries a load timestamp)."""
+    """Catalogue load over the documents' items: table rows (dense ids in
+    input order) joined with their vector's id and sparsity.  The load
+    timestamp stays in the table; it is left out here so the result is
+    deterministic."""
     table, vectors = J.catalogue(I.documents_as_items(read_table(spark, sf, "documents")))
     nnz = vectors.select(F.col("metadata.db_id").cast("long").alias("id"), F.col("id").alias("vector_id"),
-                         F.size(F.filter("embedding", lambda x: x != 0)).alias("nnz"))
-    return table.join(nnz, "id", "left").select("id", "url", "product", "category", "vector_id", "nnz",
-                                                "created_at")
+                         F.size(F.filter("embedding", lambda x: x != 0)).cast("long").alias("nnz"))
+    return table.join(nnz, "id", "left").select("id", "url", "product", "category", "vector_id", "nnz")
 
 
 @register("job_kb_load")
