@@ -11,7 +11,7 @@ from . import oracle as O
 from ..operators import embed as EM
 from ..schema import EMBEDDING_DIM
 from .docs_catalog import ITEMS_SQL
-from .docs_catalog import BRANDS, DEFAULT_BRAND
+from .docs_catalog import BRANDS, DEFAULT_BRAND, brand_sql
 from .pages_catalog import EXPLODED_SQL
 from .registry import register
 
@@ -60,7 +60,27 @@ def job_catalogue(spark, sf):
     return table.join(nnz, "id", "left").select("id", "url", "product", "category", "vector_id", "nnz")
 
 
-@register("job_kb_load")
+KB_LOAD_SQL = f"""
+WITH d AS (SELECT 0 AS src, doc_id AS ordinal,
+                  'https://' || source || '.example.com/doc/' || doc_id::VARCHAR AS url,
+                  split_part(text, chr(10), 1) AS issue, text AS solution, source AS product, source AS s
+           FROM documents),
+p AS (SELECT 1 AS src, page_id AS ordinal, url,
+             coalesce(nullif({O.title('html')}, ''), nullif({O.heading('html')}, ''), 'Untitled') AS issue,
+             coalesce(nullif(left(array_to_string(list_filter({O.paragraphs('html')}, lambda x: x <> ''), ' '), 1000), ''),
+                      'No description available') AS solution,
+             'unknown product' AS product, 'page' AS s
+      FROM pages WHERE NOT contains(url, 'LogonForm') AND NOT contains(lower(url), 'login')),
+u AS (SELECT * FROM d UNION ALL SELECT * FROM p),
+k AS (SELECT row_number() OVER (ORDER BY src, ordinal)::BIGINT AS id, {brand_sql('s')} AS brand,
+             url, issue, solution, product FROM u)
+SELECT id, brand, url, sha256(issue) AS issue_sha,
+       CASE WHEN {O.strip_ws("brand || ' ' || issue || ' ' || solution || ' ' || product")} <> ''
+            THEN sha256(brand || chr(1) || url || chr(1) || issue || chr(1) || solution) END AS vector_id
+FROM k"""
+
+
+@register("job_kb_load", KB_LOAD_SQL)
 def job_kb_load(spark, sf):
     """Knowledge load from two sources (documents and page items)."""
     docs = I.documents_as_items(read_table(spark, sf, "documents")).withColumn("source", F.col("product"))
