@@ -83,13 +83,17 @@ def extract_cards(spark, sf):
         "page_id", "card_pos", "href", F.coalesce("product", "link_text").alias("product"), "category", "reason")
 
 
-@register("attr_or_text")
+@register("attr_or_text", f"""
+SELECT page_id, 'unknown' AS sku, coalesce(nullif({O.strip_ws('href')}, ''), 'unknown') AS ref FROM (
+  SELECT page_id, unnest(regexp_extract_all({O.drop_scripts('html')}, {O.q(LI_RE)}, 1)) AS href FROM pages)""")
 def attr_or_text(spark, sf):
-    """Per list item: attribute-or-text lookup with default (rows-only)."""
+    """Per list item: attribute-or-text lookups with defaults - a
+    ``data-sku`` attribute or ``.sku`` text (absent here, so the default),
+    and an ``href`` attribute or ``.category`` text."""
     n = nodes(spark, sf)
     items = F.filter("nodes", lambda x: x["tag"] == RESULT_TAG)
     return n.select("page_id", F.explode_outer(F.transform(items, lambda c: F.struct(
         c["pos"].alias("pos"),
         PR.attr_or_text(F.col("nodes"), c, "data-sku", "sku", "unknown").alias("sku"),
         PR.attr_or_text(F.col("nodes"), c, "href", "category", "unknown").alias("ref")))).alias("r")).where(
-        F.col("r").isNotNull()).select("page_id", "r.*")
+        F.col("r").isNotNull()).select("page_id", "r.sku", "r.ref")

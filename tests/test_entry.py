@@ -15,7 +15,7 @@ def test_entry_flagship(spark):
 
 def test_every_key_has_oracle_or_is_known_rows_only():
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"attr_or_text", "extract_cards", "job_flow", "relevance_model", "vector_topk_ann"}
+    assert rows_only == {"extract_cards", "job_flow", "relevance_model", "vector_topk_ann"}
 
 
 @pytest.mark.parametrize("key", sorted(E.queries()))
