@@ -78,6 +78,10 @@ def with_resolved(df, base_col: str, href_col: str, out: str = "abs_url"):
         # 'scheme:rel' with the base's scheme is a relative reference.
         .withColumn("__u_rel", F.when((c("__u_hs") != "") & ~h.rlike(ABS_RE),
                                       F.regexp_replace(h, SCHEME_RE, "")).otherwise(h))
+        # '//' with an empty authority ('//', '///p', '//?q') names no host:
+        # what follows is an ordinary reference.
+        .withColumn("__u_rel", F.when(c("__u_rel").rlike(r"^//([/?#]|$)"), F.substring(c("__u_rel"), 3, 1 << 30))
+                    .otherwise(c("__u_rel")))
         .withColumn("__u_rp", F.regexp_extract(c("__u_rel"), r"^([^?#]*)", 1))
         .withColumn("__u_bd", F.split(F.when(b.rlike(ABS_RE), url_path(b))
                                       .otherwise(F.regexp_extract(b, r"^([^?#]*)", 1)), "/"))
@@ -103,10 +107,13 @@ def with_resolved(df, base_col: str, href_col: str, out: str = "abs_url"):
         .when(b.isNull() | (b == ""), h)
         .when(h == "", b)
         .when((c("__u_hs") != "") & ((c("__u_hs") != c("__u_bs")) | ~c("__u_hs").isin(*USES_RELATIVE)), h)
+        # a reference that names nothing (e.g. 'http:' or '//'): the base without its fragment
+        .when(rel == "", without_fragment(b))
         # same scheme with an authority: re-assembled with the scheme lower-cased
         .when(h.rlike(ABS_RE), F.concat(c("__u_hs"), F.lit(":"), F.regexp_replace(h, SCHEME_RE, "")))
-        .when(rel.startswith("//") & (c("__u_bs") == ""), rel)
-        .when(rel.startswith("//"), F.concat(F.regexp_extract(b, SCHEME_RE, 1), F.lit(":"), rel))
+        .when(rel.startswith("//") & (c("__u_bs") == "") & h.startswith("//"), rel)
+        .when(rel.startswith("//") & h.rlike(r"^([A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]"),
+              F.concat(F.regexp_extract(b, SCHEME_RE, 1), F.lit(":"), rel))
         .when(rel.startswith("?"), F.concat(without_query(b), rel))
         .when(rel.startswith("#"), F.concat(without_fragment(b), rel))
         .otherwise(F.concat(c("__u_bo"), c("__u_j"), F.regexp_extract(rel, r"^[^?#]*(.*)$", 1)))

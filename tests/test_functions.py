@@ -102,3 +102,34 @@ def test_canonical_url(spark):
 def test_unescape_once(spark):
     df = spark.createDataFrame([("&amp;lt; &lt;b&gt; &quot;x&quot;",)], "s string")
     assert df.select(T.unescape_basic("s")).first()[0] == '&lt; <b> "x"'
+
+
+def test_resolve_url_random_references(spark):
+    import random
+    rnd = random.Random(7)
+    parts = ["a", "b", ".", "..", "", "c.pdf", "%20x", "é"]
+
+    def rpath(n):
+        return "/".join(rnd.choice(parts) for _ in range(n))
+
+    hrefs = set()
+    for _ in range(1500):
+        k, p = rnd.random(), rpath(rnd.randint(0, 5))
+        if k < 0.2:
+            p = "/" + p
+        elif k < 0.3:
+            p = "//h.example.com/" + p
+        elif k < 0.35:
+            p = "http:" + p
+        elif k < 0.4:
+            p = "//" + p
+        if rnd.random() < 0.2:
+            p += "?q=" + rnd.choice(parts)
+        if rnd.random() < 0.1:
+            p += "#f" + rnd.choice(parts)
+        hrefs.add(p)
+    pairs = [(b, h) for b in BASES[:5] for h in sorted(hrefs)]
+    df = spark.createDataFrame(pairs, "base string, href string")
+    bad = [(r["base"], r["href"], r["r"]) for r in U.with_resolved(df, "base", "href", "r").collect()
+           if r["r"] != urljoin(r["base"], r["href"])]
+    assert not bad, bad[:5]
