@@ -166,7 +166,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDOW,
     groups = max(1, -(-short.count() // GROUP))
     dealt = short.select("piece", "length", F.pmod(F.xxhash64("piece"), F.lit(groups)).alias("dealt"))
 
-    def run(key, group: pa.Table) -> pa.Table:
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         group = group.sort_by("piece")
         number, offset = pack_lengths(group.column("length").to_numpy(), window)
         return pa.table({"piece": group.column("piece"), "sequence_id": pa.array((key[0].as_py() << 32) + number, pa.int64()), "offset": pa.array(offset, pa.int64())})
