@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, classifier, packing, rules, tokens
+from quarry.llm import bpe, classifier, packing, rules, tokens, topk, urls
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -27,6 +27,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -35,12 +39,20 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: (verdict, host, path)
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op4_packing, op7_bpe, op8_quality, op10_quality_rules)
+    f.__name__: f for f in (op1_token_counts, op4_packing, op6_topk, op7_bpe, op8_quality, op9_url_filters, op10_quality_rules)
 }
 
 ORACLE: dict[str, str] = {}
