@@ -160,6 +160,8 @@ def top_products(vectors: DataFrame, queries_every: int = 50, k: int = 5, vec_id
     rows = data.select("vec_id", "data", dealt(slices).alias("slice"), each(blocks).alias("block"))
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score", "asked")})
         asked, among = left.column("data").to_pylist(), right.column("data").to_pylist()
         dim = max((len(x) // 8 for x in asked + among), default=0)
         own = left.column("vec_id").to_numpy()

@@ -79,7 +79,8 @@ def links(pages: DataFrame) -> DataFrame:
     canonical = F.concat(*(F.coalesce(F.regexp_extract("html", CANONICAL, k), F.lit("")) for k in (1, 2, 3)))
     found = pages.select("url", F.explode(F.array(canonical, F.regexp_extract("html", REFRESH, 1))).alias("href")).where(F.col("href") != "")
     found = found.select("url", F.replace(F.trim("href"), F.lit("&amp;"), F.lit("&")).alias("href"))
-    return with_resolved(found, "url", "href", "target").select(key_of(F.col("url")).alias("a"), key_of(F.col("target")).alias("b"))
+    found = written(with_resolved(found, "url", "href", "target").select("url", "target"), "links")
+    return found.select(key_of(F.col("url")).alias("a"), key_of(F.col("target")).alias("b"))
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None) -> DataFrame:
