@@ -157,17 +157,17 @@ def top_products(vectors: DataFrame, queries_every: int = 50, k: int = 5, vec_id
     dealt = lambda n: F.pmod(F.xxhash64("vec_id", "data"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     queries = data.where(is_query).select("vec_id", "data", dealt(blocks).alias("block"), each(slices).alias("slice"))
-    rows = data.select("vec_id", "data", dealt(slices).alias("slice"), each(blocks).alias("block"))
+    rows = data.select(F.col("vec_id").alias("other_id"), F.col("data").alias("other"), dealt(slices).alias("in_slice"), each(blocks).alias("for_block"))
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score", "asked")})
-        asked, among = left.column("data").to_pylist(), right.column("data").to_pylist()
+        asked, among = left.column("data").to_pylist(), right.column("other").to_pylist()
         dim = max((len(x) // 8 for x in asked + among), default=0)
         own = left.column("vec_id").to_numpy()
-        row, one, score, _ = search(matrix(asked, dim), own, matrix(among, dim), right.column("vec_id").to_numpy(), k)
+        row, one, score, _ = search(matrix(asked, dim), own, matrix(among, dim), right.column("other_id").to_numpy(), k)
         return pa.table({"query_id": pa.array(own[row], pa.int64()), "vec_id": pa.array(one, pa.int64()), "score": pa.array(score, pa.int64()), "asked": pa.array(row, pa.int64())})
 
-    found = queries.groupBy("block", "slice").cogroup(rows.groupBy("block", "slice")).applyInArrow(run, "query_id long, vec_id long, score long, asked long")
+    found = queries.groupBy("block", "slice").cogroup(rows.groupBy("for_block", "in_slice")).applyInArrow(run, "query_id long, vec_id long, score long, asked long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
     return found.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
