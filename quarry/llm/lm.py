@@ -45,6 +45,8 @@ HIDDEN, CLASSES, WINDOW = 16, 48, 16
 #: Documents side by side, in training and scoring.
 TRAIN_LANES, SCORE_LANES = 512, 1024
 RATE = 0.1
+#: Updates that a chunk of text is to give, where its size allows.
+STEPS = 400
 #: Bytes of text that are trained on or scored together.
 TEXT_BYTES = 24 << 20
 #: The end token: no word holds a space.
@@ -76,7 +78,8 @@ class Shape:
     def start(self) -> dict[str, np.ndarray]:
         """Parameters that give each word its frequency."""
         r = np.random.default_rng(7)
-        p = {k: (r.standard_normal(s) * (0.3 if k == "inputs" else 0.1)).astype(np.float32) for k, s in self.sizes.items()}
+        spread = {"inputs": 0.3, "recur": 0.1}
+        p = {k: (r.standard_normal(s) * spread.get(k, 0.0)).astype(np.float32) for k, s in self.sizes.items()}
         mass = np.append(np.add.reduceat(self.counts + 1.0, self.first[:-1]), self.rare + 1.0)
         p["class_b"] = np.log(mass / mass.sum()).astype(np.float32)
         p["word_b"] = np.log((self.counts + 1.0) / mass[self.class_of[:-1]]).astype(np.float32)
@@ -235,6 +238,11 @@ class Network:
         self.p[name][rows] -= RATE * g / np.sqrt(s)
 
 
+def train_lanes(tokens: int) -> int:
+    """As many lanes as leave some ``STEPS`` updates, 8 to TRAIN_LANES."""
+    return min(max(tokens // (WINDOW * STEPS), 8), TRAIN_LANES)
+
+
 class Words:
     """Ids of words: below ``shape.n`` the model's own, then other words
     whose counts are known; -1 for all the rest."""
@@ -314,7 +322,7 @@ def train(docs: DataFrame, shared) -> np.ndarray:
         for batch in batches:
             for _, _, chunk in chunks(batch, TEXT_BYTES):
                 ids, lengths, _ = words.read(_bytes(chunk))
-                words.run(network, ids, lengths, TRAIN_LANES, True)
+                words.run(network, ids, lengths, train_lanes(len(ids)), True)
                 seen += len(ids)
         if seen:
             flat = words.shape.flat(network.p) * np.float32(seen)
