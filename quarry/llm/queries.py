@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, classifier, lm, neardup, packing, rules, tokens, topk, urls
+from quarry.llm import bpe, classifier, dedup, lm, neardup, packing, rules, tokens, topk, urls
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -35,6 +35,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(table(spark, sf_dir, "embeddings"))
 
@@ -60,7 +64,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_near_duplicates, op3_lm_score, op4_packing, op6_topk, op7_bpe, op8_quality, op9_url_filters, op10_quality_rules)
+    f.__name__: f for f in (op1_token_counts, op2_near_duplicates, op3_lm_score, op4_packing, op5_suffix_dedup, op6_topk, op7_bpe, op8_quality, op9_url_filters, op10_quality_rules)
 }
 
 ORACLE: dict[str, str] = {}
