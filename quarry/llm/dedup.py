@@ -138,19 +138,31 @@ class Block:
         self.e_cut = np.searchsorted(self.bucket(self.e_hash), np.arange(self.buckets + 1))
 
 
-def _blocks(docs: DataFrame) -> DataFrame:
-    """block, ids, off, data: written, bucketed by block."""
+def _blocks(docs: DataFrame, whole: bool) -> DataFrame:
+    """block, ids, off, data, rest: written, bucketed by block.  ``rest``:
+    with ``whole`` all columns but the text, and whether that is null, as an
+    Arrow stream."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
         for batch in batches:
-            for _, _, chunk in chunks(batch, BLOCK_BYTES):
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([chunk.ids.astype("<i8").tobytes()], pa.binary()), pa.array([chunk.off.astype("<i8").tobytes()], pa.binary()), pa.array([chunk.buf.tobytes()], pa.binary())], ["block", "ids", "off", "data"])
+            for at, end, chunk in chunks(batch, BLOCK_BYTES):
+                rest = b""
+                if whole:
+                    sink = pa.BufferOutputStream()
+                    part = pa.record_batch([batch.column(2).slice(at, end - at)], ["rest"])
+                    with pa.ipc.new_stream(sink, part.schema) as out:
+                        out.write_batch(part)
+                    rest = sink.getvalue().to_pybytes()
+                own = [chunk.ids.astype("<i8").tobytes(), chunk.off.astype("<i8").tobytes(), chunk.buf.tobytes(), rest]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in own)], ["block", "ids", "off", "data", "rest"])
                 number += 1
 
     spark = docs.sparkSession
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+                       *[F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"), F.col("text").isNull()).alias("rest")] * whole)
     name, n = f"llm_blocks_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts_of(docs).mapInArrow(run, "block long, ids binary, off binary, data binary").write.bucketBy(n, "block") \
+    rows.mapInArrow(run, "block long, ids binary, off binary, data binary, rest binary").write.bucketBy(n, "block") \
         .option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
@@ -297,31 +309,62 @@ def removed_bytes(block: Block, fate: np.ndarray, masks: dict[int, int]) -> np.n
     return np.cumsum(change[:-1]) > 0
 
 
-def deduplicated(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with
-    ``with_text``, kept (binary: the bytes that remain)."""
-    blocks = _blocks(docs)
+def _judged(docs: DataFrame, whole: bool) -> tuple[DataFrame, int]:
+    """Blocks with all answers, and the number of hash buckets."""
+    blocks = _blocks(docs, whole)
     total = blocks.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET_BYTES))
-    shared = _answered(blocks, written(_ask_anchors(blocks, buckets), "anchors"), "shared")
-    fated = _answered(shared, written(_ask_contexts(shared, buckets), "contexts"), "fate")
-    masks = written(_masks(written(_sent(fated, buckets), "sent")), "masks")
+    asking = blocks.select("block", "ids", "off", "data")
+    anchored = written(_ask_anchors(asking, buckets), "anchors")
+    shared = _answered(asking, anchored, "shared")
+    contexts = written(_ask_contexts(shared, buckets), "contexts")
+    masks = written(_masks(written(_sent(_answered(shared, contexts, "fate"), buckets), "sent")), "masks")
     masks = masks.groupBy("block").agg(F.collect_list(F.struct("entry", "mask")).alias("masks"))  # of the block's own anchors
+    judged = _answered(_answered(blocks, anchored, "shared"), contexts, "fate")
+    return judged.join(masks.hint("shuffle_hash"), "block", "left"), buckets
+
+
+def _cut(batch: pa.RecordBatch, buckets: int) -> Iterator[tuple[int, Block, np.ndarray]]:
+    """(row, block, whether each of its bytes is removed)"""
+    for _, block, k in _read(batch, buckets):
+        block.keep_shared(_pairs(batch, "shared", k))
+        found = {x["entry"]: x["mask"] for x in batch.column(batch.schema.get_field_index("masks"))[k].as_py() or ()}
+        yield k, block, removed_bytes(block, _fates(block, _pairs(batch, "fate", k)), found)
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    judged, buckets = _judged(docs, False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, block, k in _read(batch, buckets):
-                block.keep_shared(_pairs(batch, "shared", k))
-                found = {x["entry"]: x["mask"] for x in batch.column(batch.schema.get_field_index("masks"))[k].as_py() or ()}
-                gone = removed_bytes(block, _fates(block, _pairs(batch, "fate", k)), found)
+            for _, block, gone in _cut(batch, buckets):
                 rows = []
-                for d, (a, b) in zip(block.ids.tolist(), zip(block.off[:-1].tolist(), block.off[1:].tolist(), strict=True), strict=True):
+                for d, a, b in zip(block.ids.tolist(), block.off[:-1].tolist(), block.off[1:].tolist(), strict=True):
                     g = gone[a:b]
-                    kept = block.buf[a:b][~g].tobytes()
-                    rows.append((d, b - a, int(g.sum()), int(np.count_nonzero(g[1:] & ~g[:-1]) + g[:1].sum()), hashlib.sha256(kept).hexdigest(), kept))
+                    spans = int(np.count_nonzero(g[1:] & ~g[:-1]) + g[:1].sum())
+                    rows.append((d, b - a, int(g.sum()), spans, hashlib.sha256(block.buf[a:b][~g].tobytes()).hexdigest()))
                 c = list(zip(*rows, strict=True))
-                columns = [*(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.string())] + [pa.array(c[5], pa.binary())] * with_text
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return fated.join(masks.hint("shuffle_hash"), "block", "left").mapInArrow(run, kind)
+    return judged.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def rewritten(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with what remains of their texts.
+    Of a character that was cut nothing stays; null texts stay null."""
+    judged, buckets = _judged(docs, True)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, block, gone in _cut(batch, buckets):
+                rest = pa.ipc.open_stream(batch.column(batch.schema.get_field_index("rest"))[k].as_buffer()).read_all().combine_chunks().column("rest").chunk(0)
+                *others, null = rest.flatten()
+                texts = [None if no else block.buf[a:b][~gone[a:b]].tobytes().decode("utf-8", "ignore")
+                         for a, b, no in zip(block.off[:-1].tolist(), block.off[1:].tolist(), null.to_pylist(), strict=True)]
+                own = iter(others)
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else next(own) for c in names], names)
+
+    kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
+    return judged.mapInArrow(run, kinds)

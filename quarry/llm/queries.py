@@ -63,8 +63,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_near_duplicates, op3_lm_score, op4_packing, op5_suffix_dedup, op6_topk, op7_bpe, op8_quality, op9_url_filters, op10_quality_rules)
+    f.__name__: f for f in (op1_token_counts, op2_near_duplicates, op3_lm_score, op4_packing, op5_suffix_dedup, op6_topk, op7_bpe, op8_quality, op9_url_filters, op10_quality_rules, pipeline)
 }
 
 ORACLE: dict[str, str] = {}
