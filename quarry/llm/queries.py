@@ -73,4 +73,68 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_near_duplicates, op3_lm_score, op4_packing, op5_suffix_dedup, op6_topk, op7_bpe, op8_quality, op9_url_filters, op10_quality_rules, pipeline)
 }
 
-ORACLE: dict[str, str] = {}
+LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE: dict[str, str] = {
+    "op6_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
+    # hrefs that aren't absolute are left out here: the pages hold none
+    "op9_url_filters": rf"""
+WITH RECURSIVE p AS (
+  SELECT page_id, html, instr(url, '://') > 0 AS ok, substr(url, instr(url, '://') + 3) AS rest, translate(substr(url, 1, instr(url, '://') + 2), {LETTERS}) AS scheme FROM pages),
+u AS (
+  SELECT page_id, html, CASE WHEN ok THEN translate(regexp_extract(rest, '^[^/?#]*'), {LETTERS}) ELSE '' END AS host,
+    CASE WHEN ok THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
+    CASE WHEN ok THEN concat(scheme, translate(regexp_extract(rest, '^[^/?#]*'), {LETTERS}), regexp_extract(rest, '^[^/?#]*([^#]*)', 1)) END AS url FROM p),
+tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM u),
+hrefs AS (
+  SELECT url, regexp_extract(tag, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS href FROM tags WHERE regexp_matches(tag, '(?is)^<link.*\brel\s*=\s*["'']?\s*canonical\b')
+  UNION ALL
+  SELECT url, regexp_extract(tag, '(?is)\burl\s*=\s*[''"]?([^"''>\s]+)', 1) FROM tags WHERE regexp_matches(tag, '(?is)^<meta.*\bhttp-equiv\s*=\s*["'']?\s*refresh\b')),
+links AS (
+  SELECT url AS a, regexp_replace(replace(href, '&amp;', '&'), '#.*$', '') AS b FROM hrefs WHERE url IS NOT NULL AND instr(href, '://') > 0),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a AS x, a AS y FROM edges UNION SELECT r.x, e.b FROM reach r JOIN edges e ON r.y = e.a),
+rules(verdict, rhost, rpath) AS (VALUES {", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)}),
+nodes AS (
+  SELECT url, regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*') AS host, regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT DISTINCT y AS url FROM reach)),
+bad AS (
+  SELECT url FROM (SELECT n.url, r.verdict, row_number() OVER (PARTITION BY n.url ORDER BY length(rhost) + length(rpath) DESC, r.verdict) AS k
+    FROM nodes n JOIN rules r ON (n.host = rhost OR ends_with(n.host, '.' || rhost)) AND starts_with(n.path, rpath)) WHERE k = 1 AND verdict = 'block'),
+tainted AS (SELECT DISTINCT x AS url FROM reach WHERE y IN (SELECT url FROM bad)),
+best AS (
+  SELECT page_id, host, path, url, rhost || rpath AS rule, verdict,
+    row_number() OVER (PARTITION BY page_id ORDER BY length(rhost) + length(rpath) DESC NULLS LAST, verdict) AS k
+  FROM u LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN url IN (SELECT url FROM tainted) THEN 'block' ELSE 'allow' END) AS verdict FROM best WHERE k = 1""",
+    "op10_quality_rules": rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS symbols FROM d),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS k FROM w, unnest(range(1, len(ws) - 6)) AS r(i)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS n FROM windows) WHERE n > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM twice, range(8) AS t(j) GROUP BY doc_id),
+lines AS (
+  SELECT * FROM (SELECT doc_id, host, text, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws
+    FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM d)) WHERE len(ws) > 0),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
+normal AS (SELECT doc_id, host, text, translate(array_to_string(ws, ' '), {LETTERS}) AS line, len(ws) AS n FROM lines),
+hosts AS (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host),
+common AS (
+  SELECT n.host, n.line FROM normal n JOIN hosts USING (host) GROUP BY n.host, n.line, hosts.texts
+  HAVING count(DISTINCT n.text) > {rules.LINE_LEAST} AND count(DISTINCT n.text) > {rules.LINE_SHARE} * hosts.texts),
+removed AS (SELECT doc_id, sum(n) AS n FROM normal SEMI JOIN common USING (host, line) GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars, symbols AS n_symbols,
+    coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words, CAST(coalesce(removed.n, 0) AS BIGINT) AS n_removed_words
+  FROM w LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN removed USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND n_words - n_removed_words >= {rules.MIN_WORDS} AND n_words - n_removed_words >= {rules.KEEP_SHARE} * n_words AS kept FROM f""",
+}
