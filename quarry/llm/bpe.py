@@ -210,11 +210,11 @@ class Encoder:
             spec = json.load(f)
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.merges = Merges(spec["model"]["vocab"], pairs)
-        self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.pieces = self.merges.bytes_of | {i: t.encode() for t, i in self.special.items()}
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        self.pieces = self.merges.bytes_of | {i: t.encode() for t, i in special.items()}
         self.pattern = regex.compile(byte_pattern())
         self.words: dict[str, bytes] = {}
-        self.memo = UnitMemo(self.encode_units, self.stream, self.special)
+        self.memo = UnitMemo(self.encode_units, self.stream, {t: i.to_bytes(4, "little") for t, i in special.items()}, b"".join)
 
     def stream(self, text: str) -> Iterator[bytes]:
         """Ids of a text without special tokens, emitted as they get stable."""
@@ -243,7 +243,7 @@ class Encoder:
         return [b"".join(map(get, words)) for words in cut]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        return self.memo.ids(texts)
+        return self.memo.values(texts)
 
 
 class Decoder:

@@ -38,6 +38,8 @@ WINDOW = 1024
 #: that can't be filled, so padding is about one window in GROUP / 2.
 GROUP = 20_000
 FULL = 1 << 62
+#: Bytes of text encoded at a time.
+TEXT_BYTES = 4 << 20
 
 _LOADED: dict[str, object] = {}
 
@@ -58,8 +60,8 @@ def load(path: str):
             return [np.array(x.ids, "<u4").tobytes() for x in own.encode_batch_fast(texts, add_special_tokens=False)]
 
         if cuts_are_safe(spec):
-            special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-            _LOADED[path] = UnitMemo(encode, lambda text: encode([text]), special).ids
+            special = {t["content"]: t["id"].to_bytes(4, "little") for t in spec.get("added_tokens", [])}
+            _LOADED[path] = UnitMemo(encode, lambda text: encode([text]), special, b"".join).values
         else:
             _LOADED[path] = encode
     return _LOADED[path]
@@ -138,7 +140,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDO
         encode, end = load(tokenizer), end_id.to_bytes(4, "little")
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for at, stop, chunk in chunks(batch):
+            for at, stop, chunk in chunks(batch, TEXT_BYTES):
                 rows, own = [], []
                 for doc_id, ids in zip(chunk.ids.tolist(), encode(batch.column(1).slice(at, stop - at).to_pylist()), strict=True):
                     view = memoryview(ids + end)

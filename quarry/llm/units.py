@@ -1,8 +1,9 @@
-"""A bounded memo of encoded text units, for operators 4 and 7.
+"""A bounded memo of encoded text units, for operators 1, 4 and 7.
 
-A unit is white space and the run that follows it.  Byte-level patterns
-never carry a token over the end of a unit, so a text's ids are its
-units' ids joined."""
+A unit is white space and the run that follows it, cut once more between
+a word of letters and the punctuation after it.  Byte-level patterns never
+carry a token over the end of a unit, so a text's ids are its units' ids
+joined."""
 
 from __future__ import annotations
 
@@ -11,22 +12,25 @@ from collections.abc import Callable, Iterable, Iterator
 
 from quarry.llm.common import WHITE
 
-UNITS = re.compile(rf"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-#: Units kept by a worker; the memo starts afresh beyond.
-MEMO_UNITS = 400_000
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+UNITS = re.compile(rf"[{WHITE}]*[{LETTERS}]+(?=[{WHITE}.,;:!?]|$)|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+#: Units of a generation of a worker's memo; of the generation before, the
+#: ones met again move on, the others go.
+MEMO_UNITS = 500_000
 #: Units longer than this are encoded by themselves and not kept.
 LONG_UNIT = 64
 
 
-class UnitMemo:
-    """Ids (little-endian unsigned 32-bit) of texts through their units."""
+class UnitMemo[T]:
+    """What texts encode to (ids as bytes, or counts of them), through their
+    units: ``join`` puts the values of a text's units together."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], stream: Callable[[str], Iterable[bytes]],
-                 special: dict[str, int] | None = None, limit: int = MEMO_UNITS):
-        self.encode, self.stream, self.limit = encode, stream, limit
-        self.special = special or {}
+    def __init__(self, encode: Callable[[list[str]], list[T]], stream: Callable[[str], Iterable[T]],
+                 special: dict[str, T], join: Callable[[Iterable[T]], T], limit: int = MEMO_UNITS):
+        self.encode, self.stream, self.special, self.join, self.limit = encode, stream, special, join, limit
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, T] = {}
+        self.older: dict[str, T] = {}
 
     def parts(self, text: str) -> Iterator[tuple[bool, str]]:
         """(is a special token, part) of a text."""
@@ -37,28 +41,32 @@ class UnitMemo:
             if part:
                 yield bool(k % 2), part
 
-    def learn(self, units: Iterable[str]) -> None:
+    def learn(self, units: set[str]) -> None:
         """Encode the units that aren't known yet, all in one call."""
-        new = [u for u in units if u not in self.known and len(u) <= LONG_UNIT]
+        new = units.difference(self.known)
         if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = [u for u in units if len(u) <= LONG_UNIT]
+            self.older, self.known = self.known, {}
+            new = units
+        again = new.intersection(self.older)
+        self.known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        new = [u for u in new.difference(again) if len(u) <= LONG_UNIT]
         if new:
             self.known.update(zip(new, self.encode(new), strict=True))
 
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each of ``texts`` (together of bounded size)."""
+    def values(self, texts: list[str]) -> Iterator[T]:
+        """The value of each of ``texts`` (together of bounded size)."""
         cut = [[(special, part if special else UNITS.findall(part)) for special, part in self.parts(text)] for text in texts]
-        self.learn({u for parts in cut for special, units in parts if not special for u in units})
-        get = self.known.get
+        units: set[str] = set()
         for parts in cut:
-            out = []
-            for special, units in parts:
-                if special:
-                    out.append(self.special[units].to_bytes(4, "little"))
-                    continue
-                got = list(map(get, units))
-                if None in got:
-                    got = [b"".join(self.stream(u)) if x is None else x for u, x in zip(units, got, strict=True)]
-                out.append(b"".join(got))
-            yield b"".join(out)
+            for special, part in parts:
+                if not special:
+                    units.update(part)
+        self.learn(units)
+        for parts in cut:
+            yield self.join(self.special[part] if special else self._joined(part) for special, part in parts)
+
+    def _joined(self, units: list[str]) -> T:
+        try:
+            return self.join(map(self.known.__getitem__, units))
+        except KeyError:  # some are too long to be kept
+            return self.join(self.known[u] if u in self.known else self.join(self.stream(u)) for u in units)
