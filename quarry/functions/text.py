@@ -129,15 +129,24 @@ def unescape_basic(col) -> Column:
     return out
 
 
-def drop_replacement_chars(col) -> Column:
-    """``bytes.decode('utf-8', errors='ignore')`` on a string column:
-    make it valid UTF-8, then drop U+FFFD."""
-    return F.replace(F.make_valid_utf8(_c(col)), F.lit("\ufffd"), F.lit(""))
+# Two noncharacters that stand in for a genuine U+FFFD while a body is
+# repaired (no text may hold them).
+KEPT_MARK = "\ufdd0\ufdd1"
+
+
+def drop_invalid_bytes(col) -> Column:
+    """``bytes.decode('utf-8', errors='ignore')`` on a string column: valid
+    strings are untouched, of others only the invalid bytes go (a U+FFFD
+    that is in the bytes stays)."""
+    c = _c(col)
+    kept = F.replace(c, F.lit("\ufffd"), F.lit(KEPT_MARK))
+    bare = F.replace(F.make_valid_utf8(kept), F.lit("\ufffd"), F.lit(""))
+    return F.when(F.is_valid_utf8(c), c).otherwise(F.replace(bare, F.lit(KEPT_MARK), F.lit("\ufffd")))
 
 
 def decode_body(col) -> Column:
     """Binary or string body to text with invalid bytes ignored."""
-    return drop_replacement_chars(_c(col).cast("string"))
+    return drop_invalid_bytes(_c(col).cast("string"))
 
 
 def ilike_literal(col, keyword: str) -> Column:

@@ -45,8 +45,9 @@ def as_pages(df: DataFrame) -> DataFrame:
 # --- gates -------------------------------------------------------------
 
 def gate_reason(url: Column, status: Column, login_marker: str = "LogonForm",
-                blocked_status=(401, 403), login_word: str | None = "login") -> Column:
-    """Why a page is dropped before extraction, or null if it is kept."""
+                blocked_status=(401, 403), login_word: str | None = None) -> Column:
+    """Why a page is dropped before extraction, or null if it is kept.
+    ``login_word``: also drop urls that hold it (a browser check, off)."""
     reason = (
         F.when(url.contains(login_marker), F.lit("login_form"))
         .when(status.isin(*blocked_status), F.lit("status_blocked"))
@@ -161,16 +162,16 @@ def pages_without_items(pages: DataFrame, keyword: str) -> DataFrame:
 
 # --- paragraphs (C11, C12) -------------------------------------------
 
-def paragraph_text(pages: DataFrame, limit: int = 1000,
+def paragraph_text(pages: DataFrame, limit: int | None = 1000,
                    default: str = "No description available") -> DataFrame:
     """All non-blank paragraphs joined by a space, cut to ``limit``
-    characters, ``default`` when there is none."""
-    paras = F.filter(H.paragraphs("html"), lambda p: p != "")
-    joined = F.array_join(paras, " ")
-    return pages.select(
-        "page_id",
-        T.or_default(T.truncate(joined, limit), default).alias("text"),
-    )
+    characters (None: whole), ``default`` when there is none."""
+    return pages.select("page_id", joined_paragraphs("html", limit, default).alias("text"))
+
+
+def joined_paragraphs(html, limit: int | None = None, default: str = "No description available") -> Column:
+    joined = F.array_join(F.filter(H.paragraphs(html), lambda p: p != ""), " ")
+    return T.or_default(joined if limit is None else T.truncate(joined, limit), default)
 
 
 def paragraph_rows(pages: DataFrame) -> DataFrame:

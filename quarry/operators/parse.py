@@ -43,6 +43,9 @@ CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 RAW_TEXT = frozenset(("script", "style"))
+# Where the search for an open paragraph or list item ends.
+P_SCOPE = frozenset("table td th caption button object template".split())
+LI_SCOPE = P_SCOPE | {"ul", "ol", "menu"}
 
 
 _XML_WS = re.compile(r"[ \t\r\n]+")
@@ -66,10 +69,18 @@ class _Tree(HTMLParser):
                 del self.stack[i:]
                 return
 
+    def _open_within(self, tag, scope):
+        for p in reversed(self.stack):
+            if self.nodes[p][1] == tag:
+                return True
+            if self.nodes[p][1] in scope:
+                return False
+        return False
+
     def handle_starttag(self, tag, attrs):
-        if tag in CLOSES_P and any(self.nodes[p][1] == "p" for p in self.stack):
+        if tag in CLOSES_P and self._open_within("p", P_SCOPE):
             self._close_until("p")
-        if tag == "li" and any(self.nodes[p][1] == "li" for p in self.stack):
+        if tag == "li" and self._open_within("li", LI_SCOPE):
             self._close_until("li")
         pos = len(self.nodes)
         parent = self.stack[-1] if self.stack else -1
@@ -109,8 +120,8 @@ def parse_nodes(html: str | None):
     try:
         t.feed(html)
         t.close()
-    except Exception:  # noqa: BLE001 - malformed markup keeps what was read
-        pass
+    except Exception:  # noqa: BLE001 - a page that can't be read has no nodes (``unread_pages``)
+        return None
     return [
         {"pos": n[0], "tag": n[1], "parent": n[2], "depth": n[3], "path": n[4], "attrs": n[5],
          "text": _ns("".join(n[6])), "own_text": _ns("".join(n[7]))}
@@ -132,6 +143,12 @@ def with_nodes(pages: DataFrame) -> DataFrame:
     return pages.withColumn("nodes", node_table("html"))
 
 
+def unread_pages(pages: DataFrame) -> DataFrame:
+    """Pages with a body that the tokenizer couldn't read, as rejects."""
+    tried = pages if "nodes" in pages.columns else with_nodes(pages)
+    return tried.where(F.col("html").isNotNull() & F.col("nodes").isNull()).select("page_id", "url", F.lit("unreadable").alias("reason"))
+
+
 # --- node predicates ------------------------------------------------------
 
 def has_class(n: Column, cls: str) -> Column:

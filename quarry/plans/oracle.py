@@ -1,13 +1,12 @@
 """SQL fragments for the independent oracle (DuckDB dialect).
 
-They restate the column functions' semantics in plain SQL with the same
-regular expressions, so a registered query and its oracle share only
-the patterns, not the code path.
+They restate the column functions' semantics in plain SQL, with patterns
+of their own for markup: a tag is found first, its attributes are taken
+apart one by one, and blocks end at any tag that isn't inline.
 """
 
 from __future__ import annotations
 
-from ..functions import html as H
 from ..functions import text as T
 from ..operators.embed import TOKEN_RE
 
@@ -17,8 +16,22 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+SCRIPTS = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+INLINE_TAGS = ("abbr|acronym|audio|b|bdi|bdo|big|br|button|canvas|center|cite|code|data|datalist|del|dfn|em|embed|font|i|"
+               "iframe|img|input|ins|kbd|label|map|mark|math|meter|noscript|object|output|picture|progress|q|s|samp|"
+               "select|small|span|strike|strong|sub|sup|svg|template|textarea|time|tt|u|var|video|wbr")
+# Inline markup is taken out of the page before blocks are cut.
+INLINE_TAG = rf"(?is)</?(?:{INLINE_TAGS})(?:[\s/][^>]*)?>"
+
+
 def drop_scripts(x: str) -> str:
-    return f"regexp_replace({x}, {q(H.SCRIPT_RE)}, '', 'g')"
+    return f"regexp_replace({x}, {q(SCRIPTS)}, '', 'g')"
+
+
+def flat(x: str, links: bool = False) -> str:
+    """The page without scripts and inline tags (and without link tags)."""
+    out = f"regexp_replace({drop_scripts(x)}, {q(INLINE_TAG)}, '', 'g')"
+    return f"regexp_replace({out}, {q(r'(?is)</?a(?:[\s/][^>]*)?>')}, '', 'g')" if links else out
 
 
 def strip_ws(x: str) -> str:
@@ -45,25 +58,35 @@ def clean_text(x: str) -> str:
     return normalize_space(unescape_basic(f"regexp_replace({x}, '<[^>]*>', '', 'g')"))
 
 
+HREF = r"""(?is)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def _linked(html: str) -> str:
+    """Opening tags with an href, and the text up to the next block or link tag."""
+    return (f"list_filter(regexp_extract_all({flat(html)}, {q(r'(?is)<a\s[^>]*>[^<]*')}), "
+            f"lambda t: regexp_matches(regexp_extract(t, '^[^>]*>'), {q(HREF)}))")
+
+
 def link_hrefs(html: str) -> str:
-    return f"regexp_extract_all({drop_scripts(html)}, {q(H.LINK_RE)}, 1)"
+    value = f"regexp_extract(regexp_extract(t, '^[^>]*>'), {q(HREF)}, 1)"
+    bare = f"regexp_replace({value}, {q(chr(94) + '[' + chr(34) + chr(39) + ']|[' + chr(34) + chr(39) + ']$')}, '', 'g')"
+    return f"list_transform({_linked(html)}, lambda t: {unescape_basic(bare)})"
 
 
 def link_texts(html: str) -> str:
-    return (f"list_transform(regexp_extract_all({drop_scripts(html)}, {q(H.LINK_RE)}, 2), "
-            f"lambda t: {clean_text('t')})")
+    return f"list_transform({_linked(html)}, lambda t: {clean_text('regexp_replace(t, ' + q('^[^>]*>') + ', ' + q('') + ')')})"
 
 
 def title(html: str) -> str:
-    return clean_text(f"regexp_extract({html}, {q(H.TITLE_RE)}, 1)")
+    return clean_text(f"regexp_extract({html}, {q(r'(?is)<title[^>]*>([^<]*)</title>')}, 1)")
 
 
 def heading(html: str) -> str:
-    return clean_text(f"regexp_extract({drop_scripts(html)}, {q(H.H1_RE)}, 1)")
+    return clean_text(f"regexp_extract({flat(html)}, {q(r'(?is)<h1[^>]*>([^<]*)')}, 1)")
 
 
 def paragraphs(html: str) -> str:
-    return (f"list_transform(regexp_extract_all({drop_scripts(html)}, {q(H.PARA_RE)}, 1), "
+    return (f"list_transform(regexp_extract_all({flat(html, True)}, {q(r'(?is)<p(?:\s[^>]*)?>([^<]*)')}, 1), "
             f"lambda t: {clean_text('t')})")
 
 

@@ -8,7 +8,7 @@ from ..functions import url as U
 from ..operators import crawl as C
 from ..operators import dedupe as D
 from ..operators import pages as P
-from ..session import read_table
+from ..session import materialize, read_table
 from . import oracle as O
 from .registry import register
 
@@ -23,7 +23,6 @@ FIRST_N = 3
 NEXT_LABEL = "the"
 STEM_SUFFIX = ".html"
 MAX_DEPTH = 5
-FANOUT = 3
 
 
 def pages(spark, sf):
@@ -34,6 +33,12 @@ LINKS_SQL = f"""
   (SELECT page_id, url, {O.link_hrefs('html')} AS hrefs, {O.link_texts('html')} AS texts
    FROM pages)"""
 
+# Pages with their links as lists; the language is what job_harvest adds.
+LANG_SQL = "regexp_extract(html, '(?i)<html[^>]*\\slang=\"([^\"]*)\"', 1)"
+HARVEST_LINKS_SQL = f"""
+  (SELECT page_id, url, lang, unnest(generate_series(1, len(hrefs)))::BIGINT AS pos, unnest(hrefs) AS href, unnest(texts) AS text
+   FROM (SELECT page_id, url, {LANG_SQL} AS lang, {O.link_hrefs('html')} AS hrefs, {O.link_texts('html')} AS texts FROM pages))"""
+
 EXPLODED_SQL = f"""
   (SELECT page_id, url, unnest(generate_series(1, len(hrefs)))::BIGINT AS pos,
           unnest(hrefs) AS href, unnest(texts) AS text
@@ -170,8 +175,7 @@ def url_fingerprint(spark, sf):
 @register("page_gate", """
 SELECT page_id, url,
        CASE WHEN contains(url, 'LogonForm') THEN 'login_form'
-            WHEN 200 IN (401, 403) THEN 'status_blocked'
-            WHEN contains(lower(url), 'login') THEN 'login_url' END AS gate
+            WHEN 200 IN (401, 403) THEN 'status_blocked' END AS gate
 FROM pages""")
 def page_gate(spark, sf):
     return P.page_gate(pages(spark, sf)).select("page_id", "url", "gate")
@@ -188,23 +192,30 @@ def seed_urls(spark, sf):
 
 
 def link_edges(p):
-    """Edges of the stored link graph: link ``pos`` of page ``p`` leads
-    to page ``p * FANOUT + pos`` when that page is stored (the test pages'
-    links do not name other stored pages, so targets are derived from
-    positions)."""
-    links = P.explode_links(p, keep=("page_id",))
-    targets = p.select(F.col("page_id").alias("dst"))
-    return (
-        links.select(F.col("page_id").alias("src"),
-                     (F.col("page_id") * FANOUT + F.col("pos")).alias("dst"))
-        .join(targets, "dst")
-    )
+    """Edges of the stored link graph: a page's links, resolved against its
+    url and put in canonical form, joined with the canonical urls of the
+    stored pages (the first page of each); loops are no edges."""
+    links = P.explode_links(p, keep=("page_id", "url"))
+    # written before it is put in canonical form: the resolved url's
+    # expression would be repeated for each of its parts
+    links = materialize(U.with_resolved(links, "url", "href", "abs_url").select("page_id", "abs_url"), "resolved")
+    links = links.select(F.col("page_id").alias("src"), U.canonical_url(F.col("abs_url")).alias("target"))
+    stored = p.select("page_id", U.canonical_url(F.col("url")).alias("target")).groupBy("target").agg(F.min("page_id").alias("dst"))
+    return links.join(stored, "target").where(F.col("src") != F.col("dst")).select("src", "dst").distinct()
 
 
 EDGES_SQL = f"""
-  (SELECT e.src, e.dst FROM
-     (SELECT page_id AS src, page_id * {FANOUT} + pos AS dst FROM {EXPLODED_SQL}) e
-   JOIN pages p ON p.page_id = e.dst)"""
+  (SELECT DISTINCT e.src, s.dst FROM
+     (SELECT page_id AS src, {O.canonical_url('abs_url')} AS target FROM
+        (SELECT page_id, {O.resolve('url', 'href')} AS abs_url FROM {EXPLODED_SQL})) e
+   JOIN (SELECT {O.canonical_url('url')} AS target, min(page_id) AS dst FROM pages GROUP BY 1) s ON s.target = e.target
+   WHERE e.src <> s.dst)"""
+
+
+@register("link_edges", f"SELECT src, dst FROM {EDGES_SQL}")
+def stored_link_edges(spark, sf):
+    """Links between stored pages, from their hrefs."""
+    return link_edges(pages(spark, sf).select("page_id", "url", "html"))
 
 
 @register("crawl_depth", f"""
@@ -217,8 +228,8 @@ walk(node, depth) AS (
 SELECT node AS page_id, min(depth)::BIGINT AS depth FROM walk GROUP BY node""")
 def crawl_depth(spark, sf):
     """Breadth-first walk from the pages nobody links to, depth ≤ 5."""
-    p = pages(spark, sf).select("page_id", "html")
-    edges = link_edges(p)
+    p = pages(spark, sf).select("page_id", "url", "html")
+    edges = materialize(link_edges(p), "links")
     roots = p.select(F.col("page_id").alias("node")).join(
         edges.select(F.col("dst").alias("node")), "node", "left_anti")
     return C.bfs(roots, edges, MAX_DEPTH).select(
