@@ -1,9 +1,10 @@
 """Keep-first de-duplication and request fingerprints.
 
-``dedupe_first`` is a grouped ``min_by`` rather than a
-``row_number()`` window: the aggregate is computed partially on the map
-side, so a key that holds a third of all rows still leaves each map task
-as one row, and no task ever sorts a hot key's rows.
+``dedupe_first`` works in two steps: the least ordinal of each key, a
+partial aggregate over keys and ordinals alone, then a semi-join of the
+rows on (key, ordinal).  No row is carried through the aggregation, a key
+that holds a third of all rows leaves each map task as one small row, and
+the join is hash-partitioned by pairs that are unique.
 """
 
 from __future__ import annotations
@@ -24,34 +25,31 @@ def dedupe_first(df: DataFrame, keys: str | Sequence[str], order: str | Sequence
                  digest: bool = False, keep_null_keys: bool = True) -> DataFrame:
     """Keep, per key, the row with the smallest ``order`` (input order).
 
-    One grouped ``min_by``: partial aggregation on the map side means a
-    key holding a third of all rows leaves every map task as one row.
-    ``digest=True`` groups by the SHA-256 of the key text, which keeps
-    long keys (whole documents) out of the shuffle.  Rows whose key is
-    null are never merged: they group by their own ordinal (and pass
-    through, or are dropped with ``keep_null_keys=False``).
+    ``digest=True`` compares the SHA-256 of the key text, which keeps long
+    keys (whole documents) out of the shuffle.  Rows whose key is null are
+    never merged: they group by their own ordinal (and pass through, or are
+    dropped with ``keep_null_keys=False``).  ``order`` is unique per row.
     """
     keys, order = _keys(keys), _keys(order)
-    cols = df.columns
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()
-    if digest:
-        group_cols = [F.sha2(F.col(k).cast("string"), 256).alias(f"__k{i}") for i, k in enumerate(keys)]
-    else:
-        group_cols = [F.col(k) for k in keys]
-    ordering = F.struct(*[F.col(o) for o in order]) if len(order) > 1 else F.col(order[0])
-    own_group = F.when(null_key, ordering).alias("__nk")
-    firsts = (
-        df.groupBy(*group_cols, own_group)
-        .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), ordering).alias("__row"))
-    )
     if not keep_null_keys:
-        keep = F.lit(True)
-        for k in keys:
-            keep = keep & F.col(f"__row.{k}").isNotNull()
-        firsts = firsts.where(keep)
-    return firsts.select("__row.*")
+        df = df.where(~null_key)
+    names = [f"__k{i}" for i in range(len(keys))]
+    own = F.when(null_key, F.struct(*[F.col(o) for o in order]))
+    parts = [F.sha2(F.col(k).cast("string"), 256) if digest else F.col(k) for k in keys]
+    tagged = df.select("*", *[p.alias(n) for p, n in zip(parts, names, strict=True)], own.alias("__nk"))
+    least = F.min(F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order]))
+    firsts = tagged.select(*names, "__nk", *order).groupBy(*names, "__nk").agg(least.alias("__o"))
+    firsts = firsts.select(*[F.col(n).alias(f"{n}f") for n in names],
+                           *[(F.col("__o") if len(order) == 1 else F.col(f"__o.{o}")).alias(f"__o{i}") for i, o in enumerate(order)])
+    # an ordinal is unique, so a null key needs no null group of its own here
+    on = [F.col(n).eqNullSafe(F.col(f"{n}f")) for n in names] + [F.col(o).eqNullSafe(F.col(f"__o{i}")) for i, o in enumerate(order)]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return tagged.join(firsts, cond, "left_semi").select(*df.columns)
 
 
 def flag_first(df: DataFrame, keys: str | Sequence[str], order: str,
@@ -69,11 +67,15 @@ def flag_first(df: DataFrame, keys: str | Sequence[str], order: str,
         knames = [f"__k{i}" for i in range(len(keys))]
     else:
         df2, knames = df, keys
-    firsts = df2.groupBy(*knames).agg(F.min(order).alias(order)).withColumn("__first", F.lit(True))
+    firsts = df2.groupBy(*knames).agg(F.min(order).alias("__order"))
+    firsts = firsts.select(*[F.col(k).alias(f"__f{i}") for i, k in enumerate(knames)], "__order", F.lit(True).alias("__first"))
+    cond = F.col(order) == F.col("__order")
+    for i, k in enumerate(knames):  # a null key has a first row too
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__f{i}"))
     return (
-        df2.join(firsts, knames + [order], "left")
+        df2.join(firsts, cond, "left")
         .withColumn(flag, F.coalesce(F.col("__first"), F.lit(False)))
-        .drop("__first", *([k for k in knames if k.startswith("__k")]))
+        .select(*df.columns, flag)
     )
 
 

@@ -109,14 +109,11 @@ def brand_column(source: Column, mapping: Mapping[str, str], default: str) -> Co
 
 
 def brand_by_table(df: DataFrame, brands: DataFrame, source_col: str = "source",
-                   default: str = "generic", broadcast_rows: int = 100_000) -> DataFrame:
-    """Brand from a mapping table (``source, brand``).  The table is
-    broadcast only when its row count is under ``broadcast_rows``;
-    otherwise it is an ordinary shuffled join."""
-    small = brands.limit(broadcast_rows + 1).count() <= broadcast_rows
-    right = F.broadcast(brands) if small else brands
+                   default: str = "generic") -> DataFrame:
+    """Brand from a mapping table (``source, brand``): an ordinary join; the
+    optimizer knows the table's size."""
     return (
-        df.join(right.withColumnRenamed("source", "__src"), F.col(source_col) == F.col("__src"), "left")
+        df.join(brands.withColumnRenamed("source", "__src"), F.col(source_col) == F.col("__src"), "left")
         .withColumn("brand", F.coalesce(F.col("brand"), F.lit(default)))
         .drop("__src")
     )
@@ -135,11 +132,12 @@ def record_ids(df: DataFrame, text_col: str, ordinal_col: str, prefix: str = "do
 
 
 def vector_metadata(brand: Column, issue: Column, solution: Column, product: Column,
-                    category: Column, url: Column, db_id: Column) -> Column:
-    """The metadata record stored with a vector (long solutions blanked
-    by the word gate; the full text is recovered by ``backfill``)."""
+                    category: Column, url: Column, db_id: Column, gated: bool = True) -> Column:
+    """The metadata record stored with a vector; ``gated`` blanks solutions
+    of 100 words or more (``backfill`` recovers them)."""
     return F.struct(
-        brand.alias("brand"), issue.alias("issue"), T.word_gate(solution).alias("solution"),
+        brand.alias("brand"), issue.alias("issue"),
+        (T.word_gate(solution) if gated else solution).alias("solution"),
         product.alias("product"), category.alias("category"), url.alias("url"),
         db_id.cast("string").alias("db_id"),
     )

@@ -15,7 +15,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from .dedupe import dedupe_first
 
@@ -27,11 +26,10 @@ CURRENT_POINTER = "_CURRENT"
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Create an empty Parquet table with ``schema`` unless one exists;
     return the table."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
         spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-        return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 # --- B5/E1: insert if absent ----------------------------------------------
@@ -114,11 +112,9 @@ def upsert(existing: DataFrame, new: DataFrame, key: str = "id", order: str | No
     """Same key replaces, new key inserts.  Within ``new`` the last row
     per key (``order``) wins."""
     if order:
-        last = (
-            new.groupBy(key)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in new.columns]), F.col(order)).alias("__r"))
-            .select("__r.*")
-        )
+        # keys and ordinals alone are aggregated; the rows follow by a semi-join
+        newest = new.groupBy(key).agg(F.max(order).alias(order))
+        last = new.join(newest, [key, order], "left_semi").dropDuplicates([key])
     else:
         last = new.dropDuplicates([key])
     kept = existing.join(last.select(key), key, "left_anti")
@@ -145,8 +141,12 @@ def write_version(df: DataFrame, root: str) -> str:
     out = fs.create(tmp, True)
     out.write(bytearray(version.encode()))
     out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+    # one atomic step: a reader sees the old pointer or the new one
+    jvm = spark._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(tmp.toUri(), spark._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(tmp), fs.makeQualified(p), options)
     return path
 
 
@@ -179,16 +179,26 @@ def write_routed(df: DataFrame, path: str, route_col: str = "route", mode: str =
     df.write.mode(mode).partitionBy(route_col).option("ignoreNullFields", "false").json(path)
 
 
-def export_json_array(df: DataFrame, path: str, max_rows: int = 1_000_000) -> None:
-    """One pretty JSON array file, for small exports only: the row count is
-    checked first, because a single array is written by a single task."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is too many for a single JSON array; use write_jsonl")
-    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("j"))
-    body = lines.coalesce(1).agg(
-        F.concat(F.lit("[\n    "), F.array_join(F.collect_list("j"), ",\n    "), F.lit("\n]")).alias("value"))
-    body.coalesce(1).write.mode("overwrite").text(path)
+def export_json_array(df: DataFrame, path: str) -> None:
+    """One JSON array file.  One file is one task's work, but rows stream
+    through it one Arrow batch at a time; use ``write_jsonl`` for feeds
+    that are read in parallel."""
+    lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+    def run(batches):
+        import pandas as pd
+
+        lead = "["
+        for pdf in batches:
+            out = "    " + pdf["value"]
+            out.iloc[1:] = "," + out.iloc[1:]
+            if len(out):
+                out.iloc[0] = (lead if lead == "," else "[\n") + out.iloc[0]
+                lead = ","
+            yield pd.DataFrame({"value": out})
+        yield pd.DataFrame({"value": ["]" if lead == "," else "[]"]})
+
+    lines.coalesce(1).mapInPandas(run, "value string").write.mode("overwrite").text(path)
 
 
 # --- B9: batched delivery to an external sink --------------------------------
@@ -196,29 +206,25 @@ def export_json_array(df: DataFrame, path: str, max_rows: int = 1_000_000) -> No
 DELIVERY = "batch long, first_id string, n long, ok boolean, error string"
 
 
-def deliver(df: DataFrame, send, batch_size: int = 100, id_col: str = "id") -> DataFrame:
-    """Hand rows to ``send(list_of_dicts)`` in batches of ``batch_size``
-    inside the tasks (one client per partition, as many in flight as
-    there are partitions).  A failing batch is reported and skipped, the
-    others go through.  Returns one report row per batch; nothing is
-    collected to the driver.  ``send`` must be idempotent per id (upsert)
-    because Spark may retry a task."""
+def deliver(df: DataFrame, send, id_col: str = "id", batch_col: str = "batch_id") -> DataFrame:
+    """Hand rows to ``send(list_of_dicts)`` batch by batch, as numbered by
+    ``batch_col`` (``batch_ids``: fixed sizes), inside the tasks.  A failing
+    batch is reported and skipped, the others go through.  Returns one
+    report row per batch; nothing is collected to the driver.  ``send``
+    must be idempotent per id (upsert) because Spark may retry a task."""
     import pandas as pd
 
-    def run(batches):
-        for pdf in batches:
-            for start in range(0, len(pdf), batch_size):
-                chunk = pdf.iloc[start:start + batch_size]
-                recs = chunk.to_dict("records")
-                try:
-                    send(recs)
-                    ok, err = True, None
-                except Exception as e:  # noqa: BLE001 - reported, not raised
-                    ok, err = False, f"{type(e).__name__}: {e}"[:500]
-                yield pd.DataFrame({"batch": [start // batch_size], "first_id": [str(recs[0].get(id_col))],
-                                    "n": [len(recs)], "ok": [ok], "error": [err]})
-
-    return df.mapInPandas(run, DELIVERY)
+    def run(key, pdf):
+        recs = pdf.drop(columns=[batch_col]).to_dict("records")
+        try:
+            send(recs)
+            ok, err = True, None
+        except Exception as e:  # noqa: BLE001 - reported, not raised
+            ok, err = False, f"{type(e).__name__}: {e}"[:500]
+        return pd.DataFrame({"batch": [key[0]], "first_id": [str(recs[0].get(id_col))], "n": [len(recs)],
+                             "ok": [ok], "error": [err]})
+
+    return df.groupBy(batch_col).applyInPandas(run, DELIVERY)
 
 
 # --- E3: pairing two inputs by ordinal ----------------------------------------

@@ -35,19 +35,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get(CHECKPOINT_CONF, None) and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-ckpt-"))  # one machine: local is shared
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is created.
-    """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; an
+    error where none is named (executors could not see a folder of this
+    machine)."""
+    path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
@@ -71,19 +70,5 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def balanced(df):
-    """Spread a scan that yields fewer partitions than the cluster has
-    task slots (e.g. one large row group) over all slots.  Inputs with
-    enough splits - any real-size table - are returned unchanged, so this
-    adds a shuffle only where a single task would otherwise do all the
-    per-row work."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote session): leave as is
-        return df
-    return df.repartition(slots) if parts < slots else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return balanced(spark.read.parquet(table_path(sf_dir, name)))
+    return spark.read.parquet(table_path(sf_dir, name))

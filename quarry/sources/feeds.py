@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json as J
 from ..functions import text as T
+from ..operators.items import normalise_keys
 from ..schema import ITEM
 
 
@@ -59,12 +60,7 @@ def _records(objs: DataFrame) -> DataFrame:
     """``objs``: file, ordinal, v (object variant) → normalised records."""
     rec = objs.select("file", "ordinal", *_fields(F.col("v")),
                       F.json_object_keys(F.to_json(F.col("v"))).alias("keys"))
-    return (
-        rec.withColumn("issue", F.when(F.array_contains("keys", "title"), F.col("title"))
-                       .otherwise(F.col("issue")))
-        .withColumn("solution", F.when(F.array_contains("keys", "description"), F.col("description"))
-                    .otherwise(F.col("solution")))
-    )
+    return normalise_keys(rec)
 
 
 def _classify(lines: DataFrame) -> DataFrame:
@@ -196,11 +192,23 @@ def read_auto(spark: SparkSession, paths: str | Sequence[str], require_shape: bo
     classified = _classify(lines).select("file", "ordinal", "v", "reason", "line")
     feed = _split(exploded.select("file", "ordinal", "v", "reason", "line").unionByName(classified),
                   require_shape)
-    # Position of the source in the given path list (a path may be a file
-    # or a directory; the metadata path is a URI that contains it).
-    idx = F.coalesce(*[F.when(F.col("file").contains(p.rstrip("/")), F.lit(i)) for i, p in enumerate(paths)],
-                     F.lit(len(paths)))
-    return Feed(feed.records.withColumn("source_index", idx), feed.rejects)
+    return Feed(feed.records.withColumn("source_index", source_index(spark, paths)), feed.rejects)
+
+
+def source_index(spark: SparkSession, paths: Sequence[str]) -> Column:
+    """Position of a row's source in the list of paths: the path is the
+    row's file, or a folder above it (the longest such path); both are
+    compared as qualified, decoded paths."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    full = []
+    for i, p in enumerate(paths):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        full.append((hp.getFileSystem(conf).makeQualified(hp).toUri().getPath().rstrip("/"), i))
+    name = F.regexp_replace(F.url_decode(F.replace(F.col("file"), F.lit("+"), F.lit("%2B"))), "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    out = F.lit(len(paths))
+    for path, i in sorted(full, key=lambda x: (len(x[0]), -x[1])):  # the longest is tested first
+        out = F.when((name == path) | name.startswith(path + "/"), F.lit(i)).otherwise(out)
+    return out
 
 
 def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
