@@ -1,22 +1,25 @@
 """Retrieval: cosine top-k, keyword search, hybrid answers, back-fill.
 
-Top-k never materialises query × corpus pairs.  The query block (its
-size checked first) is broadcast; every corpus partition scores its
-Arrow batches against the block with one numpy matrix product and keeps
-only the best ``k`` per query; a final ranking over at most
-``k × partitions`` candidates per query picks the global top ``k``.
-Queries beyond the broadcast bound are processed in several blocks.
+Top-k never materialises query × corpus pairs.  Query blocks of fixed size
+meet slices of the corpus of fixed size as groups of one cogroup; a task
+scores tiles of fixed size with numpy and keeps the best ``k`` of its slice
+for each query, and a ranking over ``k`` rows per query and slice picks the
+global top ``k``.  Memory is the same whatever the number of queries, and
+nothing is collected.
+
+Keyword search joins rows with the distinct keywords of their brand (in
+blocks of fixed size), tests them with built-ins, and keeps the least
+ordinal of each keyword by partial aggregation; answers are fetched at the
+end, for the rows found alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions import text as T
 from ..schema import NO_MATCH
@@ -25,7 +28,11 @@ from ..schema import NO_MATCH
 # same vector scored on two paths (or two engines) ties exactly and
 # the tie goes to the smaller id.
 RANK_DIGITS = 9
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows of a query block and a corpus slice, and of a tile of scores.
+QUERY_BLOCK, CORPUS_SLICE = 4096, 65_536
+TILE_QUERIES, TILE_ROWS = 256, 8192
+# Keywords tested together in one row's array.
+KEYWORD_BLOCK = 500
 
 
 def _normalise(m: np.ndarray) -> np.ndarray:
@@ -34,207 +41,100 @@ def _normalise(m: np.ndarray) -> np.ndarray:
     return m / n
 
 
-def _partial_topk(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
-    dim = qmat.shape[1]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best_ids = [np.empty(0, dtype=object) for _ in qids]
-        best_sc = [np.empty(0) for _ in qids]
-        for pdf in batches:
-            vecs = pdf[vec_col]
-            ok = np.array([v is not None and len(v) == dim for v in vecs], dtype=bool)
-            if not ok.any():
-                continue
-            ids = pdf[id_col].to_numpy()[ok]
-            x = _normalise(np.stack([np.asarray(v, dtype=np.float64) for v in vecs[ok]]))
-            scores = np.round(x @ qmat.T, RANK_DIGITS)
-            for j in range(len(qids)):
-                cand_ids = np.concatenate([best_ids[j], ids])
-                cand_sc = np.concatenate([best_sc[j], scores[:, j]])
-                if len(cand_sc) > k:
-                    kth = np.partition(cand_sc, len(cand_sc) - k)[len(cand_sc) - k]
-                    keep = cand_sc >= kth
-                    cand_ids, cand_sc = cand_ids[keep], cand_sc[keep]
-                order = np.lexsort((cand_ids, -cand_sc))[:k]
-                best_ids[j], best_sc[j] = cand_ids[order], cand_sc[order]
-        rows_q, rows_id, rows_s = [], [], []
-        for j, q in enumerate(qids):
-            rows_q.extend([q] * len(best_ids[j]))
-            rows_id.extend(best_ids[j].tolist())
-            rows_s.extend(best_sc[j].tolist())
-        if rows_q:
-            yield pd.DataFrame({"query_id": rows_q, "id": rows_id, "score": rows_s})
-
-    return run
-
-
-def _query_blocks(queries: DataFrame, qid_col: str, qvec_col: str, max_bytes: int):
-    """Split the query side into blocks whose dense size is under
-    ``max_bytes``; the bound is checked before anything is collected."""
-    stats = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(qvec_col)).alias("dim")).first()
-    n, dim = int(stats["n"] or 0), int(stats["dim"] or 0)
-    if n == 0:
-        return []
-    per_block = max(1, max_bytes // max(1, dim * 8 + 64))
-    n_blocks = -(-n // per_block)
-    if n_blocks == 1:
-        return [queries]
-    tagged = queries.withColumn("__blk", F.pmod(F.xxhash64(F.col(qid_col)), F.lit(n_blocks)))
-    return [tagged.where(F.col("__blk") == b).drop("__blk") for b in range(n_blocks)]
+def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The ``k`` best rows of each query: columns q, qv and id, v."""
+    out: dict[str, list] = {"query_id": [], "id": [], "score": []}
+    for dim in sorted({len(v) for v in queries["qv"]}):
+        mine = queries[queries["qv"].map(len) == dim]
+        fit = rows[rows["v"].map(len) == dim]
+        if fit.empty:
+            continue
+        ids = fit["id"].to_numpy()
+        x = _normalise(np.stack([np.asarray(v, dtype=np.float64) for v in fit["v"]]))
+        for a in range(0, len(mine), TILE_QUERIES):
+            part = mine.iloc[a:a + TILE_QUERIES]
+            q = _normalise(np.stack([np.asarray(v, dtype=np.float64) for v in part["qv"]]))
+            best_i, best_s = [[] for _ in range(len(part))], [[] for _ in range(len(part))]
+            for b in range(0, len(ids), TILE_ROWS):
+                scores = np.round(q @ x[b:b + TILE_ROWS].T, RANK_DIGITS)
+                own = ids[b:b + TILE_ROWS]
+                kth = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.full(len(part), -np.inf)
+                for j in range(len(part)):
+                    keep = np.flatnonzero(scores[j] >= kth[j])
+                    one, val = [*best_i[j], *own[keep]], np.append(best_s[j], scores[j][keep])
+                    order = np.lexsort((np.array(one, dtype=object), -val))[:k]
+                    best_i[j], best_s[j] = [one[o] for o in order], val[order].tolist()
+            for qid, i, s in zip(part["q"], best_i, best_s, strict=True):
+                out["query_id"] += [qid] * len(i)
+                out["id"] += i
+                out["score"] += s
+    return pd.DataFrame(out)
 
 
 def topk_cosine(corpus: DataFrame, queries: DataFrame, k: int = 2, id_col: str = "id",
                 vec_col: str = "embedding", qid_col: str = "query_id",
-                qvec_col: str = "embedding", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
-                ) -> DataFrame:
+                qvec_col: str = "embedding") -> DataFrame:
     """Exact cosine top-``k`` corpus rows per query.
 
     Returns ``query_id, rank, id, score`` (score rounded to 6 digits).
     Rows with a null or wrong-length vector are not candidates; a zero
     vector scores 0.
     """
-    spark = corpus.sparkSession
-    id_type = corpus.schema[id_col].dataType
-    qid_type = queries.schema[qid_col].dataType
-    out_schema = StructType([
-        StructField("query_id", qid_type), StructField("id", id_type), StructField("score", DoubleType()),
-    ])
-    corpus_cols = corpus.select(id_col, vec_col)
-    parts = []
-    for block in _query_blocks(queries, qid_col, qvec_col, max_broadcast_bytes):
-        rows = block.select(qid_col, qvec_col).where(F.col(qvec_col).isNotNull()).collect()
-        if not rows:
-            continue
-        qids = np.array([r[0] for r in rows], dtype=object)
-        qmat = _normalise(np.array([np.asarray(r[1], dtype=np.float64) for r in rows]))
-        bq = spark.sparkContext.broadcast((qids, qmat))
-
-        def run(batches, bq=bq):
-            q, m = bq.value
-            return _partial_topk(q, m, k, id_col, vec_col)(batches)
-
-        parts.append(corpus_cols.mapInPandas(run, out_schema))
-    if not parts:
-        return spark.createDataFrame([], StructType([
-            out_schema["query_id"], StructField("rank", LongType()), out_schema["id"], out_schema["score"]]))
-    cands = parts[0]
-    for p in parts[1:]:
-        cands = cands.unionByName(p)
+    schema = StructType([StructField("query_id", queries.schema[qid_col].dataType), StructField("id", corpus.schema[id_col].dataType),
+                         StructField("score", DoubleType())])
+    asked = queries.where(F.col(qvec_col).isNotNull())
+    slices = max(1, -(-corpus.count() // CORPUS_SLICE))
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+
+    def each(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = asked.select(F.col(qid_col).alias("q"), F.col(qvec_col).alias("qv"),
+                        F.pmod(F.xxhash64(qid_col), F.lit(blocks)).cast("int").alias("block"), each(slices).alias("slice"))
+    right = corpus.where(F.col(vec_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(vec_col).alias("v"),
+        F.pmod(F.xxhash64(id_col), F.lit(slices)).cast("int").alias("in_slice"), each(blocks).alias("for_block"))
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"query_id": [], "id": [], "score": []})
+        return _best(a, b, k)
+
+    found = left.groupBy("block", "slice").cogroup(right.groupBy("for_block", "in_slice")).applyInPandas(run, schema)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("id").asc())
     return (
-        cands.withColumn("rank", F.row_number().over(w))
+        found.withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= k)
         .select("query_id", F.col("rank").cast("long").alias("rank"), "id",
                 F.round("score", 6).alias("score"))
     )
 
 
-AC_MIN_QUERIES = 16
-
-
-def _ac_partial(bq, order_col: str, text_col: str, brand_col: str | None):
-    """Per partition: one Aho-Corasick pass per row over the lower-cased
-    text finds every query keyword it contains; only the smallest
-    ``order`` per query leaves the partition.  The keyword list arrives
-    as a broadcast variable (once per executor, not per task)."""
-    def run(batches):
-        import ahocorasick
-
-        qrows = bq.value
-        auto = ahocorasick.Automaton()
-        by_kw: dict[str, list] = {}
-        match_all = []
-        for qid, kw, brand in qrows:
-            if kw == "":
-                match_all.append((qid, brand))
-            else:
-                by_kw.setdefault(kw, []).append((qid, brand))
-        for kw, qs in by_kw.items():
-            auto.add_word(kw, qs)
-        if by_kw:
-            auto.make_automaton()
-        best: dict = {}
-        for pdf in batches:
-            orders = pdf[order_col].tolist()
-            texts = pdf[text_col].tolist()
-            brands = pdf[brand_col].tolist() if brand_col else [None] * len(texts)
-            for o, t, b in zip(orders, texts, brands):
-                if t is None or o is None:
-                    continue
-                hit = list(match_all)
-                if by_kw:
-                    for _, qs in auto.iter(t.lower()):
-                        hit.extend(qs)
-                for qid, qb in hit:
-                    if brand_col and qb != b:
-                        continue
-                    cur = best.get(qid)
-                    if cur is None or o < cur[0]:
-                        best[qid] = (o, t)
-        if best:
-            yield pd.DataFrame({"query_id": list(best), "match_id": [v[0] for v in best.values()],
-                                "match": [v[1] for v in best.values()]})
-    return run
-
-
 def keyword_first_match(rows: DataFrame, queries: DataFrame, text_col: str, order_col: str,
-                        brand_col: str | None = None, max_queries: int = 100_000,
-                        default: str = NO_MATCH, answer_chars: int | None = None) -> DataFrame:
+                        brand_col: str | None = None, default: str = NO_MATCH,
+                        answer_chars: int | None = None) -> DataFrame:
     """Per query (``query_id, keyword[, brand]``): the first row in
     ``order_col`` order whose text contains the keyword
     case-insensitively (``ILIKE '%kw%'`` with the keyword literal), else
-    ``default``.
-
-    The query list is size-checked and shipped to every task (it is
-    small: questions, not data).  Few keywords: a literal array tested in
-    place with built-ins.  Many: one Aho-Corasick pass per row (cost
-    independent of the number of keywords).  Either way only the best
-    row per query leaves a task before the shuffle, so a keyword that
-    matches every row still moves one row per task.
-    """
-    n = queries.count()
-    if n > max_queries:
-        raise ValueError(f"{n} keyword queries exceed the bound {max_queries}; split them")
-    qcols = ["query_id", "keyword"] + ([brand_col] if brand_col else [])
-    qrows = [(r["query_id"], (r["keyword"] or "").lower(), r[brand_col] if brand_col else None)
-             for r in queries.select(*qcols).collect()]
-    qid_type = queries.schema["query_id"].dataType
-    ord_type = rows.schema[order_col].dataType
-    src = rows.select(order_col, text_col, *([brand_col] if brand_col else []))
-    use_ac = len(qrows) >= AC_MIN_QUERIES
-    if use_ac:
-        try:
-            import ahocorasick  # noqa: F401
-        except ImportError:
-            use_ac = False
-    if use_ac:
-        schema = StructType([StructField("query_id", qid_type), StructField("match_id", ord_type),
-                             StructField("match", StringType())])
-        bq = rows.sparkSession.sparkContext.broadcast(qrows)
-        partial = src.mapInPandas(_ac_partial(bq, order_col, text_col, brand_col), schema)
-    else:
-        lit_q = F.array(*[
-            F.struct(F.lit(q).alias("qid"), F.lit(kw).alias("kw"), F.lit(b).cast("string").alias("brand"))
-            for q, kw, b in qrows
-        ]) if qrows else F.array().cast("array<struct<qid:long,kw:string,brand:string>>")
-        low = src.withColumn("__low", F.lower(F.col(text_col)))
-        if brand_col:
-            cond = lambda q: (q["brand"] == F.col(brand_col)) & F.contains(F.col("__low"), q["kw"])
-        else:
-            cond = lambda q: F.contains(F.col("__low"), q["kw"])
-        partial = low.select(F.col(order_col).alias("match_id"), F.col(text_col).alias("match"),
-                             F.explode_outer(F.filter(lit_q, cond)).alias("q")).where(F.col("q").isNotNull()).select(
-            F.col("q.qid").alias("query_id"), "match_id", "match")
-    hits = (
-        partial.groupBy("query_id")
-        .agg(F.min_by(F.struct("match_id", "match"), F.col("match_id")).alias("m"))
-        .select("query_id", "m.match_id", "m.match")
-    )
-    ans = F.col("match") if answer_chars is None else T.truncate(F.col("match"), answer_chars)
-    return (
-        queries.join(hits, "query_id", "left")
-        .withColumn("answer", F.coalesce(ans, F.lit(default)))
-    )
+    ``default``.  ``order_col`` is unique.  Any number of queries."""
+    keyword = F.lower(F.coalesce(F.col("keyword"), F.lit("")))
+    brand = F.col(brand_col) if brand_col else F.lit("")
+    asked = queries.withColumn("__kw", keyword).withColumn("__brand", brand)
+    distinct = asked.select("__kw", "__brand").where(F.col("__brand").isNotNull()).distinct()
+    blocks = max(1, -(-distinct.count() // KEYWORD_BLOCK))
+    lists = distinct.withColumn("__block", F.pmod(F.xxhash64("__kw"), F.lit(blocks))) \
+        .groupBy("__brand", "__block").agg(F.collect_list("__kw").alias("__kws"))  # about KEYWORD_BLOCK each
+    src = rows.select(F.col(order_col).alias("match_id"), F.lower(F.col(text_col)).alias("__low"),
+                      (F.col(brand_col) if brand_col else F.lit("")).alias("__brand"))
+    src = src.where(F.col("match_id").isNotNull() & F.col("__low").isNotNull())
+    # the outer form: else the optimizer tests every keyword twice
+    met = src.join(lists, "__brand").select("match_id", "__brand", F.explode_outer(F.filter("__kws", lambda w: F.contains(F.col("__low"), w))).alias("__kw"))
+    hits = met.where(F.col("__kw").isNotNull()).groupBy("__brand", "__kw").agg(F.min("match_id").alias("match_id"))
+    found = asked.join(hits, ["__brand", "__kw"], "left").drop("__brand", "__kw")
+    text = F.col(text_col) if answer_chars is None else T.truncate(F.col(text_col), answer_chars)
+    answers = rows.join(hits.select(F.col("match_id").alias(order_col)).distinct(), order_col, "left_semi") \
+        .select(F.col(order_col).alias("match_id"), text.alias("match"))
+    return found.join(answers, "match_id", "left").withColumn("answer", F.coalesce("match", F.lit(default)))
 
 
 def hybrid_answer(vector_part, keyword_part, vec_label: str = "Vector",

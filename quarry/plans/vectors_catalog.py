@@ -157,7 +157,9 @@ def hybrid_answer(spark, sf):
     kq = bench.select(F.col("item_id").alias("query_id"), F.lower(T.first_token("text")).alias("keyword"))
     kw = RT.keyword_first_match(docs.select("doc_id", "text"), kq, "text", "doc_id").select(
         F.col("query_id").alias("item_id"), F.col("match_id").alias("kw_id"))
-    texts = docs.select(F.col("doc_id"), F.col("text"))
+    # short heads alone are moved, of the documents found alone
+    wanted = top.select(F.col("vec_id").alias("doc_id")).unionByName(kw.select(F.col("kw_id").alias("doc_id"))).distinct()
+    texts = docs.select("doc_id", T.truncate("text", ANSWER_CUT).alias("text")).join(wanted, "doc_id", "left_semi")
     out = (
         bench.select("item_id").join(top, "item_id", "left").join(kw, "item_id", "left")
         .join(texts.withColumnRenamed("doc_id", "vec_id").withColumnRenamed("text", "vec_text"), "vec_id", "left")
@@ -214,26 +216,48 @@ def union_sources(spark, sf):
                     F.sha2("solution", 256).alias("solution_sha"))
 
 
+ANN_PLANES, ANN_TABLES = 8, 16
+
+
 @register("vector_topk_ann")
 def vector_topk_ann(spark, sf):
-    """Approximate neighbours of each label centroid with MLlib's
-    random-projection LSH on unit vectors (Euclidean order = cosine
-    order).  Rows-only check."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def unit(col):
-        return F.transform(col, lambda x: x / F.sqrt(F.aggregate(col, F.lit(0.0), lambda a, y: a + y * y)))
+    """Approximate neighbours of each label centroid by random hyperplanes:
+    ``ANN_TABLES`` tables of ``ANN_PLANES`` sign bits; a row is a candidate
+    of the queries whose bits, or all but one of them, it shares in some
+    table.  Candidates are scored exactly; each query's recall against the
+    exact search is a column.  Rows-only check."""
+    import numpy as np
 
     emb = read_table(spark, sf, "embeddings")
-    corpus = emb.select(F.col("vec_id").alias("id"), array_to_vector(unit(F.col("embedding"))).alias("v"))
-    queries = label_centroids(emb).select("query_id", array_to_vector(unit(F.col("embedding"))).alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=0.5, numHashTables=4,
-                                        seed=7).fit(corpus)
-    pairs = model.approxSimilarityJoin(queries, corpus, 2.0, distCol="dist").select(
-        F.col("datasetA.query_id").alias("query_id"), F.col("datasetB.id").alias("id"), "dist")
+    queries = label_centroids(emb)
+    planes = np.random.default_rng(7).standard_normal((ANN_TABLES * ANN_PLANES, EMBEDDING_DIM)).round(6)
+    literal = F.lit([[float(x) for x in row] for row in planes])
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+    def codes(vector):
+        """One number for each table: its bits."""
+        bits = F.transform(literal, lambda p: F.when(dot(p, vector) >= 0, 1).otherwise(0))
+        return [F.aggregate(F.slice(bits, t * ANN_PLANES + 1, ANN_PLANES), F.lit(0), lambda s, b: s * 2 + b) for t in range(ANN_TABLES)]
+
+    wide = F.col("embedding").cast("array<double>")
+    corpus = emb.select(F.col("vec_id").alias("id"), wide.alias("v"), F.posexplode(F.array(*codes(wide))).alias("t", "code"))
+    probe = queries.select("query_id", F.col("embedding").alias("qv"), F.posexplode(F.array(*codes(F.col("embedding")))).alias("t", "own"))
+    flips = F.array(F.lit(0), *[F.lit(1 << b) for b in range(ANN_PLANES)])
+    probe = probe.select("query_id", "qv", "t", F.explode(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f))).alias("code"))
+    # ids alone meet; vectors follow for the distinct pairs
+    pairs = corpus.select("id", "t", "code").join(probe.select("query_id", "t", "code"), ["t", "code"]).select("query_id", "id").distinct()
+
+    def unit(c):
+        n = F.sqrt(dot(c, c))
+        return F.transform(c, lambda x: F.when(n > 0, x / n).otherwise(0.0))
+
+    scored = pairs.join(emb.select(F.col("vec_id").alias("id"), unit(wide).alias("v")), "id") \
+        .join(queries.select("query_id", unit(F.col("embedding")).alias("qv")), "query_id")
     from pyspark.sql import Window
-    w = Window.partitionBy("query_id").orderBy("dist", "id")
-    return (pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOPK_TABLE)
-            .select("query_id", F.col("rank").cast("long").alias("rank"), "id",
-                    F.round(1 - F.col("dist") ** 2 / 2, 6).alias("score")))
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    best = scored.select("query_id", "id", F.round(dot(F.col("v"), F.col("qv")), 6).alias("score")).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= TOPK_TABLE)
+    exact = RT.topk_cosine(emb.select(F.col("vec_id").alias("id"), wide.alias("embedding")), queries, TOPK_TABLE)
+    recall = exact.join(best.select("query_id", "id", F.lit(1).alias("hit")), ["query_id", "id"], "left").groupBy("query_id").agg((F.count("hit") / F.count(F.lit(1))).alias("recall"))
+    return best.join(recall, "query_id").select("query_id", F.col("rank").cast("long").alias("rank"), "id", "score", "recall")
