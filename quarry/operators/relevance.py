@@ -1,8 +1,9 @@
 """Relevance classification of items.
 
 The reference asks a remote chat model "relevant? yes/no" per item.
-Here three providers share one contract (text cut to ``max_chars``,
-verdict normalised by ``lower(trim(v)) = 'yes'``):
+Here three providers share one contract (the whole text, or its first
+``max_chars`` characters where a remote provider has such a limit; verdict
+normalised by ``lower(trim(v)) = 'yes'``):
 
 * ``topic_rule`` - native regex over a topic list (default);
 * ``train_model`` / ``apply_model`` - MLlib tokenizer → hashing TF →
@@ -28,7 +29,10 @@ TOPICS = (
     "audio", "video", "routers", "tvs", "cameras",
     "lighting", "automation", "switches", "integration",
 )
-CLASSIFIER_CHARS = 2000
+
+
+def _text(text_col: str, max_chars: int | None) -> Column:
+    return F.col(text_col) if max_chars is None else T.truncate(F.col(text_col), max_chars)
 
 
 def topic_pattern(topics: Sequence[str] = TOPICS) -> str:
@@ -45,9 +49,9 @@ def normalise_verdict(v) -> Column:
 
 
 def topic_rule(df: DataFrame, text_col: str, topics: Sequence[str] = TOPICS,
-               max_chars: int = CLASSIFIER_CHARS) -> DataFrame:
+               max_chars: int | None = None) -> DataFrame:
     """Adds ``verdict`` ('yes'/'no') and ``relevant`` (bool)."""
-    hit = F.lower(T.truncate(F.col(text_col), max_chars)).rlike(topic_pattern(topics))
+    hit = F.lower(_text(text_col, max_chars)).rlike(topic_pattern(topics))
     return (
         df.withColumn("verdict", F.when(F.coalesce(hit, F.lit(False)), F.lit("yes")).otherwise(F.lit("no")))
         .withColumn("relevant", normalise_verdict("verdict"))
@@ -55,7 +59,7 @@ def topic_rule(df: DataFrame, text_col: str, topics: Sequence[str] = TOPICS,
 
 
 def train_model(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
-                num_features: int = 1 << 16, max_chars: int = CLASSIFIER_CHARS):
+                num_features: int = 1 << 16, max_chars: int | None = None):
     """Fit a distributed MLlib pipeline on labelled rows."""
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.classification import LogisticRegression
@@ -63,7 +67,7 @@ def train_model(labelled: DataFrame, text_col: str = "text", label_col: str = "l
 
     from ..session import checkpoint_dir
 
-    data = labelled.select(T.truncate(F.col(text_col), max_chars).alias("__text"),
+    data = labelled.select(_text(text_col, max_chars).alias("__text"),
                            F.col(label_col).cast("double").alias("__label"))
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol="__text", outputCol="__tok", pattern=r"[\p{L}\p{N}]+", gaps=False,
@@ -81,8 +85,8 @@ def train_model(labelled: DataFrame, text_col: str = "text", label_col: str = "l
 
 
 def apply_model(model, df: DataFrame, text_col: str = "text",
-                max_chars: int = CLASSIFIER_CHARS) -> DataFrame:
-    scored = model.transform(df.withColumn("__text", T.truncate(F.col(text_col), max_chars)))
+                max_chars: int | None = None) -> DataFrame:
+    scored = model.transform(df.withColumn("__text", _text(text_col, max_chars)))
     return (
         scored.withColumn("verdict", F.when(F.col("prediction") == 1.0, F.lit("yes")).otherwise(F.lit("no")))
         .withColumn("relevant", normalise_verdict("verdict"))
@@ -91,7 +95,7 @@ def apply_model(model, df: DataFrame, text_col: str = "text",
 
 
 def with_provider(df: DataFrame, text_col: str, provider: Callable[[list[str]], list[str]],
-                  max_chars: int = CLASSIFIER_CHARS) -> DataFrame:
+                  max_chars: int | None = None) -> DataFrame:
     """User classifier called once per Arrow batch; a failed batch gives
     null verdicts (not relevant)."""
     from pyspark.sql.types import StringType, StructField, StructType
@@ -101,7 +105,7 @@ def with_provider(df: DataFrame, text_col: str, provider: Callable[[list[str]],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            texts = pdf[text_col].fillna("").astype(str).str.slice(0, max_chars).tolist()
+            texts = pdf[text_col].fillna("").astype(str).str.slice(0, max_chars).tolist()  # None: whole
             try:
                 verdicts = provider(texts)
             except Exception:  # provider outage

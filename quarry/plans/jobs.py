@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -27,11 +27,15 @@ from ..operators import retrieve as RT
 from ..operators import store as S
 from ..schema import EMBEDDING_DIM, ITEM_DEFAULTS, KB_RECORD, VECTOR
 from ..session import materialize
+from ..sources.feeds import valid_shape as valid_keys
 
 LANG_RE = r'(?i)<html[^>]*\slang="([^"]*)"'
 LINK_PREFIX = "Document link: "
-EMBED_CHARS = 8192
-METADATA_CHARS = 40000
+
+
+def rejected_pages(pages: DataFrame) -> DataFrame:
+    """Pages that the gate drops, with the reason."""
+    return P.page_gate(P.as_pages(pages)).where(F.col("gate").isNotNull()).select("page_id", "url", F.col("gate").alias("reason"))
 
 
 def harvest(pages: DataFrame, doc_marker: str | None = None, suffix: str = ".pdf",
@@ -64,31 +68,46 @@ def catalogue(items: DataFrame, order: str = "ordinal", brand: str = "generic",
               dim: int = EMBEDDING_DIM, start_id: int = 1):
     """Document catalogue load.  Returns ``(table_rows, vectors)``:
     PDF_RECORD-shaped rows (dense ids, one load timestamp) and VECTOR
-    rows keyed ``doc_<ordinal>`` (stable across runs)."""
-    firsts = D.dedupe_first(items.where(F.col("url").isNotNull() & (F.col("url") != "")),
-                            "url", order)
-    rows = I.project_defaults(firsts, ITEM_DEFAULTS).withColumn("created_at", F.current_timestamp())
+    rows keyed ``doc_<ordinal>`` (stable across runs).  The embedding text
+    is made of the raw fields, whole, and an item whose fields are all
+    blank gets no vector; defaults are for the table.  Items without a url
+    are ``catalogue_rejects``."""
+    firsts = D.dedupe_first(items.where(~F.coalesce(F.col("url") == "", F.lit(True))), "url", order)
+    raw = I.embed_text(firsts, "catalogue", "embed_text")
+    rows = I.project_defaults(raw, ITEM_DEFAULTS).withColumn("created_at", F.current_timestamp())
     rows = S.assign_ids(rows, order, start=start_id)
-    text = I.embed_text(rows, "catalogue", "embed_text")
-    vec = EM.embed_hashed(text.withColumn("embed_text", T.truncate("embed_text", EMBED_CHARS)),
-                          "embed_text", dim)
-    vectors = vec.where(~T.is_blank(F.concat_ws(" ", "product", "category", "issue", "solution"))).select(
+    vec = EM.embed_hashed(rows.where(~T.is_blank("embed_text")), "embed_text", dim)
+    vectors = vec.select(
         F.concat(F.lit("doc_"), F.col(order).cast("string")).alias("id"),
         F.col("embedding").cast("array<float>").alias("embedding"),
         I.vector_metadata(F.lit(brand), F.col("issue"), F.col("solution"), F.col("product"),
-                          F.col("category"), F.col("url"), F.col("id")).alias("metadata"),
+                          F.col("category"), F.col("url"), F.col("id"), gated=False).alias("metadata"),
     )
     table = rows.select("id", "url", "product", "category", "issue", "solution", "depth", "created_at")
     return table, vectors
 
 
+def catalogue_rejects(items: DataFrame) -> DataFrame:
+    """The items that ``catalogue`` can't load, with the reason."""
+    return items.where(F.coalesce(F.col("url") == "", F.lit(True))).withColumn("reason", F.lit("no_url"))
+
+
+def has_shape(df: DataFrame) -> Column:
+    """Record shape of each row: (issue or title) and (solution or
+    description).  Where the feed kept the ``keys`` of a record their
+    presence counts; else a field that is not null."""
+    if "keys" in df.columns:
+        return valid_keys(F.col("keys"))
+    some = lambda *names: F.coalesce(*[F.when(F.col(c).isNotNull(), True) for c in names if c in df.columns], F.lit(False))
+    return some("issue", "title") & some("solution", "description")
+
+
 def valid_shape(df: DataFrame) -> DataFrame:
-    """Record shape: (issue or title present) and (solution or
-    description present); presence, not non-null."""
-    cols = set(df.columns)
-    ok_issue = F.lit(("issue" in cols) or ("title" in cols))
-    ok_sol = F.lit(("solution" in cols) or ("description" in cols))
-    return df.where(ok_issue & ok_sol)
+    return df.where(has_shape(df))
+
+
+def shape_rejects(df: DataFrame) -> DataFrame:
+    return df.where(~has_shape(df)).withColumn("reason", F.lit("shape"))
 
 
 def kb_load(sources: Sequence[DataFrame], brands: Mapping[str, str], default_brand: str,
@@ -113,7 +132,7 @@ def kb_load(sources: Sequence[DataFrame], brands: Mapping[str, str], default_bra
     kbt = I.embed_text(kb, "branded", "t").withColumn("t", T.ustrip("t")).where(F.col("t") != "")
     vec = EM.embed_hashed(kbt, "t", dim)
     vectors = vec.select(
-        F.sha2(F.concat_ws("\u0001", "brand", "url", "issue", "solution"), 256).alias("id"),
+        vector_id().alias("id"),
         F.col("embedding").cast("array<float>").alias("embedding"),
         I.vector_metadata(F.col("brand"), F.col("issue"), F.col("solution"), F.col("product"),
                           F.col("category"), F.col("url"), F.col("id")).alias("metadata"),
@@ -121,44 +140,68 @@ def kb_load(sources: Sequence[DataFrame], brands: Mapping[str, str], default_bra
     return kb, vectors
 
 
+def vector_id() -> Column:
+    """A hash of all fields that make a knowledge record, nulls kept apart."""
+    return F.sha2(F.to_json(F.struct("brand", "url", "product", "issue", "solution"), {"ignoreNullFields": "false"}), 256)
+
+
 def page_items(pages: DataFrame, default_product: str = ITEM_DEFAULTS["product"]) -> DataFrame:
-    """One item per stored page: title as issue, paragraph text (cut to
-    1000) as solution."""
+    """One item per stored page: title as issue, its whole paragraph text
+    as solution."""
     p = P.with_title(P.passed(P.as_pages(pages)))
-    text = P.paragraph_text(p)
-    return p.join(text, "page_id").select(
+    return p.select(
         "page_id", F.lit(0).cast("long").alias("pos"), "url", F.col("title").alias("issue"),
-        F.col("text").alias("solution"), F.lit(default_product).alias("product"))
+        P.joined_paragraphs("html").alias("solution"), F.lit(default_product).alias("product"))
+
+
+def load(table: DataFrame, vectors: DataFrame, new: DataFrame, order: str = "ordinal",
+         dim: int = EMBEDDING_DIM) -> tuple[DataFrame, DataFrame]:
+    """What a load adds to a stored knowledge table and its vectors: rows
+    whose vector id isn't stored yet (first of each, in input order) with
+    the ids that follow the stored ones, and the vectors after the upsert.
+    ``new`` has brand, url, product, issue, solution and ``order``; a second
+    run of the same load adds nothing."""
+    keyed = new.withColumn("key", vector_id())
+    stored = table.select(vector_id().alias("key"))
+    rows = S.assign_ids(S.insert_if_absent(stored, keyed, "key", order), order, start=S.next_id(table))
+    text = I.embed_text(rows, "branded", "t").where(~T.is_blank("t"))
+    fresh = EM.embed_hashed(text, "t", dim).select(
+        F.col("key").alias("id"), F.col("embedding").cast("array<float>").alias("embedding"),
+        I.vector_metadata(F.col("brand"), F.col("issue"), F.col("solution"), F.col("product"),
+                          F.lit(None).cast("string"), F.col("url"), F.col("id"), gated=False).alias("metadata"))
+    return rows.select("id", "brand", "url", "product", "issue", "solution"), S.upsert(vectors, fresh, "id")
 
 
 def flow(pages: DataFrame, question: str, keyword: str, brand: str = "generic",
          dim: int = EMBEDDING_DIM, topics=R.TOPICS) -> DataFrame:
-    """Scrape → filter → load → query over stored pages.  Returns the
-    stage messages as rows ``(step_no, step, message)``; the answer is
-    the last one."""
+    """Scrape -> filter -> load -> query over stored pages.  The relevant
+    items are loaded into an empty knowledge table; the stage counts and the
+    answer are computed from what was written.  Returns the stage messages
+    as rows ``(step_no, step, message)``."""
     spark = pages.sparkSession
     # Every later step reads the judged items: write them once.
     judged = materialize(R.topic_rule(page_items(pages), "solution", topics), "flow-items")
-    kept = judged.where("relevant").drop("verdict", "relevant")
-    loaded = kept.select(F.lit(brand).alias("brand"), "solution", "product", "issue", "url",
-                         (F.col("page_id") * 100000 + F.col("pos")).alias("ordinal"))
-    vec = EM.embed_hashed(loaded, "solution", dim).select(F.col("ordinal").alias("id"), "embedding",
-                                                          "solution")
+    kept = judged.where("relevant").select(
+        F.lit(brand).alias("brand"), "solution", "product", "issue", "url",
+        F.struct("page_id", "pos").alias("ordinal"))
+    empty = spark.createDataFrame([], "id long, brand string, url string, product string, issue string, solution string")
+    none = spark.createDataFrame([], VECTOR)
+    rows, vectors = load(empty, none, kept, dim=dim)
+    rows, vectors = materialize(rows, "flow-table"), materialize(vectors, "flow-vectors")
     q = spark.range(1).select(F.lit(0).cast("long").alias("query_id"),
                               EM.hashed_embedding(F.lit(question), dim).alias("embedding"))
-    top = RT.topk_cosine(vec.select("id", "embedding"), q, k=1)
-    vec_answer = top.join(vec.select("id", "solution"), "id").select("solution")
+    near = vectors.select(F.col("metadata.db_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    heads = rows.select("id", T.truncate(F.col("solution"), 100).alias("head"))
+    top = RT.topk_cosine(near, q, k=1).join(heads, "id").agg(F.max("head").alias("va"))
     kwq = spark.range(1).select(F.lit(0).cast("long").alias("query_id"), F.lit(keyword).alias("keyword"))
-    kw = RT.keyword_first_match(loaded.select("ordinal", "solution"), kwq, "solution", "ordinal")
-    va = vec_answer.first()
-    ka = kw.first()
-    counts = judged.agg(F.count(F.lit(1)).alias("n"), F.count_if("relevant").alias("kept")).first()
-    n_items, n_kept = counts["n"], counts["kept"]
-    msgs = [
-        ("scrape", f"Harvested {n_items} items"),
-        ("filter", f"Filtered to {n_kept} items"),
-        ("load", f"Loaded {n_kept} items"),
-        ("query", "Vector: {}...\nKeyword: {}...".format(
-            (va["solution"] if va else "No match")[:100], (ka["answer"] if ka else "No match")[:100])),
-    ]
-    return spark.createDataFrame([(i, s, m) for i, (s, m) in enumerate(msgs)], "step_no int, step string, message string")
+    kw = RT.keyword_first_match(rows.select("id", "solution"), kwq, "solution", "id", answer_chars=100).agg(F.max("answer").alias("ka"))
+    n_items = judged.agg(F.count(F.lit(1)).alias("n"), F.count_if("relevant").alias("kept"))
+    n_loaded = rows.agg(F.count(F.lit(1)).alias("loaded"))
+    one = n_items.join(n_loaded).join(top).join(kw)  # one row each
+    answer = RT.hybrid_answer(F.col("va"), F.col("ka"), cut=100)
+    steps = [("scrape", F.concat(F.lit("Harvested "), F.col("n").cast("string"), F.lit(" items"))),
+             ("filter", F.concat(F.lit("Filtered to "), F.col("kept").cast("string"), F.lit(" items"))),
+             ("load", F.concat(F.lit("Loaded "), F.col("loaded").cast("string"), F.lit(" items"))),
+             ("query", answer)]
+    rows_out = F.array(*[F.struct(F.lit(i).alias("step_no"), F.lit(s).alias("step"), m.alias("message")) for i, (s, m) in enumerate(steps)])
+    return one.select(F.explode(rows_out).alias("s")).select("s.step_no", "s.step", "s.message")
