@@ -118,13 +118,14 @@ def test_file_sinks_round_trip(spark, workdir):
 
 
 def test_deliver_reports_failed_batches(spark):
-    df = spark.range(0, 250, 1, 1).select(F.col("id").cast("string").alias("id"))
+    df = spark.range(0, 250, 1, 1).select(F.col("id").cast("string").alias("id"),
+                                              F.floor(F.col("id") / 100).cast("long").alias("batch_id"))
 
     def send(recs):
         if recs[0]["id"] == "100":
             raise RuntimeError("service down")
 
-    rep = sorted(tuple(r) for r in S.deliver(df, send, 100).collect())
+    rep = sorted(tuple(r) for r in S.deliver(df, send).collect())
     assert [(b, n, ok) for b, _, n, ok, _ in rep] == [(0, 100, True), (1, 100, False), (2, 50, True)]
 
 
