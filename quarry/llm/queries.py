@@ -88,9 +88,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
     # hrefs that aren't absolute are left out here: the pages hold none
     "op9_url_filters": rf"""
 WITH RECURSIVE p AS (
-  SELECT page_id, html, instr(url, '://') > 0 AS ok, substr(url, instr(url, '://') + 3) AS rest, translate(substr(url, 1, instr(url, '://') + 2), {LETTERS}) AS scheme FROM pages),
+  SELECT page_id, row_number() OVER () AS row, html, instr(url, '://') > 0 AS ok, substr(url, instr(url, '://') + 3) AS rest, translate(substr(url, 1, instr(url, '://') + 2), {LETTERS}) AS scheme FROM pages),
 u AS (
-  SELECT page_id, html, CASE WHEN ok THEN translate(regexp_extract(rest, '^[^/?#]*'), {LETTERS}) ELSE '' END AS host,
+  SELECT page_id, row, html, CASE WHEN ok THEN translate(regexp_extract(rest, '^[^/?#]*'), {LETTERS}) ELSE '' END AS host,
     CASE WHEN ok THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path,
     CASE WHEN ok THEN concat(scheme, translate(regexp_extract(rest, '^[^/?#]*'), {LETTERS}), regexp_extract(rest, '^[^/?#]*([^#]*)', 1)) END AS url FROM p),
 tags AS (SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM u),
@@ -112,7 +112,7 @@ bad AS (
 tainted AS (SELECT DISTINCT x AS url FROM reach WHERE y IN (SELECT url FROM bad)),
 best AS (
   SELECT page_id, host, path, url, rhost || rpath AS rule, verdict,
-    row_number() OVER (PARTITION BY page_id ORDER BY length(rhost) + length(rpath) DESC NULLS LAST, verdict) AS k
+    row_number() OVER (PARTITION BY row ORDER BY length(rhost) + length(rpath) DESC NULLS LAST, verdict) AS k
   FROM u LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN url IN (SELECT url FROM tainted) THEN 'block' ELSE 'allow' END) AS verdict FROM best WHERE k = 1""",
     "op10_quality_rules": rf"""
