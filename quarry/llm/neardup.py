@@ -39,7 +39,7 @@ from quarry.llm.components import components
 
 K = 5
 SIMILARITY = 0.8
-SKETCHES, PICKED = 24, 2
+SKETCHES, PICKED = 36, 2
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     pairs = written(met.groupBy("doc_id").agg(F.array_sort(F.collect_set("c.doc_id")).alias("centres")), "candidates")  # at most two a sketch
 
     involved = pairs.select("doc_id").unionByName(pairs.select(F.explode("centres").alias("doc_id"))).distinct()
-    words = written(word_table(docs.join(involved, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "words")
+    words = written(word_table(docs.join(involved.hint("merge"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "words")
     links = written(verified(pairs.select(F.col("doc_id").alias("a"), F.col("centres")[0].alias("b")), words, similarity), "links")
     found = written(components(links), "classes")
     rest = pairs.select(F.col("doc_id").alias("a"), F.explode(F.slice("centres", 2, 2 * SKETCHES)).alias("b"))
@@ -237,6 +237,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     of = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"class_{name}"))
     rest = rest.join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b")
-    links = links.unionByName(verified(rest, words, similarity))
-    found = components(links).select(F.col("node").alias("copy_of"), F.col("component"))
+    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    found = components(stars.unionByName(verified(rest, words, similarity))).select(F.col("node").alias("copy_of"), F.col("component"))
     return member.join(found, "copy_of", "left").select("doc_id", F.coalesce("component", "copy_of").alias("class_id"), "copy_of", "n_words")
