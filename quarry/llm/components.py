@@ -28,17 +28,23 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _state(edges: DataFrame) -> tuple[int, int, int]:
+    """Number of edges and two sums of their hashes: equal for equal sets."""
+    row = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)), F.coalesce(F.bit_xor(F.xxhash64("b", "a", F.lit(1))), F.lit(0))).first()
+    return tuple(row)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): of every node that has an edge to another in
     ``edges`` (a, b; of any one ordered type), the least node that it can
     reach.  Loops, repeated edges and nulls are ignored."""
     now = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now = written(now, "edges")
-    while now.limit(1).count():
-        new = written(_small(_large(now)), "edges")
-        settled = new.count() == now.count() and not new.join(now, ["a", "b"], "left_anti").limit(1).count()
-        now = new
-        if settled:
+    state = _state(now)
+    while state[0]:
+        now = written(_small(_large(now)), "edges")
+        before, state = state, _state(now)
+        if state == before:
             break
     least = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(least)
