@@ -136,5 +136,5 @@ m AS (
     coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words, CAST(coalesce(removed.n, 0) AS BIGINT) AS n_removed_words
   FROM w LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN removed USING (doc_id)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
-SELECT *, NOT base_failed AND n_words - n_removed_words >= {rules.MIN_WORDS} AND n_words - n_removed_words >= {rules.KEEP_SHARE} * n_words AS kept FROM f""",
+SELECT *, NOT base_failed AND n_words - n_removed_words >= {rules.KEEP_WORDS} AND n_words - n_removed_words >= {rules.KEEP_SHARE} * n_words AS kept FROM f""",
 }

@@ -6,8 +6,8 @@ is boilerplate of its host (``source``; null counts as '') where it lies
 in more than ``max(least, share * documents of the host)`` distinct
 documents; exact copies of a text count as one document there, so a page
 that was merely copied is not taken for boilerplate.  Boilerplate lines
-are removed, and a document that keeps fewer than ``min_words`` words, or
-less than ``min_share`` of its own, is depleted and rejected.  Nothing is
+are removed, and a document that keeps fewer than ``min_words`` words or
+less than ``min_share`` of its own is depleted and rejected.  Nothing is
 collected: lines are counted with partial aggregation and joined on (host,
 line), an equi-join whose hot keys Spark splits.
 
@@ -33,7 +33,7 @@ SYMBOLS = "#*$%&|<>"
 REPEAT_WINDOW = 8
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
 LINE_LEAST, LINE_SHARE = 20, 0.05
-KEEP_SHARE = 0.3
+KEEP_WORDS, KEEP_SHARE = 5, 0.3
 
 
 def measure(chunk: Chunk) -> dict[str, np.ndarray]:
@@ -103,7 +103,7 @@ def measures(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def judge(docs: DataFrame, host: str = "source", least: int = LINE_LEAST, share: float = LINE_SHARE,
-          min_words: int = MIN_WORDS, min_share: float = KEEP_SHARE) -> DataFrame:
+          min_words: int = KEEP_WORDS, min_share: float = KEEP_SHARE) -> DataFrame:
     """Per row: doc_id, the base measures, n_removed_words, base_failed, kept."""
     base = written(measures(docs, host), "measures")
     lines = base.select("text_hash", "host", F.explode(F.arrays_zip("line_hashes", "line_words")).alias("line")) \
