@@ -61,6 +61,9 @@ def harvest(pages: DataFrame, doc_marker: str | None = None, suffix: str = ".pdf
     ).withColumn("solution", T.template(prefix, F.col("url")))
     if observation is not None:
         items = items.observe(observation, F.count(F.lit(1)).alias("links"))
+    # written once: keep-first reads the items twice, and the resolved url's
+    # expression would be repeated wherever the url is compared
+    items = materialize(items, "harvest")
     return D.dedupe_first(items, "url", ["page_id", "pos"], keep_null_keys=False)
 
 
