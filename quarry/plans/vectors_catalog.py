@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..functions import html as H
@@ -226,24 +228,23 @@ def vector_topk_ann(spark, sf):
     of the queries whose bits, or all but one of them, it shares in some
     table.  Candidates are scored exactly; each query's recall against the
     exact search is a column.  Rows-only check."""
-    import numpy as np
-
     emb = read_table(spark, sf, "embeddings")
     queries = label_centroids(emb)
-    planes = np.random.default_rng(7).standard_normal((ANN_TABLES * ANN_PLANES, EMBEDDING_DIM)).round(6)
-    literal = F.lit([[float(x) for x in row] for row in planes])
+    planes = np.random.default_rng(7).standard_normal((EMBEDDING_DIM, ANN_TABLES * ANN_PLANES))
+    weights = 1 << np.arange(ANN_PLANES)
+
+    @F.pandas_udf("array<long>")
+    def codes(vectors: pd.Series) -> pd.Series:
+        """One number for each table: its bits."""
+        above = (np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) @ planes >= 0) if len(vectors) else np.zeros((0, ANN_TABLES * ANN_PLANES))
+        return pd.Series(list((above.reshape(-1, ANN_TABLES, ANN_PLANES) * weights).sum(2)))
 
     def dot(a, b):
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
-    def codes(vector):
-        """One number for each table: its bits."""
-        bits = F.transform(literal, lambda p: F.when(dot(p, vector) >= 0, 1).otherwise(0))
-        return [F.aggregate(F.slice(bits, t * ANN_PLANES + 1, ANN_PLANES), F.lit(0), lambda s, b: s * 2 + b) for t in range(ANN_TABLES)]
-
     wide = F.col("embedding").cast("array<double>")
-    corpus = emb.select(F.col("vec_id").alias("id"), wide.alias("v"), F.posexplode(F.array(*codes(wide))).alias("t", "code"))
-    probe = queries.select("query_id", F.col("embedding").alias("qv"), F.posexplode(F.array(*codes(F.col("embedding")))).alias("t", "own"))
+    corpus = emb.select(F.col("vec_id").alias("id"), wide.alias("v"), F.posexplode_outer(codes(wide)).alias("t", "code"))
+    probe = queries.select("query_id", F.col("embedding").alias("qv"), F.posexplode_outer(codes("embedding")).alias("t", "own"))
     flips = F.array(F.lit(0), *[F.lit(1 << b) for b in range(ANN_PLANES)])
     probe = probe.select("query_id", "qv", "t", F.explode(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f))).alias("code"))
     # ids alone meet; vectors follow for the distinct pairs
