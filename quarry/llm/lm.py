@@ -41,12 +41,14 @@ from quarry.llm.common import chunks, texts_of, written
 
 FOLDS, HELD_OUT = 7, 2
 VOCABULARY, KNOWN = 4096, 1 << 19
-HIDDEN, CLASSES, WINDOW = 16, 48, 16
+HIDDEN, CLASSES, WINDOW = 16, 48, 32
 #: Documents side by side, in training and scoring.
-TRAIN_LANES, SCORE_LANES = 512, 1024
+TRAIN_LANES, SCORE_LANES = 512, 512
+#: Steps whose outputs are scored together.
+SCORE_STEPS = 64
 RATE = 0.1
 #: Updates that a chunk of text is to give, where its size allows.
-STEPS = 400
+STEPS = 250
 #: Bytes of text that are trained on or scored together.
 TEXT_BYTES = 24 << 20
 #: The end token: no word holds a space.
@@ -149,9 +151,10 @@ class Network:
         ``targets`` are lane after lane, the last input id starts a text."""
         out = np.zeros(len(targets))
         state, begin = np.zeros((len(lanes.total), HIDDEN), np.float32), self.shape.n + 1
-        for t0 in range(0, lanes.steps, WINDOW):
+        span = WINDOW if learn else SCORE_STEPS
+        for t0 in range(0, lanes.steps, span):
             steps, hidden, where = [], [], []
-            for t in range(t0, min(t0 + WINDOW, lanes.steps)):
+            for t in range(t0, min(t0 + span, lanes.steps)):
                 n = lanes.active(t)
                 at = lanes.start[:n] + t
                 word = inputs[at]
@@ -304,6 +307,25 @@ def count_words(docs: DataFrame) -> DataFrame:
     return texts_of(docs).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def most_frequent(counts: DataFrame, limit: int) -> tuple[list[bytes], np.ndarray]:
+    """The words of the highest counts, as many whole counts as ``limit``
+    words allow, and their counts, falling.  The number of different counts
+    is below the root of twice all tokens, so no task sorts all words."""
+    levels = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    levels = sorted(zip(levels.column("c").to_pylist(), levels.column("n").to_pylist(), strict=True), reverse=True)
+    least, room = None, limit
+    for c, n in levels:
+        room -= n
+        if room < 0:
+            break
+        least = c
+    if least is None:
+        return [], np.zeros(0, np.int64)
+    top = counts.where(F.col("c") >= least).toArrow()
+    rows = sorted(zip(top.column("c").to_pylist(), top.column("word").to_pylist(), strict=True), key=lambda r: (-r[0], r[1]))
+    return [w for _, w in rows], np.array([c for c, _ in rows], np.int64)
+
+
 def _sums(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
     """One row of the sum of a block's copies."""
     values = np.zeros(0)
@@ -346,8 +368,7 @@ def score(docs: DataFrame, vocabulary: int = VOCABULARY, known: int = KNOWN) ->
     training = docs.where(F.coalesce(~is_held, F.lit(True)))
     counts = written(count_words(training), "counts")
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(known).toArrow()
-    words, c = [w.as_py() for w in top.column("word")], top.column("c").to_numpy().astype(np.int64)
+    words, c = most_frequent(counts, known)
     if END not in words[:vocabulary]:  # the network always has the end token
         at = words.index(END) if END in words else len(words)
         c = np.insert(np.delete(c, at) if at < len(words) else c, 0, c[at] if at < len(words) else 0)
