@@ -115,7 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", train_rows
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")) \
         .where(F.col("label").isin(0, 1) & (fold(F.col("doc_id"), 5) != 0)).dropDuplicates(["doc_id"])
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    rows = texts_of(docs).dropDuplicates(["doc_id"]).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    rows = texts_of(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label")
     blob = rows.repartition(1).mapInArrow(_fit, "weights binary").collect()  # a bounded sample in, one vector of fixed size out
     return np.frombuffer(blob[0][0], "<f4") if blob else np.zeros(1 << BITS, np.float32)
 
