@@ -16,9 +16,9 @@ never shuffled):
    of each sends the context's bytes.  A task sorts all suffixes of its
    contexts in two stages and computes adjacent common prefixes; runs of
    prefixes of LENGTH bytes or more are equal strings, and each but those
-   of the run's least document is covered.  An anchor with more than
-   ``HOT`` contexts is not sorted in one task: its windows are compared as
-   rows, aggregated by their 128-bit hash.
+   of the run's least document is covered.  An anchor with more contexts
+   than one array holds (``HOT``) is not sorted in one task: its windows
+   are compared as rows, aggregated by their 128-bit hash.
 4. Cut.  Blocks put covered windows together and remove them.
 
 Strings are bytes of UTF-8 and never cross documents; what is removed is
@@ -44,10 +44,11 @@ from quarry.llm.suffixes import common_prefixes, suffix_array, symbols
 
 LENGTH, K = 50, 24
 SIDE = LENGTH - K  # bytes of context on either side of an anchor
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Text bytes per hash bucket of anchors, and context bytes per suffix array.
-BUCKET_BYTES, ARRAY_BYTES = 32 << 20, 3 << 19
-HOT = 1000
+BUCKET_BYTES, ARRAY_BYTES = 16 << 20, 3 << 19
+#: An anchor with more contexts than one array holds is compared as rows.
+HOT = ARRAY_BYTES // (LENGTH + SIDE)
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
