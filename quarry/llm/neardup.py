@@ -13,11 +13,15 @@ distance / words of the longer one, is ``SIMILARITY`` or more by a banded
 alignment.
 
 Exact copies (equal words) are one class from the start and are sketched
-once.  A bucket of equal sketches links each member to two centres, its
-least doc_id and one picked by hash, never members to each other.  Pairs
-with a document's least centre are verified first; the other centres only
-where the two are not in one class yet.  Classes are connected components
-of verified links.  Words travel as 32-bit hashes; nothing is collected.
+once.  In a bucket of equal sketches each member first meets two centres,
+the least doc_id and one picked by hash.  Pairs with a document's least
+centre are verified first; the other centres only where the two are not in
+one class yet.  Where the other members are of several classes, rounds go
+on: ``GROWTH`` times as many of them as before are the round's centres, by
+a hash salted with the bucket, and meet all members of other classes, until
+the members left are one class or none.  So any two members of a bucket are
+compared or in one class already.  Classes are connected components of
+verified links.  Words travel as 32-bit hashes; nothing is collected.
 
 Null and empty texts have no words and are one class; repeated rows have
 one doc_id and so one class; an empty table gives an empty result; further
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import (Chunk, chunks, list_array, lower_ascii, mix64, occurrences, signed, span_hashes, texts_of,
@@ -40,6 +44,8 @@ from quarry.llm.components import components
 K = 5
 SIMILARITY = 0.8
 SKETCHES, PICKED = 36, 2
+#: Factor of a bucket's centres from round to round.
+GROWTH = 8
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -211,6 +217,35 @@ def verified(pairs: DataFrame, words: DataFrame, similarity: float = SIMILARITY)
     return pairs.join(own, "a").join(other, "b").select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
+def near_in_length(one: str, other: str, similarity: float) -> Column:
+    return F.least(one, other) >= F.lit(similarity) * F.greatest(one, other) - 1e-6
+
+
+def further_rounds(members: DataFrame, met: DataFrame, found: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """The (node, component) of ``found`` after all pairs of a bucket's
+    ``members`` (bucket, doc_id, n_words) that are neither in ``met`` (a > b)
+    nor in one class have been verified."""
+    centres = GROWTH
+    while True:
+        now = members.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("class_id", F.coalesce("component", "doc_id")).drop("component")
+        mixed = now.groupBy("bucket").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("bucket", "n")
+        rank = F.pmod(F.xxhash64("bucket", "doc_id"), F.lit(1 << 31))  # uniform, so about ``centres`` of a bucket's members are picked
+        now = written(now.join(mixed, "bucket").withColumn("centre", rank * F.col("n") < F.lit(centres << 31)).drop("n"), "members")
+        if now.isEmpty():
+            return found
+        picked = now.where("centre").select("bucket", F.col("doc_id").alias("c"), F.col("n_words").alias("c_words"), F.col("class_id").alias("c_class"))
+        # two centres meet once
+        pairs = now.join(picked, "bucket").where((F.col("class_id") != F.col("c_class")) & (~F.col("centre") | (F.col("doc_id") > F.col("c"))) & near_in_length("n_words", "c_words", similarity))
+        pairs = pairs.select(F.greatest("doc_id", "c").alias("a"), F.least("doc_id", "c").alias("b")).distinct()
+        pairs = written(pairs.join(met, ["a", "b"], "left_anti"), "candidates")
+        met = met.unionByName(pairs)
+        links = written(verified(pairs, words, similarity), "links")
+        if not links.isEmpty():
+            found = written(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)), "classes")
+        members = now.where(~F.col("centre")).select("bucket", "doc_id", "n_words")
+        centres *= GROWTH
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the least doc_id of its class), copy_of (the least
     doc_id with the same words), n_words of every doc_id."""
@@ -224,19 +259,22 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     picked = F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "n_words")
     centres = entries.groupBy("bucket").agg(F.min(F.struct("doc_id", "n_words")).alias("first"), F.min(picked).alias("second"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     centres = centres.select("bucket", F.array(F.col("first"), F.struct("second.doc_id", "second.n_words")).alias("centres"))
-    near_enough = F.least("n_words", "c.n_words") >= F.lit(similarity) * F.greatest("n_words", "c.n_words") - 1e-6
-    met = entries.join(centres, "bucket").select("doc_id", "n_words", F.explode("centres").alias("c")).where((F.col("doc_id") != F.col("c.doc_id")) & near_enough)
+    shared = written(entries.join(centres, "bucket"), "buckets")
+    met = shared.select("doc_id", "n_words", F.explode("centres").alias("c")).where((F.col("doc_id") != F.col("c.doc_id")) & near_in_length("n_words", "c.n_words", similarity))
     pairs = written(met.groupBy("doc_id").agg(F.array_sort(F.collect_set("c.doc_id")).alias("centres")), "candidates")  # at most two a sketch
+    others = shared.where(~F.array_contains("centres.doc_id", F.col("doc_id"))).select("bucket", "doc_id", "n_words")
 
-    involved = pairs.select("doc_id").unionByName(pairs.select(F.explode("centres").alias("doc_id"))).distinct()
+    involved = pairs.select("doc_id").unionByName(pairs.select(F.explode("centres").alias("doc_id"))).unionByName(others.select("doc_id")).distinct()
     words = written(word_table(docs.join(involved.hint("merge"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "words")
     links = written(verified(pairs.select(F.col("doc_id").alias("a"), F.col("centres")[0].alias("b")), words, similarity), "links")
     found = written(components(links), "classes")
+    every = pairs.select(F.col("doc_id").alias("a"), F.explode("centres").alias("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     rest = pairs.select(F.col("doc_id").alias("a"), F.explode(F.slice("centres", 2, 2 * SKETCHES)).alias("b"))
     rest = rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     of = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"class_{name}"))
     rest = rest.join(of("a"), "a", "left").join(of("b"), "b", "left")
     rest = rest.where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b")
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    found = components(stars.unionByName(verified(rest, words, similarity))).select(F.col("node").alias("copy_of"), F.col("component"))
+    found = written(components(stars.unionByName(verified(rest, words, similarity))), "classes")
+    found = further_rounds(others, every, found, words, similarity).select(F.col("node").alias("copy_of"), F.col("component"))
     return member.join(found, "copy_of", "left").select("doc_id", F.coalesce("component", "copy_of").alias("class_id"), "copy_of", "n_words")
