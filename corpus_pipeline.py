@@ -7,7 +7,8 @@ stage's ``docs``.  All stages but the last return the columns of documents;
 the last returns the packed pieces.  A document whose doc_id is null can't
 be told from others and goes in the first stage; rows that repeat a doc_id
 share its fate.  The stages keep clean documents and whole texts: nothing
-is sampled or cut but the repeated strings that the fourth removes.
+is sampled or cut but the boilerplate lines that the first removes and the
+repeated strings that the fourth removes.
 """
 
 from __future__ import annotations
@@ -29,9 +30,14 @@ def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(ids.select("doc_id").hint("merge"), "doc_id", "left_semi")
 
 
+def recounted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and the line frequencies keep."""
-    return only(docs, rules.judge(docs).where("kept"))
+    """Documents that the rules and the line frequencies keep, without the
+    boilerplate lines of their source; n_chars is counted anew."""
+    return recounted(rules.cleaned(docs))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +54,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the strings that a smaller doc_id has; n_chars
     is counted anew.  A text that is nothing but such strings is empty then."""
-    kept = dedup.rewritten(docs)
-    return kept.withColumn("n_chars", F.length("text").cast(kept.schema["n_chars"].dataType)) if "n_chars" in docs.columns else kept
+    return recounted(dedup.rewritten(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

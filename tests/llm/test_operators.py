@@ -247,6 +247,18 @@ def test_quality_rules(docs, empty, texts, spark):
     assert all(judged[100 + k].kept for k in range(70))  # copies are one document
 
 
+def test_quality_rules_stage_removes_boilerplate_lines(spark):
+    footer, own = "Contact  us | imprint and terms é", [prose(k, 60) for k in range(30)]
+    rows = [(k, f"{own[k]}\n\n{footer}{' ' * (k % 2)}" if k % 3 else f"{footer.upper().replace('É', 'é')}\n{own[k]}\n", "en", "h", 0) for k in range(30)]
+    rows += [(100, f"{own[0]}\n{footer}", "en", "other", 0), (1, f"{own[2]}\n{footer}", "en", "other", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.quality_rules(spark, docs, SF)
+    assert got.schema == docs.schema
+    want = [(k, f"{own[k]}\n" if k % 3 else f"{own[k]}\n", "en", "h") for k in range(30)]
+    want += [(100, f"{own[0]}\n{footer}", "en", "other"), (1, f"{own[2]}\n{footer}", "en", "other")]  # not common there
+    assert by_id(got) == sorted((*r, len(r[1])) for r in want)
+
+
 def test_top_products_awkward_rows(spark):
     rows = [(0, [1.0, 0.5]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, []), (6, [0.0, 0.0]), (7, [0.25]), (50, [1.0, 0.5]), (50, [1.0, 0.5]), (8, [-1.0, 0.001])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, score string")
