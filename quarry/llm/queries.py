@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import bpe, classifier, dedup, lm, neardup, packing, rules, tokens, topk, urls
+from quarry.llm import bpe, classifier, codes, dedup, fim, langid, lm, neardup, packing, rules, tokens, topk, urls
 from quarry.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -63,6 +63,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.codes(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,9 +82,25 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_near_duplicates, op3_lm_score, op4_packing, op5_suffix_dedup, op6_topk, op7_bpe, op8_quality, op9_url_filters, op10_quality_rules, pipeline)
+    f.__name__: f for f in (op1_token_counts, op2_near_duplicates, op3_lm_score, op4_packing, op5_suffix_dedup, op6_topk, op7_bpe, op8_quality, op9_url_filters, op10_quality_rules,
+                           op11_vector_codes, op12_fill_in_middle, op13_language_id, pipeline)
 }
 
+
+def _rounds_sql(rounds: int) -> str:
+    """CTEs c1 .. cN (codebooks: p, k, part) and n0 .. nN (each part's nearest entry, m.k, and distance, m.d)."""
+    near = """
+n{r} AS MATERIALIZED (
+  SELECT vec_id, label, p, any_value(v.part) AS part, min({{'d': list_sum(list_transform(list_zip(v.part, c.part), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), 'k': c.k}}) AS m
+  FROM parts v JOIN c{r} c USING (p) GROUP BY vec_id, label, p)"""
+    move = """
+m{r} AS (SELECT p, m.k AS k, j, sum(part[j]) AS s, count(*) AS n FROM n{b}, range(1, 1 + len(part)) AS r(j) GROUP BY p, m.k, j),
+c{r} AS MATERIALIZED (
+  SELECT c.p, c.k, coalesce(u.part, c.part) AS part
+  FROM c{b} c LEFT JOIN (SELECT p, k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS part FROM m{r} GROUP BY p, k) u USING (p, k))"""
+    return ",".join([near.format(r=0)] + [move.format(r=r, b=r - 1) + "," + near.format(r=r) for r in range(1, rounds + 1)])
+
+
 LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE: dict[str, str] = {
@@ -137,4 +165,23 @@ m AS (
   FROM w LEFT JOIN dups USING (doc_id) LEFT JOIN repeated USING (doc_id) LEFT JOIN removed USING (doc_id)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT *, NOT base_failed AND n_words - n_removed_words >= {rules.KEEP_WORDS} AND n_words - n_removed_words >= {rules.KEEP_SHARE} * n_words AS kept FROM f""",
+    "op11_vector_codes": f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, label, p, e[p * len(e) // {codes.PARTS} + 1:(p + 1) * len(e) // {codes.PARTS}] AS part FROM v, range({codes.PARTS}) AS r(p)),
+c0 AS MATERIALIZED (SELECT p, k, part FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM v ORDER BY vec_id LIMIT {codes.ENTRIES}) USING (vec_id)),
+{_rounds_sql(codes.ROUNDS)},
+books AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY p, k, j)) AS sha FROM (SELECT p, k, j, part[j] AS x FROM c{codes.ROUNDS}, range(1, 1 + len(part)) AS r(j))),
+coded AS (SELECT vec_id, label, string_agg(printf('%02x', m.k), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM n{codes.ROUNDS} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256 FROM coded, books""",
+    "op12_fill_in_middle": f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('{fim.SALT}:' || doc_id) AS h FROM documents),
+d AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS u, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS w, CAST('0x' || h[17:24] AS BIGINT) % 100 AS x, CAST('0x' || h[25:32] AS BIGINT) % 100 AS y FROM t),
+f AS (
+  SELECT *, CASE WHEN text = '' OR contains(text, '{fim.PREFIX}') OR contains(text, '{fim.SUFFIX}') OR contains(text, '{fim.MIDDLE}') OR x >= {fim.RATE} THEN 'plain' WHEN y < {fim.SPM} THEN 'spm' ELSE 'psm' END AS form,
+    substr(text, 1, least(u, w)) AS a, substr(text, least(u, w) + 1, greatest(u, w) - least(u, w)) AS b, substr(text, greatest(u, w) + 1) AS c FROM d)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('{fim.PREFIX}', a, '{fim.SUFFIX}', c, '{fim.MIDDLE}', b) ELSE concat('{fim.SUFFIX}', c, '{fim.PREFIX}', a, '{fim.MIDDLE}', b) END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM f""",
 }
