@@ -10,8 +10,8 @@ summed by Spark.
 
 The weights are learned by follow-the-regularised-leader updates of the
 softmax loss, with L1 and L2 penalties, over at most ``TRAIN_ROWS`` training
-texts (a documented bound; the least hashes of doc_id, as many of each
-language), in one task, ``EPOCHS`` times.  Every ``CALIBRATE``-th of those is
+texts (a documented bound; those whose hash of doc_id lies in their language's
+share, about as many of each language), in one task, ``EPOCHS`` times.  Every ``CALIBRATE``-th of those is
 not trained on: the temperature that divides all scores is the one of least
 log loss there.  A text's score is the probability of its language.  Only
 slots with a weight are kept, and all vectors are of fixed size.
@@ -32,7 +32,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import CHUNK_BYTES, Chunk, chunks, mix64, texts_of
@@ -259,19 +259,28 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def sampled(known: DataFrame, rows: int) -> DataFrame:
+    """The doc_id of ``rows`` at most, about as many of each language: those
+    whose hash lies in the share of its rows that a language gives."""
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    langs = max(1, sizes.count())
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("place")
+    shares = sizes.select("lang", (F.lit(float(1 << 40)) * max(1, rows // langs) / F.col("n")).alias("below"))
+    return known.select("doc_id", "lang", place).join(shares, "lang").where("place < below").select("doc_id", "place").distinct() \
+        .orderBy("place", "doc_id").limit(rows).select("doc_id")
+
+
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """The model of the training texts of ``docs``."""
     doc_id = F.col("doc_id").cast("long")
-    rows = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")) \
-        .where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").where(~held_out(F.col("doc_id")))
+    known = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")) \
+        .where("doc_id IS NOT NULL AND lang IS NOT NULL").where(~held_out(F.col("doc_id")))
+    rows = known.where("text IS NOT NULL")
     total, frequency = document_frequencies(rows)
     if not total:
         return Model()
     idf = (np.log((1 + total) / (1 + frequency)) + 1).astype(np.float32)
-    langs = rows.agg(F.count_distinct("lang")).first()[0]
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(1, train_rows // langs))
-    sample = rows.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sample = rows.join(F.broadcast(sampled(known, train_rows)), "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []

@@ -269,3 +269,9 @@ def test_queries_equal_their_sql(spark, key):
     names = [d[0] for d in want.description]
     assert sorted(names) == sorted(df.columns)
     assert sorted((tuple(r) for r in df.select(*names).collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
+def test_sample_is_bounded_and_has_every_language(spark):
+    rows = [(i, "x", "big") for i in range(3000)] + [(5000 + i, "y", "small") for i in range(30)] + [(5000, "y", "small")]
+    got = [r.doc_id for r in langid.sampled(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4), 400).collect()]
+    assert len(got) == len(set(got)) <= 400 and len([i for i in got if i >= 5000]) == 30 and 140 < len([i for i in got if i < 5000]) < 260
