@@ -46,7 +46,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 class Chunk:
-    """Some whole documents: ``ids``, their UTF-8 in ``buf``, ``off`` (n + 1)."""
+    """Some whole documents: ``ids`` (0 for null), their UTF-8 in ``buf``, ``off`` (n + 1)."""
 
     def __init__(self, ids: np.ndarray, buf: np.ndarray, off: np.ndarray):
         self.ids, self.buf, self.off, self.n = ids, buf, off, len(off) - 1
@@ -72,7 +72,8 @@ def chunks(batch: pa.RecordBatch, max_bytes: int = CHUNK_BYTES, column: str = "t
     if col.null_count:
         col = col.fill_null("" if not pa.types.is_binary(col.type) else b"")
     buf, off = _buffer(col)
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    ids = batch.column(0)
+    ids = (ids.fill_null(0) if pa.types.is_integer(ids.type) else ids).to_numpy(zero_copy_only=False)
     at = 0
     while at < len(col):
         end = max(at + 1, int(np.searchsorted(off, off[at] + max_bytes, side="right")) - 1)

@@ -24,7 +24,9 @@ never shuffled):
 Strings are bytes of UTF-8 and never cross documents; what is removed is
 judged on the input.  Null and empty texts have no bytes; rows that repeat
 a doc_id are no smaller than each other, so they cover nothing of one
-another; an empty table gives an empty result; further columns are ignored.
+another; a null doc_id is neither smaller nor larger than any, so its text
+stays whole and covers nothing; an empty table gives an empty result;
+further columns are ignored.
 """
 
 from __future__ import annotations
@@ -94,10 +96,14 @@ def unpack(data: bytes, width: int) -> np.ndarray:
 class Block:
     """Documents of a block, and their anchors in all steps the same."""
 
-    def __init__(self, ids: np.ndarray, off: np.ndarray, buf: np.ndarray, buckets: int):
+    def __init__(self, ids: np.ndarray, off: np.ndarray, buf: np.ndarray, buckets: int, null: np.ndarray | None = None):
         self.ids, self.off, self.buf, self.buckets = ids, off, buf, buckets
+        self.null = np.zeros(len(ids), bool) if null is None else null
         self.at, self.hash = anchors(buf, off)
         self.doc = np.searchsorted(off, self.at, side="right") - 1
+        if self.null.any():  # texts without an id take no part
+            mine = ~self.null[self.doc]
+            self.at, self.hash, self.doc = self.at[mine], self.hash[mine], self.doc[mine]
 
     def bucket(self, h: np.ndarray) -> np.ndarray:
         return ((h >> np.uint64(40)) * np.uint64(self.buckets) >> np.uint64(24)).astype(np.int64)
@@ -105,6 +111,8 @@ class Block:
     def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes by bucket, where buckets begin, and whether two
         documents of this block share the hash."""
+        if not len(self.at):
+            return self.hash, np.zeros(self.buckets + 1, np.int64), np.zeros(0, bool)
         order = np.lexsort((self.doc, self.hash))
         h, d = self.hash[order], self.doc[order]
         new = np.ones(len(h), bool)
@@ -140,8 +148,8 @@ class Block:
 
 
 def _blocks(docs: DataFrame, whole: bool) -> DataFrame:
-    """block, ids, off, data, rest: written, bucketed by block.  ``rest``:
-    with ``whole`` all columns but the text, and whether that is null, as an
+    """block, ids, null, off, data, rest: written, bucketed by block.  ``null``:
+    whether a doc_id is null; ``rest``: with ``whole`` all columns but the text, and whether that is null, as an
     Arrow stream."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,23 +163,24 @@ def _blocks(docs: DataFrame, whole: bool) -> DataFrame:
                     with pa.ipc.new_stream(sink, part.schema) as out:
                         out.write_batch(part)
                     rest = sink.getvalue().to_pybytes()
-                own = [chunk.ids.astype("<i8").tobytes(), chunk.off.astype("<i8").tobytes(), chunk.buf.tobytes(), rest]
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in own)], ["block", "ids", "off", "data", "rest"])
+                null = batch.column(0).slice(at, end - at).is_null().to_numpy(zero_copy_only=False)
+                own = [chunk.ids.astype("<i8").tobytes(), null.astype(np.uint8).tobytes(), chunk.off.astype("<i8").tobytes(), chunk.buf.tobytes(), rest]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in own)], ["block", "ids", "null", "off", "data", "rest"])
                 number += 1
 
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        *[F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text"), F.col("text").isNull()).alias("rest")] * whole)
     name, n = f"llm_blocks_{uuid.uuid4().hex}", int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows.mapInArrow(run, "block long, ids binary, off binary, data binary, rest binary").write.bucketBy(n, "block") \
+    rows.mapInArrow(run, "block long, ids binary, null binary, off binary, data binary, rest binary").write.bucketBy(n, "block") \
         .option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
 
 def _read(batch: pa.RecordBatch, buckets: int) -> Iterator[tuple[int, Block, int]]:
     for k in range(batch.num_rows):
-        ids, off, buf = (np.frombuffer(batch.column(j)[k].as_buffer(), kind) for j, kind in ((1, "<i8"), (2, "<i8"), (3, np.uint8)))
-        yield batch.column(0)[k].as_py(), Block(ids, off, buf, buckets), k
+        ids, null, off, buf = (np.frombuffer(batch.column(j)[k].as_buffer(), kind) for j, kind in ((1, "<i8"), (2, bool), (3, "<i8"), (4, np.uint8)))
+        yield batch.column(0)[k].as_py(), Block(ids, off, buf, buckets, null), k
 
 
 def _pairs(batch: pa.RecordBatch, name: str, k: int) -> dict:
@@ -315,7 +324,7 @@ def _judged(docs: DataFrame, whole: bool) -> tuple[DataFrame, int]:
     blocks = _blocks(docs, whole)
     total = blocks.agg(F.coalesce(F.sum(F.octet_length("data")), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET_BYTES))
-    asking = blocks.select("block", "ids", "off", "data")
+    asking = blocks.select("block", "ids", "null", "off", "data")
     anchored = written(_ask_anchors(asking, buckets), "anchors")
     shared = _answered(asking, anchored, "shared")
     contexts = written(_ask_contexts(shared, buckets), "contexts")
@@ -341,10 +350,10 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for _, block, gone in _cut(batch, buckets):
                 rows = []
-                for d, a, b in zip(block.ids.tolist(), block.off[:-1].tolist(), block.off[1:].tolist(), strict=True):
+                for d, no, a, b in zip(block.ids.tolist(), block.null.tolist(), block.off[:-1].tolist(), block.off[1:].tolist(), strict=True):
                     g = gone[a:b]
                     spans = int(np.count_nonzero(g[1:] & ~g[:-1]) + g[:1].sum())
-                    rows.append((d, b - a, int(g.sum()), spans, hashlib.sha256(block.buf[a:b][~g].tobytes()).hexdigest()))
+                    rows.append((None if no else d, b - a, int(g.sum()), spans, hashlib.sha256(block.buf[a:b][~g].tobytes()).hexdigest()))
                 c = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in c[:4]), pa.array(c[4], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
