@@ -32,6 +32,7 @@ Rule = tuple[str, str, str]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?\s*canonical\b)[^>]*\bhref\s*=\s*(?:"([^">]*)"|'([^'>]*)'|([^\s"'>]+))"""
+TAG = r"(?is)<(?:link|meta)\b[^>]*"
 REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?\s*refresh\b)[^>]*\bcontent\s*=\s*["']?[^"'>]*?\burl\s*=\s*['"]?([^"'>\s]+)"""
 
 
@@ -74,10 +75,11 @@ def verdict_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def links(pages: DataFrame) -> DataFrame:
-    """(a, b): each page's url and the address that it redirects to or names
-    as canonical, as keys."""
-    canonical = F.concat(*(F.coalesce(F.regexp_extract("html", CANONICAL, k), F.lit("")) for k in (1, 2, 3)))
-    found = pages.select("url", F.explode(F.array(canonical, F.regexp_extract("html", REFRESH, 1))).alias("href")).where(F.col("href") != "")
+    """(a, b): each page's url and every address that it redirects to or
+    names as canonical, as keys."""
+    tags = pages.select("url", F.explode(F.regexp_extract_all("html", F.lit(TAG), F.lit(0))).alias("tag"))
+    canonical = F.concat(*(F.coalesce(F.regexp_extract("tag", CANONICAL, k), F.lit("")) for k in (1, 2, 3)))
+    found = tags.select("url", F.explode(F.array(canonical, F.regexp_extract("tag", REFRESH, 1))).alias("href")).where(F.col("href") != "")
     found = found.select("url", F.replace(F.trim("href"), F.lit("&amp;"), F.lit("&")).alias("href"))
     found = written(with_resolved(found, "url", "href", "target").select("url", "target"), "links")
     return found.select(key_of(F.col("url")).alias("a"), key_of(F.col("target")).alias("b"))
