@@ -8,12 +8,12 @@ longest piece left opens a window, a bitset dynamic programme over the
 lengths left (each with its count, split into powers of two) finds the sum
 closest to the capacity, and walking back through the bitsets gives how
 many of each length to take.  The multiset is used as often as the counts
-allow.  A sequence whose length is a power of two needs no padding, so if
-no multiset fills the window, one that ends at a power of two is taken.
+allow.  (A sequence that ends at a power of two needs no padding; that isn't
+sought, the closest sum is always taken.)
 
 Null and empty texts are the end id alone; repeated rows are packed each
-(every row is its own document); further columns are ignored; an empty
-table gives an empty result.
+(every row is its own document); null doc_ids come back as null; further
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from __future__ import annotations
 import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +30,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import chunks, texts_of, written
+from quarry.llm.common import Chunk, chunks, texts_of, written
 from quarry.llm.tokens import cuts_are_safe
-from quarry.llm.units import UnitMemo
+from quarry.llm.units import BulkMemo
 
 WINDOW = 1024
 #: Short pieces that are packed together; each group leaves a window or two
@@ -45,7 +46,8 @@ _LOADED: dict[str, object] = {}
 
 
 def load(path: str):
-    """A function from texts to ids (bytes) by the tokenizers library."""
+    """A function from a chunk to its ids, flat, and where each text's begin,
+    by the tokenizers library."""
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -57,19 +59,24 @@ def load(path: str):
             spec = json.load(f)
 
         def encode(texts: list[str]) -> list[bytes]:
-            return [np.array(x.ids, "<u4").tobytes() for x in own.encode_batch_fast(texts, add_special_tokens=False)]
+            return [array("I", x.ids).tobytes() for x in own.encode_batch_fast(texts, add_special_tokens=False)]
 
         if cuts_are_safe(spec):
-            special = {t["content"]: t["id"].to_bytes(4, "little") for t in spec.get("added_tokens", [])}
-            _LOADED[path] = UnitMemo(encode, lambda text: encode([text]), special, b"".join).values
+            memo = BulkMemo(encode, {t["content"]: t["id"].to_bytes(4, "little") for t in spec.get("added_tokens", [])})
+            _LOADED[path] = lambda chunk: memo.ids(chunk, 2 * TEXT_BYTES)
         else:
-            _LOADED[path] = encode
+            def whole(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+                found = encode([chunk.bytes_of(k).decode() for k in range(chunk.n)])
+                return np.frombuffer(b"".join(found), "<u4"), np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4))
+
+            _LOADED[path] = whole
     return _LOADED[path]
 
 
-def fill(counts: dict[int, int], capacity: int) -> tuple[int, dict[int, int], list[int]]:
-    """(sum closest to ``capacity``, how many of each length make it, the
-    bitset of all sums found): stops as soon as the capacity is met."""
+def fill(counts: dict[int, int], capacity: int) -> tuple[int, list[tuple[int, int, int]], int]:
+    """(sum closest to ``capacity``, the steps that made it: length, how
+    many, the bitset before; the bitset of all sums found): stops as soon as
+    the capacity is met."""
     sums, mask, steps = 1, (1 << (capacity + 1)) - 1, []
     goal = 1 << capacity
     for length in sorted((x for x in counts if x <= capacity), reverse=True):
@@ -112,10 +119,7 @@ def pack_lengths(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray,
             continue
         counts[longest] -= 1
         live = {x: n for x, n in counts.items() if n}
-        best, steps, sums = fill(live, window - longest)
-        if best + longest < window:
-            fits = [p - longest for k in range(window.bit_length()) if (p := 1 << k) >= longest and p < window and sums >> (p - longest) & 1]
-            best = max(fits, default=best)
+        best, steps, _ = fill(live, window - longest)
         used = walk_back(steps, best)
         counts[longest] += 1
         used[longest] = used.get(longest, 0) + 1
@@ -137,23 +141,25 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, window: int = WINDO
     own for each piece), and with ``with_ids`` the ids themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = load(tokenizer), end_id.to_bytes(4, "little")
-        number = TaskContext.get().partitionId() << 32
+        encode, number = load(tokenizer), TaskContext.get().partitionId() << 32
         for batch in batches:
             for at, stop, chunk in chunks(batch, TEXT_BYTES):
-                rows, own = [], []
-                for doc_id, ids in zip(chunk.ids.tolist(), encode(batch.column(1).slice(at, stop - at).to_pylist()), strict=True):
-                    view = memoryview(ids + end)
-                    n = len(view) // 4
-                    for start in range(0, n, window):
-                        part = view[4 * start:4 * (start + window)]
-                        rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), n, number))
-                        number += 1
-                        if with_ids:
-                            own.append(bytes(part))
-                columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "piece"]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(own, pa.binary())] * with_ids, names + ["ids"] * with_ids)
+                ids, off = encode(chunk)
+                ids = np.insert(ids, off[1:], end_id).astype("<u4")
+                off = off + np.arange(len(off))
+                size = np.diff(off)
+                count = -(-size // window)
+                doc = np.repeat(np.arange(chunk.n), count)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * window
+                begin, length = off[doc] + start, np.minimum(size[doc] - start, window)
+                data = memoryview(ids.tobytes())
+                crc = [zlib.crc32(data[a:b]) for a, b in zip((4 * begin).tolist(), (4 * (begin + length)).tolist(), strict=True)]
+                columns = [batch.column(0).slice(at, stop - at).take(pa.array(doc)), *(pa.array(x, pa.int64()) for x in (start, length, crc, size[doc], number + np.arange(len(doc))))]
+                number += len(doc)
+                if with_ids:  # the pieces lie one after another
+                    ends = pa.array(np.append(4 * begin, len(data)), pa.int64())
+                    columns.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, ends.buffers()[1], pa.py_buffer(data)]).cast(pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "piece"] + ["ids"] * with_ids)
 
     return texts_of(docs).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long" + ", ids binary" * with_ids)
 
