@@ -20,12 +20,21 @@ one class yet.  Where the other members are of several classes, rounds go
 on: ``GROWTH`` times as many of them as before are the round's centres, by
 a hash salted with the bucket, and meet all members of other classes, until
 the members left are one class or none.  So any two members of a bucket are
-compared or in one class already.  Classes are connected components of
-verified links.  Words travel as 32-bit hashes; nothing is collected.
+compared or in one class already.  A hot bucket's members are dealt out in
+pieces of about ``PIECE``, each of which meets the centres in its own task.
+
+What unlike texts around one common passage share is the bucket alone, so
+in the rounds two members are aligned only if nothing cheaper rules them
+out: an edit of one word changes the lengths by one and flips at most two
+of the ``PARITY`` bits that tell which hash values of words a text has an odd
+number of.  Both bounds are exact: a pair that they rule out has more edits
+than the band allows.  Classes are connected components of verified links.
+Words travel as 32-bit hashes; nothing is collected.
 
 Null and empty texts have no words and are one class; repeated rows have
-one doc_id and so one class; an empty table gives an empty result; further
-columns are ignored.
+one doc_id and so one class (of several texts with one doc_id any one is
+read); rows with a null doc_id take no part and come back with null class
+and copy; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,8 +53,10 @@ from quarry.llm.components import components
 K = 5
 SIMILARITY = 0.8
 SKETCHES, PICKED = 36, 2
-#: Factor of a bucket's centres from round to round.
-GROWTH = 8
+#: Factor of a bucket's centres from round to round; members of one piece.
+GROWTH, PIECE = 8, 1000
+#: Bits of a text's signature.
+PARITY = 4096
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -105,18 +116,34 @@ def sketch_table(docs: DataFrame) -> DataFrame:
     return texts_of(docs).mapInArrow(run, "doc_id long, n_words long, h1 long, h2 long, sketches array<long>")
 
 
+def parities(word: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` documents a bit for each value of the hash of an
+    occurrence-labelled word: whether it has an odd number of such words."""
+    before, _ = occurrences(word ^ mix64(doc.astype(np.uint64) + np.uint64(1)))
+    label = mix64(word + before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    key = np.sort((doc.astype(np.int64) * PARITY) + (label >> np.uint64(64 - PARITY.bit_length() + 1)).astype(np.int64))
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    odd = key[first][np.diff(np.append(first, len(key))) % 2 == 1]
+    out = np.zeros((n, PARITY // 64), np.uint64)
+    np.bitwise_or.at(out, (odd // PARITY, odd % PARITY // 64), np.uint64(1) << (odd % 64).astype(np.uint64))
+    return out
+
+
 def word_table(docs: DataFrame) -> DataFrame:
-    """doc_id, words: the 32-bit hashes of a document's words."""
+    """doc_id, words (the 32-bit hashes of a document's words), parity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, end, chunk in chunks(batch):
                 starts, ends, doc = word_spans(chunk.buf, chunk.off)
-                flat = (span_hashes(lower_ascii(chunk.buf), starts, ends) >> np.uint64(32)).astype("<u4").tobytes()
+                word = span_hashes(lower_ascii(chunk.buf), starts, ends)
+                flat = (word >> np.uint64(32)).astype("<u4").tobytes()
                 cut = np.searchsorted(doc, np.arange(chunk.n + 1)).tolist()
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), pa.array([flat[4 * a:4 * b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["doc_id", "words"])
+                words = pa.array([flat[4 * a:4 * b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
+                parity = list_array(signed(parities(word, doc, chunk.n).ravel()), np.full(chunk.n, PARITY // 64), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), words, parity], ["doc_id", "words", "parity"])
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, words binary")
+    return texts_of(docs).mapInArrow(run, "doc_id long, words binary, parity array<long>")
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
@@ -221,24 +248,34 @@ def near_in_length(one: str, other: str, similarity: float) -> Column:
     return F.least(one, other) >= F.lit(similarity) * F.greatest(one, other) - 1e-6
 
 
-def further_rounds(members: DataFrame, met: DataFrame, found: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """The (node, component) of ``found`` after all pairs of a bucket's
-    ``members`` (bucket, doc_id, n_words) that are neither in ``met`` (a > b)
-    nor in one class have been verified."""
+def may_be_near(own: str, other: str, own_words: str, other_words: str, similarity: float) -> Column:
+    """Whether lengths and parities leave room for ``similarity``; columns
+    own0, own1, ... and other0, other1, ... hold the parities."""
+    flips = sum((F.bit_count(F.col(f"{own}{k}").bitwiseXOR(F.col(f"{other}{k}"))) for k in range(PARITY // 64)), F.lit(0))
+    band = F.floor(F.lit(1 - similarity) * F.greatest(own_words, other_words) + 1e-9)
+    return near_in_length(own_words, other_words, similarity) & (flips <= 2 * band)
+
+
+def further_rounds(members: DataFrame, found: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """The (node, component) of ``found`` after any two of a bucket's
+    ``members`` (bucket, doc_id, n_words) that aren't in one class have been
+    compared."""
     centres = GROWTH
+    bits = words.select("doc_id", *(F.col("parity")[k].alias(f"own{k}") for k in range(PARITY // 64)))
     while True:
         now = members.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("class_id", F.coalesce("component", "doc_id")).drop("component")
         mixed = now.groupBy("bucket").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("bucket", "n")
         rank = F.pmod(F.xxhash64("bucket", "doc_id"), F.lit(1 << 31))  # uniform, so about ``centres`` of a bucket's members are picked
-        now = written(now.join(mixed, "bucket").withColumn("centre", rank * F.col("n") < F.lit(centres << 31)).drop("n"), "members")
+        now = now.join(mixed, "bucket").withColumn("centre", rank * F.col("n") < F.lit(centres << 31)).withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int")).drop("n")
+        now = written(now.join(bits, "doc_id"), "members")
         if now.isEmpty():
             return found
-        picked = now.where("centre").select("bucket", F.col("doc_id").alias("c"), F.col("n_words").alias("c_words"), F.col("class_id").alias("c_class"))
+        own = now.withColumn("piece", F.pmod(F.xxhash64("doc_id", F.lit(1)), "pieces").cast("int"))
+        other = [F.col(f"own{k}").alias(f"other{k}") for k in range(PARITY // 64)]
+        picked = now.where("centre").select("bucket", F.col("doc_id").alias("c"), F.col("n_words").alias("c_words"), F.col("class_id").alias("c_class"), *other, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
         # two centres meet once
-        pairs = now.join(picked, "bucket").where((F.col("class_id") != F.col("c_class")) & (~F.col("centre") | (F.col("doc_id") > F.col("c"))) & near_in_length("n_words", "c_words", similarity))
-        pairs = pairs.select(F.greatest("doc_id", "c").alias("a"), F.least("doc_id", "c").alias("b")).distinct()
-        pairs = written(pairs.join(met, ["a", "b"], "left_anti"), "candidates")
-        met = met.unionByName(pairs)
+        pairs = own.join(picked, ["bucket", "piece"]).where((F.col("class_id") != F.col("c_class")) & (~F.col("centre") | (F.col("doc_id") > F.col("c"))) & may_be_near("own", "other", "n_words", "c_words", similarity))
+        pairs = written(pairs.select(F.greatest("doc_id", "c").alias("a"), F.least("doc_id", "c").alias("b")).distinct(), "candidates")
         links = written(verified(pairs, words, similarity), "links")
         if not links.isEmpty():
             found = written(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)), "classes")
@@ -249,6 +286,8 @@ def further_rounds(members: DataFrame, met: DataFrame, found: DataFrame, words:
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the least doc_id of its class), copy_of (the least
     doc_id with the same words), n_words of every doc_id."""
+    null = sketch_table(docs.where("doc_id IS NULL")).select("doc_id", F.lit(None).cast("long").alias("class_id"), F.lit(None).cast("long").alias("copy_of"), "n_words")
+    docs = docs.where("doc_id IS NOT NULL")
     base = written(sketch_table(docs).dropDuplicates(["doc_id"]), "sketches")
     copies = base.groupBy("h1", "h2", "n_words").agg(F.min("doc_id").alias("copy_of"))
     member = written(base.select("doc_id", "h1", "h2", "n_words").join(copies, ["h1", "h2", "n_words"]).select("doc_id", "copy_of", "n_words"), "copies")
@@ -268,7 +307,6 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     words = written(word_table(docs.join(involved.hint("merge"), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "words")
     links = written(verified(pairs.select(F.col("doc_id").alias("a"), F.col("centres")[0].alias("b")), words, similarity), "links")
     found = written(components(links), "classes")
-    every = pairs.select(F.col("doc_id").alias("a"), F.explode("centres").alias("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     rest = pairs.select(F.col("doc_id").alias("a"), F.explode(F.slice("centres", 2, 2 * SKETCHES)).alias("b"))
     rest = rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     of = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"class_{name}"))
@@ -276,5 +314,5 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     rest = rest.where(F.coalesce("class_a", "a") != F.coalesce("class_b", "b")).select("a", "b")
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = written(components(stars.unionByName(verified(rest, words, similarity))), "classes")
-    found = further_rounds(others, every, found, words, similarity).select(F.col("node").alias("copy_of"), F.col("component"))
-    return member.join(found, "copy_of", "left").select("doc_id", F.coalesce("component", "copy_of").alias("class_id"), "copy_of", "n_words")
+    found = further_rounds(others, found, words, similarity).select(F.col("node").alias("copy_of"), F.col("component"))
+    return member.join(found, "copy_of", "left").select("doc_id", F.coalesce("component", "copy_of").alias("class_id"), "copy_of", "n_words").unionByName(null)
