@@ -25,10 +25,13 @@ pieces of about ``PIECE``, each of which meets the centres in its own task.
 
 What unlike texts around one common passage share is the bucket alone, so
 in the rounds two members are aligned only if nothing cheaper rules them
-out: an edit of one word changes the lengths by one and flips at most two
-of the ``PARITY`` bits that tell which hash values of words a text has an odd
-number of.  Both bounds are exact: a pair that they rule out has more edits
-than the band allows.  Classes are connected components of verified links.
+out.  ``PARITY`` bits tell which hash values of its words, labelled with
+their occurrence, a text has an odd number of; a replaced word flips at most
+two of them, a word more or less one.  So bits that differ and the difference
+of the lengths are together at most twice the edits, and a pair beyond twice
+the band is no near-duplicate for certain.  The alignment keeps the band's
+vertical differences as bits of two integers and moves down one diagonal a
+word.  Classes are connected components of verified links.
 Words travel as 32-bit hashes; nothing is collected.
 
 Null and empty texts have no words and are one class; repeated rows have
@@ -147,32 +150,43 @@ def word_table(docs: DataFrame) -> DataFrame:
 
 
 def banded_distance(a: np.ndarray, b: np.ndarray, band: int) -> int:
-    """Edit distance of two sequences if it is at most ``band``, else band + 1."""
+    """Edit distance of two sequences if it is at most ``band``, else band + 1.
+
+    Of column j of the table only the rows j - band to j + band are kept, as
+    bits (the last row highest) of where a row is one more, or one less, than
+    the row above; the value itself is followed along the lowest diagonal,
+    then along the last row."""
     if len(a) < len(b):
         a, b = b, a
-    n, m = len(a), len(b)
-    if n - m > band:
-        return band + 1
-    far = band + 1
-    width = 2 * band + 1
-    # row i holds columns i - band .. i + band
-    offset = np.arange(width)
-    j = offset - band
-    row = np.where((j >= 0) & (j <= m), j, far)
-    padded = np.concatenate([np.zeros(band + 1, b.dtype), b, np.zeros(band + 1 + n - m, b.dtype)])
-    for i in range(1, n + 1):
-        j = j + 1
-        cost = row + (padded[i:i + width] != a[i - 1])  # padded[j + band] is b[j - 1]
-        step = np.append(row[1:], far) + 1
-        row = np.minimum(cost, step)
-        row[(j < 0) | (j > m)] = far
-        if 0 <= band - i < width:
-            row[band - i] = i
-        row = np.minimum(np.minimum.accumulate(row - offset) + offset, far)
-        row[(j < 0) | (j > m)] = far
-        if row.min() >= far:
-            return far
-    return int(min(row[m - n + band], far))
+    m, n, far = len(a), len(b), band + 1
+    if m - n > band:
+        return far
+    if not n:
+        return m
+    band = min(band, m)
+    width = 2 * band + 2
+    full, top = (1 << width) - 1, 1 << (width - 1)
+    at: dict[int, int] = {}
+    for k, x in enumerate(a.tolist()):
+        at[x] = at.get(x, 0) | 1 << k
+    more, less, value = ((1 << (band + 1)) - 1) << (width - 1 - band), 0, band
+    row = top >> 1  # of the last row, once the lowest diagonal has reached it
+    for j, x in enumerate(b.tolist(), 1):
+        shift = width - j - band
+        equal = at.get(x, 0)
+        equal = (equal << shift if shift >= 0 else equal >> -shift) & full
+        diagonal = ((((equal & more) + more) ^ more) | equal | less) & full
+        right_more, right_less = less | (full ^ (diagonal | more)), diagonal & more
+        if j <= m - band:
+            value += not diagonal & top
+            if value > 2 * band + n - m:
+                return far
+        else:
+            value += bool(right_more & row) - bool(right_less & row)
+            row >>= 1
+        down = diagonal >> 1
+        more, less = right_less | (full ^ (down | right_more)), down & right_more
+    return min(value, far)
 
 
 def _anchored(a: np.ndarray, b: np.ndarray, band: int, k: int = K) -> int:
@@ -253,7 +267,7 @@ def may_be_near(own: str, other: str, own_words: str, other_words: str, similari
     own0, own1, ... and other0, other1, ... hold the parities."""
     flips = sum((F.bit_count(F.col(f"{own}{k}").bitwiseXOR(F.col(f"{other}{k}"))) for k in range(PARITY // 64)), F.lit(0))
     band = F.floor(F.lit(1 - similarity) * F.greatest(own_words, other_words) + 1e-9)
-    return near_in_length(own_words, other_words, similarity) & (flips <= 2 * band)
+    return near_in_length(own_words, other_words, similarity) & (flips + F.abs(F.col(own_words) - F.col(other_words)) <= 2 * band)
 
 
 def further_rounds(members: DataFrame, found: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
