@@ -33,12 +33,23 @@ SELECT url, sha256(issue) AS issue_sha, sha256(solution) AS solution_sha, produc
 
 @register("scan_json_array", SHORT_SQL)
 def scan_json_array(spark, sf):
-    """One JSON-array file, streamed out and scanned."""
+    """One JSON-array file, streamed out and scanned in splits."""
     path = scratch(spark, "array")
     S.export_json_array(items(spark, sf).select(*FIELDS), path)
     return short(feeds.read_json_array(spark, path).records)
 
 
+@register("scan_concatenated_arrays", f"""
+SELECT url, sha256(concat(issue, '"}}][{{"')) AS issue_sha, sha256(solution) AS solution_sha, product, category, depth::BIGINT AS depth FROM {ITEMS_SQL}""")
+def scan_concatenated_arrays(spark, sf):
+    """Files that hold array after array, whose strings look like the ends of
+    arrays: read in splits as their concatenation."""
+    path = scratch(spark, "arrays")
+    it = items(spark, sf).withColumn("issue", F.concat("issue", F.lit('"}][{"')))
+    it.select(F.concat(F.lit("["), F.to_json(F.struct(*FIELDS)), F.lit("]")).alias("value")).write.text(path)
+    return short(feeds.read_json_array(spark, path, repair=True).records)
+
+
 @register("scan_jsonl_files", SHORT_SQL)
 def scan_jsonl_files(spark, sf):
     """JSON Lines files, written in parallel and scanned strictly."""

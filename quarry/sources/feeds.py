@@ -25,6 +25,7 @@ from ..functions import json as J
 from ..functions import text as T
 from ..operators.items import normalise_keys
 from ..schema import ITEM
+from .json_splits import read_elements
 
 
 class Feed(NamedTuple):
@@ -112,45 +113,30 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], require_shape: b
     return feed
 
 
-def _whole_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.text(list(paths), wholetext=True).select(
-        F.col(FILE_META).alias("file"), F.col("value").alias("body"))
-
-
-def repair_concatenated(body: Column) -> Column:
-    """``[…][…]`` (appended array feeds) as one array of arrays, or null
-    when the repaired text still does not parse."""
-    fixed = F.concat(F.lit("["), F.regexp_replace(body, r"\]\s*\[", "],["), F.lit("]"))
-    v = J.strict_variant(fixed)
-    arrays = F.try_variant_get(v, "$", "array<array<variant>>")
-    return F.flatten(arrays)
+def _file_elements(spark: SparkSession, paths: Sequence[str], repair: bool) -> tuple[DataFrame, DataFrame]:
+    """(classified elements of the files that are arrays or one object; file,
+    usable of every file)."""
+    elements, files = read_elements(spark, paths)
+    taken = ["array", "object"] + ["arrays"] * repair
+    elements = elements.where(F.col("kind").isin(taken)).select("file", "ordinal", "line")
+    return _classify(elements).select("file", "ordinal", "v", "reason", "line"), files.select("file", F.col("kind").isin(taken).alias("usable"))
 
 
 def read_json_array(spark: SparkSession, paths: str | Sequence[str], require_shape: bool = False,
                     repair: bool = False, failfast: bool = False) -> Feed:
     """Files holding one JSON array of objects (a single object file gives
-    one row).  A file that is not one JSON value is a reject; with
-    ``repair`` a ``[…][…]`` file is read as the concatenation.  Each file
-    is one task: use JSON Lines for large feeds."""
+    one row).  A file that isn't one bracketed value is a reject; with
+    ``repair`` a ``[…][…]`` file is read as the concatenation.  An element
+    that isn't a JSON object is a reject of its own.  Files are read in
+    splits (``json_splits``), whatever their size and line breaks; ``ordinal``
+    is the byte at which an element begins.  Files without a byte give
+    nothing."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    whole = _whole_files(spark, paths)
-    v = J.strict_variant(F.col("body"))
-    elems = F.try_variant_get(v, "$", "array<variant>")
-    if repair:
-        elems = F.coalesce(elems, repair_concatenated(F.col("body")))
-    single = F.when(F.upper(J.variant_kind(v)).startswith("OBJECT"), F.array(v))
-    arr = whole.select("file", "body", F.coalesce(elems, single).alias("elems"))
-    bad_files = arr.where(F.col("elems").isNull()).select(
-        "file", F.lit(None).cast("long").alias("ordinal"), F.col("body").alias("line"),
+    elements, files = _file_elements(spark, paths, repair)
+    bad_files = files.where(~F.col("usable")).select(
+        "file", F.lit(None).cast("long").alias("ordinal"), F.lit(None).cast("string").alias("line"),
         F.lit("malformed_file").alias("reason"))
-    exploded = arr.where(F.col("elems").isNotNull()).select(
-        "file", F.posexplode_outer("elems").alias("ordinal", "v")).where(F.col("ordinal").isNotNull())
-    exploded = exploded.withColumn("ordinal", F.col("ordinal").cast("long")).withColumn(
-        "reason",
-        F.when(~F.upper(J.variant_kind(F.col("v"))).startswith("OBJECT"),
-               F.concat(F.lit("not_object:"), F.lower(J.variant_kind(F.col("v"))))))
-    exploded = exploded.withColumn("line", F.when(F.col("reason").isNotNull(), F.to_json("v")))
-    feed = _split(exploded, require_shape)
+    feed = _split(elements, require_shape)
     feed = Feed(feed.records, feed.rejects.unionByName(bad_files))
     if failfast and not feed.rejects.isEmpty():
         r = feed.rejects.first()
@@ -160,38 +146,19 @@ def read_json_array(spark: SparkSession, paths: str | Sequence[str], require_sha
 
 def read_auto(spark: SparkSession, paths: str | Sequence[str], require_shape: bool = True,
               repair: bool = False) -> Feed:
-    """Auto-detecting reader: a whole-file JSON array gives its objects,
-    a single object gives one row, anything else is read line by line as
-    JSON Lines.  Missing paths are skipped; output keeps path order
-    (``source_index``) then input order."""
+    """Auto-detecting reader: a file that is one JSON array gives its
+    elements, a single object gives one row, anything else is read line by
+    line as JSON Lines; either way in splits.  Missing paths are skipped;
+    output keeps path order (``source_index``) then input order."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     paths = existing_paths(spark, paths)
     if not paths:
         empty = spark.createDataFrame([], "file string, ordinal long, line string, reason string")
         return Feed(_records(spark.createDataFrame([], "file string, ordinal long, v variant")), empty)
-    whole = _whole_files(spark, paths)
-    v = J.strict_variant(F.col("body"))
-    elems = F.try_variant_get(v, "$", "array<variant>")
-    if repair:
-        elems = F.coalesce(elems, repair_concatenated(F.col("body")))
-    single = F.when(F.upper(J.variant_kind(v)).startswith("OBJECT"), F.array(v))
-    arr = whole.select("file", "body", F.coalesce(elems, single).alias("elems"))
-    # Whole-file values.
-    exploded = arr.where(F.col("elems").isNotNull()).select(
-        "file", F.posexplode_outer("elems").alias("ordinal", "v")).where(F.col("ordinal").isNotNull())
-    exploded = exploded.withColumn("ordinal", F.col("ordinal").cast("long")).withColumn(
-        "reason",
-        F.when(~F.upper(J.variant_kind(F.col("v"))).startswith("OBJECT"),
-               F.concat(F.lit("not_object:"), F.lower(J.variant_kind(F.col("v"))))))
-    exploded = exploded.withColumn("line", F.when(F.col("reason").isNotNull(), F.to_json("v")))
-    # Line fallback for files that are not one JSON value.
-    lines = arr.where(F.col("elems").isNull()).select(
-        "file", F.posexplode_outer(F.split(F.col("body"), "\n")).alias("ordinal", "line")).where(
-        F.col("ordinal").isNotNull())
-    lines = lines.withColumn("ordinal", F.col("ordinal").cast("long")).where(~T.is_blank(F.col("line")))
-    classified = _classify(lines).select("file", "ordinal", "v", "reason", "line")
-    feed = _split(exploded.select("file", "ordinal", "v", "reason", "line").unionByName(classified),
-                  require_shape)
+    elements, files = _file_elements(spark, paths, repair)
+    lines = spark.read.text(paths).select(F.col(FILE_META).alias("file"), F.monotonically_increasing_id().alias("ordinal"), F.col("value").alias("line"))
+    lines = lines.where(~T.is_blank(F.col("line"))).join(files.where(~F.col("usable")).select("file"), "file", "left_semi")
+    feed = _split(elements.unionByName(_classify(lines).select("file", "ordinal", "v", "reason", "line")), require_shape)
     return Feed(feed.records.withColumn("source_index", source_index(spark, paths)), feed.rejects)
 
 
