@@ -7,10 +7,11 @@ for each query, and a ranking over ``k`` rows per query and slice picks the
 global top ``k``.  Memory is the same whatever the number of queries, and
 nothing is collected.
 
-Keyword search joins rows with the distinct keywords of their brand (in
-blocks of fixed size), tests them with built-ins, and keeps the least
-ordinal of each keyword by partial aggregation; answers are fetched at the
-end, for the rows found alone.
+Keyword search meets rows on the keywords' rarest trigrams (``trigrams``);
+answers are fetched at the end, for the rows found alone.  Keywords of fewer
+than three characters have no trigram: they are joined with all rows of their
+brand, in blocks of fixed size, and tested with built-ins; the least ordinal
+of each is a partial aggregation.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions import text as T
 from ..schema import NO_MATCH
+from . import trigrams as TG
 
 # Scores are ranked after rounding to this many digits, so that the
 # same vector scored on two paths (or two engines) ties exactly and
@@ -31,8 +33,6 @@ RANK_DIGITS = 9
 # Rows of a query block and a corpus slice, and of a tile of scores.
 QUERY_BLOCK, CORPUS_SLICE = 4096, 65_536
 TILE_QUERIES, TILE_ROWS = 256, 8192
-# Keywords tested together in one row's array.
-KEYWORD_BLOCK = 500
 
 
 def _normalise(m: np.ndarray) -> np.ndarray:
@@ -120,16 +120,18 @@ def keyword_first_match(rows: DataFrame, queries: DataFrame, text_col: str, orde
     keyword = F.lower(F.coalesce(F.col("keyword"), F.lit("")))
     brand = F.col(brand_col) if brand_col else F.lit("")
     asked = queries.withColumn("__kw", keyword).withColumn("__brand", brand)
-    distinct = asked.select("__kw", "__brand").where(F.col("__brand").isNotNull()).distinct()
-    blocks = max(1, -(-distinct.count() // KEYWORD_BLOCK))
-    lists = distinct.withColumn("__block", F.pmod(F.xxhash64("__kw"), F.lit(blocks))) \
-        .groupBy("__brand", "__block").agg(F.collect_list("__kw").alias("__kws"))  # about KEYWORD_BLOCK each
-    src = rows.select(F.col(order_col).alias("match_id"), F.lower(F.col(text_col)).alias("__low"),
-                      (F.col(brand_col) if brand_col else F.lit("")).alias("__brand"))
-    src = src.where(F.col("match_id").isNotNull() & F.col("__low").isNotNull())
-    # the outer form: else the optimizer tests every keyword twice
-    met = src.join(lists, "__brand").select("match_id", "__brand", F.explode_outer(F.filter("__kws", lambda w: F.contains(F.col("__low"), w))).alias("__kw"))
-    hits = met.where(F.col("__kw").isNotNull()).groupBy("__brand", "__kw").agg(F.min("match_id").alias("match_id"))
+    distinct = asked.select(F.col("__brand").alias("brand"), F.col("__kw").alias("kw")).where(F.col("brand").isNotNull()).distinct()
+    src = rows.select((F.col(brand_col) if brand_col else F.lit("")).alias("brand"), F.col(order_col).alias("match_id"), F.lower(F.col(text_col)).alias("low"))
+    src = src.where(F.col("match_id").isNotNull() & F.col("low").isNotNull())
+    hits, _ = TG.first_hits(src, distinct.where(F.length("kw") >= TG.GRAM))
+    short = distinct.where(F.length("kw") < TG.GRAM)
+    n_short = short.count()
+    if n_short:
+        lists = short.withColumn("block", F.pmod(F.xxhash64("kw"), F.lit(-(-n_short // TG.BLOCK)))).groupBy("brand", "block").agg(F.collect_list("kw").alias("kws"))
+        # the outer form: else the optimizer tests every keyword twice
+        met = src.join(lists, "brand").select("match_id", "brand", F.explode_outer(F.filter("kws", lambda w: F.contains(F.col("low"), w))).alias("kw"))
+        hits = hits.unionByName(met.where(F.col("kw").isNotNull()).groupBy("brand", "kw").agg(F.min("match_id").alias("match_id")))
+    hits = hits.withColumnsRenamed({"brand": "__brand", "kw": "__kw"})
     found = asked.join(hits, ["__brand", "__kw"], "left").drop("__brand", "__kw")
     text = F.col(text_col) if answer_chars is None else T.truncate(F.col(text_col), answer_chars)
     answers = rows.join(hits.select(F.col("match_id").alias(order_col)).distinct(), order_col, "left_semi") \

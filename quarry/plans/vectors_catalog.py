@@ -12,6 +12,7 @@ from ..operators import embed as EM
 from ..operators import items as I
 from ..operators import retrieve as RT
 from ..operators import store as S
+from ..operators import trigrams as TG
 from ..schema import EMBEDDING_DIM, NO_MATCH
 from ..session import read_table
 from . import oracle as O
@@ -171,6 +172,22 @@ def hybrid_answer(spark, sf):
                       RT.hybrid_answer(F.col("vec_text"), F.col("kw_text"), cut=ANSWER_CUT).alias("answer"))
 
 
+@register("keyword_postings", f"""
+WITH q AS (SELECT DISTINCT lower({O.first_token('text')}) AS kw FROM benchmark),
+     g AS (SELECT kw, substr(kw, i, 3) AS gram FROM q, unnest(range(1, length(kw) - 1)) AS r(i) WHERE length(kw) >= 3),
+     n AS (SELECT gram, (SELECT count(*) FROM documents d WHERE contains(lower(d.text), x.gram)) AS n FROM (SELECT DISTINCT gram FROM g) x)
+SELECT kw, min(n)::BIGINT AS n_postings, any_value(d.doc_id)::BIGINT AS match_id
+FROM g JOIN n USING (gram) JOIN (SELECT kw, min(doc_id) AS doc_id FROM q JOIN documents ON contains(lower(text), kw) GROUP BY kw) d USING (kw) GROUP BY kw""")
+def keyword_postings(spark, sf):
+    """What the trigram index does for each question's keyword: the rows of
+    its rarest trigram, and the first row that holds the keyword."""
+    docs = read_table(spark, sf, "documents").select(F.lit("").alias("brand"), F.col("doc_id").alias("match_id"), F.lower("text").alias("low")).where("low IS NOT NULL")
+    words = read_table(spark, sf, "benchmark").select(F.lit("").alias("brand"), F.lower(T.first_token("text")).alias("kw")).where(F.length("kw") >= TG.GRAM).distinct()
+    hits, candidates = TG.first_hits(docs, words)
+    sizes = candidates.groupBy("kw").agg(F.max("n_postings").alias("n_postings"))
+    return hits.select("kw", "match_id").join(sizes, "kw").select("kw", "n_postings", "match_id")
+
+
 @register("collect_ordered", f"""
 SELECT conv_id, (turn // {CHUNK_TURNS})::BIGINT AS chunk, count(*)::BIGINT AS n_turns,
        min(turn)::BIGINT AS first_turn,
