@@ -314,7 +314,8 @@ def test_stages(spark, docs, empty, stage, texts):
 def test_pipeline(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "minhash_near_dedup", "suffix_array_dedup", "packing"]
     rows = corpus_pipeline.run(spark, SF)
-    assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and rows.count() > 100
+    assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids", "sequence_id", "offset"] and rows.count() > 100
+    assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length for r in rows.collect())
 
 
 @pytest.mark.parametrize("key", sorted(queries.QUERIES))
