@@ -58,8 +58,9 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all texts, packed into sequences of 1024 tokens."""
-    return packing.pack(docs, tokenizer())
+    """The pieces of all texts, with their ids, packed into sequences of 1024
+    tokens."""
+    return packing.pack(docs, tokenizer(), with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
