@@ -57,7 +57,7 @@ K = 5
 SIMILARITY = 0.8
 SKETCHES, PICKED = 36, 2
 #: Factor of a bucket's centres from round to round; members of one piece.
-GROWTH, PIECE = 8, 1000
+GROWTH, PIECE = 32, 1000
 #: Bits of a text's signature.
 PARITY = 4096
 LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
