@@ -31,7 +31,7 @@ RELEVANT = (r"(^|[^\p{L}\p{N}])(home automation|equipment racks|switches|receive
 SEARCH_KEYWORD = "license"
 ANSWER_CHARS = 100
 EXISTING_LANG = "en"
-CUTS = (8192, 2000, 1000, 500, 200, 100, 50)
+CUTS = (40000, 10000, 8192, 2000, 1000, 500, 200, 100, 50)
 BATCH = 100
 
 
