@@ -21,7 +21,8 @@ on: ``GROWTH`` times as many of them as before are the round's centres, by
 a hash salted with the bucket, and meet all members of other classes, until
 the members left are one class or none.  So any two members of a bucket are
 compared or in one class already.  A hot bucket's members are dealt out in
-pieces of about ``PIECE``, each of which meets the centres in its own task.
+pieces of about ``PIECE``, its centres in blocks of as many; each piece meets
+each block in a group of its own.
 
 What unlike texts around one common passage share is the bucket alone, so
 in the rounds two members are aligned only if nothing cheaper rules them
@@ -29,7 +30,9 @@ out.  ``PARITY`` bits tell which hash values of its words, labelled with
 their occurrence, a text has an odd number of; a replaced word flips at most
 two of them, a word more or less one.  So bits that differ and the difference
 of the lengths are together at most twice the edits, and a pair beyond twice
-the band is no near-duplicate for certain.  The alignment keeps the band's
+the band is no near-duplicate for certain.  A piece of a bucket's members and
+a block of its centres meet in one task and give the pairs that are left,
+each in the first bucket alone that it could meet in.  The alignment keeps the band's
 vertical differences as bits of two integers and moves down one diagonal a
 word.  Classes are connected components of verified links.
 Words travel as 32-bit hashes; nothing is collected.
@@ -262,12 +265,41 @@ def near_in_length(one: str, other: str, similarity: float) -> Column:
     return F.least(one, other) >= F.lit(similarity) * F.greatest(one, other) - 1e-6
 
 
-def may_be_near(own: str, other: str, own_words: str, other_words: str, similarity: float) -> Column:
-    """Whether lengths and parities leave room for ``similarity``; columns
-    own0, own1, ... and other0, other1, ... hold the parities."""
-    flips = sum((F.bit_count(F.col(f"{own}{k}").bitwiseXOR(F.col(f"{other}{k}"))) for k in range(PARITY // 64)), F.lit(0))
-    band = F.floor(F.lit(1 - similarity) * F.greatest(own_words, other_words) + 1e-9)
-    return near_in_length(own_words, other_words, similarity) & (flips + F.abs(F.col(own_words) - F.col(other_words)) <= 2 * band)
+def room(one: np.ndarray, other: np.ndarray, similarity: float) -> np.ndarray:
+    """How many flipped parities and words of difference two texts may have
+    together, by their numbers of words; -1 if their lengths rule them out."""
+    longer, shorter = np.maximum(one, other), np.minimum(one, other)
+    band = 2 * np.floor((1 - similarity) * longer + 1e-9).astype(np.int64) - (longer - shorter)
+    return np.where(shorter >= similarity * longer - 1e-6, band, -1)
+
+
+def meeting(similarity: float):
+    """The function that a piece of a bucket's members and a block of its
+    centres meet in: (a, b) of those pairs of unlike classes that lengths and
+    parities leave room for, in the first bucket alone that holds the member
+    and is led by the centre; two centres meet once."""
+    empty = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+
+    def run(own: pa.Table, led: pa.Table) -> pa.Table:
+        if not own.num_rows or not led.num_rows:
+            return empty
+        of = lambda t, name: t.column(name).combine_chunks().to_numpy(zero_copy_only=False)
+        bits = lambda t: t.column("parity").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(t.num_rows, -1)
+        here = own.column("bucket")[0].as_py()
+        inside, leads = own.column("inside").to_pylist(), [set(x) for x in led.column("leads").to_pylist()]
+        ids, words, classes, centre, mine = of(own, "doc_id"), of(own, "n_words"), of(own, "class_id"), of(own, "centre"), bits(own)
+        found_a, found_b = [], []
+        for j, (c, n, of_class, theirs) in enumerate(zip(of(led, "doc_id"), of(led, "n_words"), of(led, "class_id"), bits(led), strict=True)):
+            left = room(words, n, similarity)
+            at = np.flatnonzero((left >= 0) & (classes != of_class) & (~centre | (ids > c)))
+            at = at[np.bitwise_count(mine[at] ^ theirs).sum(axis=1, dtype=np.int64) <= left[at]]
+            for i in at.tolist():
+                if min(leads[j].intersection(inside[i])) == here:
+                    found_a.append(max(int(ids[i]), int(c)))
+                    found_b.append(min(int(ids[i]), int(c)))
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return run
 
 
 def further_rounds(members: DataFrame, found: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
@@ -275,25 +307,31 @@ def further_rounds(members: DataFrame, found: DataFrame, words: DataFrame, simil
     ``members`` (bucket, doc_id, n_words) that aren't in one class have been
     compared."""
     centres = GROWTH
-    bits = words.select("doc_id", *(F.col("parity")[k].alias(f"own{k}") for k in range(PARITY // 64)))
     while True:
         now = members.join(found.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("class_id", F.coalesce("component", "doc_id")).drop("component")
         mixed = now.groupBy("bucket").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("bucket", "n")
         rank = F.pmod(F.xxhash64("bucket", "doc_id"), F.lit(1 << 31))  # uniform, so about ``centres`` of a bucket's members are picked
-        now = now.join(mixed, "bucket").withColumn("centre", rank * F.col("n") < F.lit(centres << 31)).withColumn("pieces", F.ceil(F.col("n") / PIECE).cast("int")).drop("n")
-        now = written(now.join(bits, "doc_id"), "members")
+        leading = (rank * F.col("n") < F.lit(centres << 31)).alias("centre")
+        now = now.join(mixed, "bucket").withColumn("place", F.struct("bucket", leading, F.ceil(F.col("n") / PIECE).cast("int").alias("pieces"), F.ceil(F.least("n", F.lit(centres)) / PIECE).cast("int").alias("blocks")))
+        # a row for each document, with its places: a sketch each, so ``SKETCHES`` at most
+        now = now.groupBy("doc_id", "n_words", "class_id").agg(F.collect_list("place").alias("places"))
+        now = written(now.join(words.select("doc_id", "parity"), "doc_id"), "members")
         if now.isEmpty():
             return found
-        own = now.withColumn("piece", F.pmod(F.xxhash64("doc_id", F.lit(1)), "pieces").cast("int"))
-        other = [F.col(f"own{k}").alias(f"other{k}") for k in range(PARITY // 64)]
-        picked = now.where("centre").select("bucket", F.col("doc_id").alias("c"), F.col("n_words").alias("c_words"), F.col("class_id").alias("c_class"), *other, F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-        # two centres meet once
-        pairs = own.join(picked, ["bucket", "piece"]).where((F.col("class_id") != F.col("c_class")) & (~F.col("centre") | (F.col("doc_id") > F.col("c"))) & may_be_near("own", "other", "n_words", "c_words", similarity))
-        pairs = written(pairs.select(F.greatest("doc_id", "c").alias("a"), F.least("doc_id", "c").alias("b")).distinct(), "candidates")
+        part = lambda n, salt: F.pmod(F.xxhash64("doc_id", F.lit(salt)), n).cast("int")
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        led = F.filter("places", lambda p: p["centre"])
+        own = now.select("doc_id", "n_words", "class_id", "parity", F.col("places.bucket").alias("inside"), F.explode("places").alias("place")) \
+            .select("*", "place.bucket", "place.centre", part("place.pieces", 1).alias("piece"), each("place.blocks").alias("block")).drop("place")
+        picked = now.select("doc_id", "n_words", "class_id", "parity", led["bucket"].alias("leads"), F.explode(led).alias("place")) \
+            .select("*", "place.bucket", each("place.pieces").alias("piece"), part("place.blocks", 2).alias("block")).drop("place")
+        key = ["bucket", "piece", "block"]
+        pairs = own.groupBy(key).cogroup(picked.groupBy(key)).applyInArrow(meeting(similarity), "a long, b long")
+        pairs = written(pairs.distinct(), "candidates")
         links = written(verified(pairs, words, similarity), "links")
         if not links.isEmpty():
             found = written(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)), "classes")
-        members = now.where(~F.col("centre")).select("bucket", "doc_id", "n_words")
+        members = now.select("doc_id", "n_words", F.explode(F.filter("places", lambda p: ~p["centre"])).alias("place")).select("place.bucket", "doc_id", "n_words")
         centres *= GROWTH
 
 

@@ -145,3 +145,45 @@ def test_every_canonical_and_refresh_element_counts(spark):
     con.register("pages", df.where("page_id < 6").toPandas())  # its patterns read closed elements
     want = con.sql(queries.ORACLE["op9_url_filters"]).fetchall()
     assert sorted(map(str, want)) == sorted(str(r) for r in got if r[0] < 6)
+
+
+def test_members_meet_centres_once_where_the_bounds_leave_room():
+    """Against all pairs: lengths, classes, parities, the first shared bucket."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    n = 60
+    near = rng.integers(0, 4000, 80).astype(np.uint64)
+    texts = []
+    for _ in range(n):
+        t = near.copy()
+        t[rng.choice(80, rng.integers(0, 20), replace=False)] = rng.integers(5000, 9000, 1)[0]
+        texts.append(t[:rng.integers(50, 81)])
+    bits = np.concatenate([neardup.parities(t, np.zeros(len(t), np.int64), 1) for t in texts])
+    places = {k: sorted(rng.choice(4, rng.integers(1, 5), replace=False).tolist()) for k in range(n)}
+    leads = {k: [b for b in places[k] if rng.random() < 0.4] for k in range(n)}
+    classes = rng.integers(0, 20, n)
+
+    def table(rows, **more):
+        own = {"doc_id": rows, "n_words": [len(texts[k]) for k in rows], "class_id": [int(classes[k]) for k in rows],
+               "parity": [bits[k].view(np.int64).tolist() for k in rows]}
+        return pa.table(own | more)
+
+    got = []
+    for b in range(4):
+        members, centres = [k for k in range(n) if b in places[k]], [k for k in range(n) if b in leads[k]]
+        own = table(members, bucket=[b] * len(members), inside=[places[k] for k in members], centre=[b in leads[k] for k in members])
+        led = table(centres, leads=[leads[k] for k in centres])
+        for part in (own.slice(0, 7), own.slice(7)):
+            out = neardup.meeting(0.8)(part, led)
+            got += zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True)
+    want = set()
+    for i in range(n):
+        for j in range(i):
+            a, b = len(texts[i]), len(texts[j])
+            flips = sum(int(x).bit_count() for x in bits[i] ^ bits[j])
+            meet = set(places[i]) & set(leads[j]) or set(places[j]) & set(leads[i])
+            if meet and classes[i] != classes[j] and min(a, b) >= 0.8 * max(a, b) - 1e-6 and flips + abs(a - b) <= 2 * int(0.2 * max(a, b) + 1e-9):
+                want.add((i, j))
+    assert set(got) == want and len(want) > 20
+    assert len(got) <= 2 * len(want)
