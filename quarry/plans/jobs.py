@@ -6,6 +6,7 @@ ride along with the job's own action - no extra passes.
 * ``catalogue``  items → keep-first → defaults → ids → table rows + vectors
 * ``kb_load``    several item sources → shape check → normalise → brand →
                  ids → word gate → metadata → vectors
+* ``file_load``  one JSON Lines file → cut solutions, flagged → vectors
 * ``flow``       harvest → relevance → load → hybrid question
 """
 
@@ -27,6 +28,7 @@ from ..operators import retrieve as RT
 from ..operators import store as S
 from ..schema import EMBEDDING_DIM, ITEM_DEFAULTS, KB_RECORD, VECTOR
 from ..session import materialize
+from ..sources.feeds import read_jsonl
 from ..sources.feeds import valid_shape as valid_keys
 
 LANG_RE = r'(?i)<html[^>]*\slang="([^"]*)"'
@@ -148,6 +150,38 @@ def vector_id() -> Column:
     return F.sha2(F.to_json(F.struct("brand", "url", "product", "issue", "solution"), {"ignoreNullFields": "false"}), 256)
 
 
+SOLUTION_CUT = 10_000
+
+
+def cut_vectors(items: DataFrame, cut: int = SOLUTION_CUT, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """VECTOR rows of ``items`` whose solutions are cut to ``cut``
+    characters before they are embedded and stored, with ``truncated`` and
+    the whole solution's ``solution_chars``.  Missing fields are ''; an item
+    without text gets no vector.  The id hashes the whole record, so equal
+    records are one vector and a re-run replaces it."""
+    names = ("issue", "solution", "product", "category", "url")
+    whole = items.select(*[F.coalesce(F.col(c).cast("string") if c in items.columns else F.lit(None), F.lit("")).alias(c) for c in names])
+    cutted = whole.select(
+        F.sha2(F.to_json(F.struct(*names)), 256).alias("id"), "issue", T.truncate("solution", cut).alias("solution"), "product", "category", "url",
+        T.was_truncated("solution", cut).alias("truncated"), F.char_length("solution").cast("long").alias("solution_chars"))
+    text = I.embed_text(cutted.dropDuplicates(["id"]), "kb", "t").where(~T.is_blank("t"))
+    return EM.embed_hashed(text, "t", dim).select(
+        "id", F.col("embedding").cast("array<float>").alias("embedding"),
+        I.vector_metadata(F.lit(None).cast("string"), F.col("issue"), F.col("solution"), F.col("product"), F.col("category"), F.col("url"), F.lit(None), gated=False).alias("metadata"),
+        "truncated", "solution_chars")
+
+
+def file_load(spark, path: str, stored: DataFrame | None = None, cut: int = SOLUTION_CUT,
+              dim: int = EMBEDDING_DIM) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Load one JSON Lines file: (the vectors after the upsert into
+    ``stored``, the urls whose solutions were cut, the malformed lines)."""
+    feed = read_jsonl(spark, path)
+    fresh = materialize(cut_vectors(feed.records, cut, dim), "file-load")
+    cut_rows = fresh.where("truncated").select("id", "metadata.url", "solution_chars")
+    vectors = fresh.select("id", "embedding", "metadata")
+    return (vectors if stored is None else S.upsert(stored, vectors, "id")), cut_rows, feed.rejects
+
+
 def page_items(pages: DataFrame, default_product: str = ITEM_DEFAULTS["product"]) -> DataFrame:
     """One item per stored page: title as issue, its whole paragraph text
     as solution."""

@@ -102,6 +102,21 @@ def job_kb_load(spark, sf):
         "has_vector", "weighted", "meta_solution_sha")
 
 
+@register("job_file_load", f"""
+WITH it AS {ITEMS_SQL},
+f AS (SELECT url, issue, product, solution, left(solution, {J.SOLUTION_CUT}) AS cut FROM it),
+tok AS (SELECT url, unnest(regexp_extract_all(lower(issue || ' ' || cut || ' ' || product), {O.q(EM.TOKEN_RE)})) AS tok FROM f),
+b AS (SELECT url, {O.bucket_of('tok', EMBEDDING_DIM)} AS bucket, count(*)::DOUBLE AS c FROM tok GROUP BY ALL),
+w AS (SELECT url, round(sum(c * (bucket + 1)) / sqrt(sum(c * c)), 2) AS weighted FROM b GROUP BY url)
+SELECT url, length(solution) > {J.SOLUTION_CUT} AS truncated, length(solution)::BIGINT AS solution_chars, sha256(cut) AS stored_sha, weighted
+FROM f LEFT JOIN w USING (url)""")
+def job_file_load(spark, sf):
+    """What a single-file load stores of the documents' items: solutions
+    cut to 10,000 characters, flagged, and the vector of the cut text."""
+    vectors = J.cut_vectors(I.documents_as_items(read_table(spark, sf, "documents")))
+    return vectors.select("metadata.url", "truncated", "solution_chars", F.sha2("metadata.solution", 256).alias("stored_sha"), weighted().alias("weighted"))
+
+
 @register("job_flow")
 def job_flow(spark, sf):
     """Scrape → filter → load → query flow over stored pages."""

@@ -181,3 +181,22 @@ def test_kb_load_empty_sources_short_circuit(spark):
     empty = spark.createDataFrame([], "ordinal long, url string, issue string, solution string, product string, source string")
     kb, vec = J.kb_load([empty], {}, "generic")
     assert kb.count() == 0 and vec.count() == 0
+
+
+def test_file_load_cuts_flags_and_replays(spark, workdir):
+    import json
+
+    from quarry.plans import jobs as J
+
+    path = f"{workdir}/one.jsonl"
+    rows = [{"url": "a", "issue": "i", "solution": "é" * 12 + " tail", "product": "p"}, {"url": "b", "issue": "j", "solution": "x" * 12},
+            {"url": "a", "issue": "i", "solution": "é" * 12 + " tail", "product": "p"}, {"solution": ""}]
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(json.dumps(r, ensure_ascii=False) for r in rows) + "\n\n{broken\n")
+    vectors, cut, rejects = J.file_load(spark, path, cut=12)
+    got = {r.metadata.url: r.metadata.solution for r in vectors.collect()}
+    assert got == {"a": "é" * 12, "b": "x" * 12}
+    assert [(r.url, r.solution_chars) for r in cut.collect()] == [("a", 17)]
+    assert rejects.count() == 1
+    again, _, _ = J.file_load(spark, path, stored=vectors, cut=12)
+    assert sorted(r.id for r in again.collect()) == sorted(r.id for r in vectors.collect())
