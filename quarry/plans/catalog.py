@@ -7,3 +7,4 @@ from . import jobs_catalog  # noqa: F401
 from . import parse_catalog  # noqa: F401
 from . import stream_catalog  # noqa: F401
 from . import files_catalog  # noqa: F401
+from . import delta_catalog  # noqa: F401

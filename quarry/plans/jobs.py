@@ -6,6 +6,7 @@ ride along with the job's own action - no extra passes.
 * ``catalogue``  items → keep-first → defaults → ids → table rows + vectors
 * ``kb_load``    several item sources → shape check → normalise → brand →
                  ids → word gate → metadata → vectors
+* ``load_catalogue``, ``load_knowledge``  the same into stored, bucketed tables
 * ``file_load``  one JSON Lines file → cut solutions, flagged → vectors
 * ``flow``       harvest → relevance → load → hybrid question
 """
@@ -16,17 +17,19 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as T
 from ..functions import url as U
 from ..operators import dedupe as D
+from ..operators import delta as DT
 from ..operators import embed as EM
 from ..operators import items as I
 from ..operators import pages as P
 from ..operators import relevance as R
 from ..operators import retrieve as RT
 from ..operators import store as S
-from ..schema import EMBEDDING_DIM, ITEM_DEFAULTS, KB_RECORD, VECTOR
+from ..schema import EMBEDDING_DIM, ITEM_DEFAULTS, KB_RECORD, PDF_RECORD, VECTOR
 from ..session import materialize
 from ..sources.feeds import read_jsonl
 from ..sources.feeds import valid_shape as valid_keys
@@ -92,6 +95,31 @@ def catalogue(items: DataFrame, order: str = "ordinal", brand: str = "generic",
     return table, vectors
 
 
+def load_catalogue(items: DataFrame, table_root: str, vectors_root: str, order: str = "ordinal",
+                   brand: str = "generic", dim: int = EMBEDDING_DIM, buckets: int = 64) -> tuple[DT.Report, DT.Report]:
+    """Load a catalogue into its stored table (key ``url``, the stored row
+    wins, new rows get the ids that follow) and its vectors (``doc_<id>``,
+    replaced by the load's text): the two loads' reports.  The vectors are
+    made of all items of the load, so a run that stopped between the two
+    tables is made whole by the next; a second run adds nothing."""
+    spark = items.sparkSession
+    DT.create(spark, table_root, PDF_RECORD, "url", buckets)
+    DT.create(spark, vectors_root, VECTOR, "id", buckets)
+    firsts = D.dedupe_first(items.where(~F.coalesce(F.col("url") == "", F.lit(True))), "url", order).drop("id")
+    raw = I.embed_text(firsts, "catalogue", "embed_text")
+    rows = materialize(I.project_defaults(raw, ITEM_DEFAULTS).withColumn("created_at", F.current_timestamp()), "catalogue")
+    added = DT.insert_new(spark, table_root, rows, order, id_col="id")
+    ids = DT.read(spark, table_root, rows).select("url", "id")
+    vec = EM.embed_hashed(rows.where(~T.is_blank("embed_text")).join(ids, "url"), "embed_text", dim)
+    vectors = vec.select(
+        F.concat(F.lit("doc_"), F.col("id").cast("string")).alias("id"),
+        F.col("embedding").cast("array<float>").alias("embedding"),
+        I.vector_metadata(F.lit(brand), F.col("issue"), F.col("solution"), F.col("product"),
+                          F.col("category"), F.col("url"), F.col("id"), gated=False).alias("metadata"),
+    )
+    return added, DT.upsert(spark, vectors_root, vectors, "id")
+
+
 def catalogue_rejects(items: DataFrame) -> DataFrame:
     """The items that ``catalogue`` can't load, with the reason."""
     return items.where(F.coalesce(F.col("url") == "", F.lit(True))).withColumn("reason", F.lit("no_url"))
@@ -120,29 +148,38 @@ def kb_load(sources: Sequence[DataFrame], brands: Mapping[str, str], default_bra
     """Knowledge load from several sources.  Returns ``(kb_rows,
     vectors)``; ids are dense in source order then ``order``; vector ids
     are content hashes so a re-run upserts instead of duplicating."""
+    u = knowledge_items(sources, brands, default_brand, source_col)
+    if u.isEmpty():  # nothing to load: skip the id layout and the vectors (one-row probe)
+        empty = u.sparkSession.createDataFrame([], KB_RECORD)
+        return empty, u.sparkSession.createDataFrame([], VECTOR)
+    rows = S.assign_ids(u.withColumn("__ord", F.struct("__src", order)), "__ord")
+    kb = rows.select("id", "brand", "issue", "solution", "product", "category", "url")
+    return kb, knowledge_vectors(kb, dim)
+
+
+def knowledge_items(sources: Sequence[DataFrame], brands: Mapping[str, str], default_brand: str,
+                    source_col: str = "source") -> DataFrame:
+    """The usable items of all sources with their brand and ``__src``."""
     if not sources:
-        raise ValueError("kb_load needs at least one source")
+        raise ValueError("a knowledge load needs at least one source")
     tagged = []
     for i, s in enumerate(sources):
         tagged.append(I.normalise_keys(valid_shape(s)).withColumn("__src", F.lit(i)))
     u = tagged[0]
     for t in tagged[1:]:
         u = u.unionByName(t, allowMissingColumns=True)
-    u = u.withColumn("brand", I.brand_column(F.col(source_col), brands, default_brand))
-    if u.isEmpty():  # nothing to load: skip the id layout and the vectors (one-row probe)
-        empty = u.sparkSession.createDataFrame([], KB_RECORD)
-        return empty, u.sparkSession.createDataFrame([], VECTOR)
-    rows = S.assign_ids(u.withColumn("__ord", F.struct("__src", order)), "__ord")
-    kb = rows.select("id", "brand", "issue", "solution", "product", "category", "url")
+    return u.withColumn("brand", I.brand_column(F.col(source_col), brands, default_brand))
+
+
+def knowledge_vectors(kb: DataFrame, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """VECTOR rows of knowledge rows; those without text have none."""
     kbt = I.embed_text(kb, "branded", "t").withColumn("t", T.ustrip("t")).where(F.col("t") != "")
-    vec = EM.embed_hashed(kbt, "t", dim)
-    vectors = vec.select(
+    return EM.embed_hashed(kbt, "t", dim).select(
         vector_id().alias("id"),
         F.col("embedding").cast("array<float>").alias("embedding"),
         I.vector_metadata(F.col("brand"), F.col("issue"), F.col("solution"), F.col("product"),
                           F.col("category"), F.col("url"), F.col("id")).alias("metadata"),
     )
-    return kb, vectors
 
 
 def vector_id() -> Column:
@@ -150,6 +187,23 @@ def vector_id() -> Column:
     return F.sha2(F.to_json(F.struct("brand", "url", "product", "issue", "solution"), {"ignoreNullFields": "false"}), 256)
 
 
+def load_knowledge(sources: Sequence[DataFrame], brands: Mapping[str, str], default_brand: str, table_root: str,
+                   vectors_root: str, source_col: str = "source", order: str = "ordinal", dim: int = EMBEDDING_DIM,
+                   buckets: int = 64) -> tuple[DT.Report, DT.Report]:
+    """Load knowledge from several sources into its stored table and its
+    vectors, both keyed by the record's hash (``vector_id``): the two loads'
+    reports.  Records stored before keep their ids; new ones get those that
+    follow, in source order then ``order``.  A second run adds nothing."""
+    u = knowledge_items(sources, brands, default_brand, source_col)
+    spark = u.sparkSession
+    DT.create(spark, table_root, StructType([*KB_RECORD.fields, StructField("key", StringType())]), "key", buckets)
+    DT.create(spark, vectors_root, VECTOR, "id", buckets)
+    rows = materialize(u.drop("id").withColumn("key", vector_id()).withColumn("__ord", F.struct("__src", order)), "knowledge")
+    added = DT.insert_new(spark, table_root, rows, "__ord", id_col="id")
+    loaded = DT.read(spark, table_root, rows)
+    return added, DT.upsert(spark, vectors_root, knowledge_vectors(loaded, dim), "id")
+
+
 SOLUTION_CUT = 10_000
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import delta as DT
 from ..operators import items as I
 from ..operators import store as S
 from ..sources import feeds as FD
@@ -65,17 +66,38 @@ def upsert_batch(table_path: str, key: str = "url"):
     return run
 
 
+def delta_batch(root: str, key: str, buckets: int, source: str, kept=lambda batch: batch, reports: list | None = None):
+    """``foreachBatch`` function: insert the rows of ``kept(batch)`` whose key
+    isn't stored into the bucketed table ``root``; only the keys of the
+    buckets that the batch touches are read.  A batch of ``source`` that was
+    committed before is skipped; a replay under another name finds its keys
+    stored.  ``reports`` gets each load's report."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        rows = kept(batch).withColumn("__ord", F.monotonically_increasing_id())
+        DT.create(batch.sparkSession, root, rows.drop("__ord").schema, key, buckets)
+        report = DT.insert_new(batch.sparkSession, root, rows, "__ord", txn=(source, epoch_id))
+        if reports is not None:
+            reports.append(report)
+    return run
+
+
 def run_available(df: DataFrame, table_path: str, checkpoint: str, key: str = "url",
-                  rejects_path: str | None = None):
-    """Process everything currently in the source, then stop."""
-    q = (df.writeStream.foreachBatch(upsert_batch(table_path, key))
+                  rejects_path: str | None = None, buckets: int | None = None):
+    """Process everything currently in the source, then stop.  With
+    ``buckets`` the table is a bucketed one (``operators.delta``), else one
+    Parquet folder whose stored keys every batch reads."""
+    def kept(batch: DataFrame) -> DataFrame:
+        return batch.where((F.col("route") == I.ROUTE_KEPT) & (F.col(key) != "")).drop("file", "route")
+
+    sink = delta_batch(table_path, key, buckets, checkpoint, kept) if buckets else upsert_batch(table_path, key)
+    q = (df.writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
 def run_feed(spark: SparkSession, src_dir: str, table_path: str, checkpoint: str,
-             rejects_path: str | None = None, key: str = "url"):
+             rejects_path: str | None = None, key: str = "url", buckets: int | None = None):
     """The whole streaming load: classify → (rejects sink) → clean →
     dedupe → idempotent upsert."""
     classified = read_feed_stream(spark, src_dir)
@@ -86,4 +108,4 @@ def run_feed(spark: SparkSession, src_dir: str, table_path: str, checkpoint: str
               .trigger(availableNow=True).start())
         rq.awaitTermination()
     items = dedupe_stream(clean_items(classified), key)
-    return run_available(items, table_path, checkpoint, key)
+    return run_available(items, table_path, checkpoint, key, buckets=buckets)
