@@ -15,7 +15,7 @@ from . import oracle as O
 from .docs_catalog import BRANDS, DEFAULT_BRAND, ITEMS_SQL, brand_sql
 from .registry import register
 
-VECTOR_BUCKETS = 256
+VECTOR_BUCKETS = 128
 LOAD_BUCKETS = 16
 SHORT = 1000
 
