@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..session import materialize
-from .dedupe import dedupe_first
 from .store import _fs, assign_ids
 
 KEPT_MANIFESTS = 50
 BUCKET = "bucket"
+ROW = "__row"
 
 
 class ConcurrentLoad(RuntimeError):
@@ -199,40 +199,57 @@ def _write(spark: SparkSession, root: str, m: Manifest, rows: DataFrame) -> tupl
     return name, [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder) if s.getPath().getName().startswith(f"{BUCKET}=")]
 
 
-def _conform(rows: DataFrame, m: Manifest, without: str | None = None) -> list[Column]:
+def _conform(rows: DataFrame, m: Manifest) -> list[Column]:
     """The table's columns from ``rows``, nulls for those it lacks."""
     return [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in StructType.fromJson(m.schema).fields if f.name != without]
+            for f in StructType.fromJson(m.schema).fields]
+
+
+def stage(batch: DataFrame) -> DataFrame:
+    """The batch written once, its rows numbered: a load reads it more than
+    once.  Loads stage their batches themselves unless that was done."""
+    return materialize(batch.withColumn(ROW, F.monotonically_increasing_id()), "delta-batch")
 
 
 def _load(spark: SparkSession, root: str, batch: DataFrame, order: str, absent_only: bool, id_col: str | None, last: bool, txn: tuple[str, int] | None) -> Report:
     m = _table(spark, root)
     total = len(m.files())
-    if txn is not None and m.applied.get(txn[0], -1) >= txn[1]:
+    if _applied(m, txn):
         return Report(m.version, 0, 0, 0, 0, 0, total, True)
-    staged = materialize(batch.select(*_conform(batch, m, id_col), F.col(order).alias("__order")), "delta-batch")
+    staged = batch if ROW in batch.columns else stage(batch)
     n_rows, n_null = staged.select(F.count(F.lit(1)), F.count_if(F.col(m.key).isNull())).first()
-    if last:
-        # keys and ordinals alone are aggregated; the rows follow by a semi-join
-        newest = staged.where(F.col(m.key).isNotNull()).groupBy(m.key).agg(F.max("__order").alias("__order"))
-        rows = staged.join(newest, [m.key, "__order"], "left_semi").dropDuplicates([m.key])
-    else:
-        rows = dedupe_first(staged, m.key, "__order", keep_null_keys=False).dropDuplicates([m.key])
-    touched = _touched(staged.where(F.col(m.key).isNotNull()), m)
+    # keys and ordinals alone decide; the chosen rows follow by their number
+    asked = staged.where(F.col(m.key).isNotNull())
+    place = F.struct(F.col(order).alias("o"), F.col(ROW).alias("r"))
+    chosen = asked.groupBy(m.key).agg((F.max if last else F.min)(place).alias("__place"))
+    chosen = chosen.select(m.key, F.col("__place.o").alias("__order"), F.col("__place.r").alias(ROW))
+    touched = _touched(asked, m)
     files = m.files(touched) if absent_only else []
     if files:
         stored = _scan(spark, root, m, files).select(F.col(m.key).alias("__key")).distinct()
-        rows = rows.join(stored, F.col(m.key) == F.col("__key"), "left_anti")
+        chosen = chosen.join(stored, F.col(m.key) == F.col("__key"), "left_anti")
     if id_col:
-        rows = assign_ids(rows, "__order", start=m.next_id, id_col=id_col)
+        chosen = assign_ids(chosen, "__order", start=m.next_id, id_col=id_col)
+    rows = staged.drop(*([id_col] if id_col else [])).join(chosen.select(ROW, *([id_col] if id_col else [])), ROW)
+    done, written, _ = _write_load(spark, root, m, rows.select(*_conform(rows, m)), txn, bool(id_col))
+    return Report(done.version, n_rows, n_null, written, len(touched), len(files), total)
+
+
+def _applied(m: Manifest, txn: tuple[str, int] | None) -> bool:
+    return txn is not None and m.applied.get(txn[0], -1) >= txn[1]
+
+
+def _write_load(spark: SparkSession, root: str, m: Manifest, rows: DataFrame, txn: tuple[str, int] | None, numbered: bool = False) -> tuple[Manifest, int, int]:
+    """Write rows of unlike keys as a load and commit it: (the manifest, rows
+    written, buckets they are in)."""
     name, buckets = _write(spark, root, m, rows)
     written = _scan(spark, root, m, [(b, name) for b in buckets]).count()
     loads = {b: list(one) for b, one in m.loads.items()}
     for b in buckets:
         loads.setdefault(str(b), []).append(name)
     applied = m.applied | ({txn[0]: txn[1]} if txn is not None else {})
-    done = _commit(spark, root, replace(m, version=m.version + 1, loads=loads, applied=applied, next_id=m.next_id + (written if id_col else 0)))
-    return Report(done.version, n_rows, n_null, written, len(touched), len(files), total)
+    done = _commit(spark, root, replace(m, version=m.version + 1, loads=loads, applied=applied, next_id=m.next_id + (written if numbered else 0)))
+    return done, written, len(buckets)
 
 
 def insert_new(spark: SparkSession, root: str, batch: DataFrame, order: str, id_col: str | None = None, txn: tuple[str, int] | None = None) -> Report:
@@ -243,10 +260,19 @@ def insert_new(spark: SparkSession, root: str, batch: DataFrame, order: str, id_
     return _load(spark, root, batch, order, True, id_col, False, txn)
 
 
-def upsert(spark: SparkSession, root: str, batch: DataFrame, order: str, txn: tuple[str, int] | None = None) -> Report:
+def upsert(spark: SparkSession, root: str, batch: DataFrame, order: str | None, txn: tuple[str, int] | None = None) -> Report:
     """Same key replaces, new key inserts; the last row of each key by
-    ``order`` counts.  No stored file is read."""
-    return _load(spark, root, batch, order, False, None, True, txn)
+    ``order`` counts.  No stored file is read.  Without an ``order`` the
+    caller vouches that no key repeats or is null: the batch is written as it
+    comes, in one pass."""
+    if order is not None:
+        return _load(spark, root, batch, order, False, None, True, txn)
+    m = _table(spark, root)
+    total = len(m.files())
+    if _applied(m, txn):
+        return Report(m.version, 0, 0, 0, 0, 0, total, True)
+    done, written, touched = _write_load(spark, root, m, batch.select(*_conform(batch, m)), txn)
+    return Report(done.version, written, 0, written, touched, 0, total)
 
 
 def compact(spark: SparkSession, root: str, min_deltas: int = 1) -> Report:

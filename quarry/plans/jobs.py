@@ -107,7 +107,7 @@ def load_catalogue(items: DataFrame, table_root: str, vectors_root: str, order:
     DT.create(spark, vectors_root, VECTOR, "id", buckets)
     firsts = D.dedupe_first(items.where(~F.coalesce(F.col("url") == "", F.lit(True))), "url", order).drop("id")
     raw = I.embed_text(firsts, "catalogue", "embed_text")
-    rows = materialize(I.project_defaults(raw, ITEM_DEFAULTS).withColumn("created_at", F.current_timestamp()), "catalogue")
+    rows = DT.stage(I.project_defaults(raw, ITEM_DEFAULTS).withColumn("created_at", F.current_timestamp()))
     added = DT.insert_new(spark, table_root, rows, order, id_col="id")
     ids = DT.read(spark, table_root, rows).select("url", "id")
     vec = EM.embed_hashed(rows.where(~T.is_blank("embed_text")).join(ids, "url"), "embed_text", dim)
@@ -117,7 +117,7 @@ def load_catalogue(items: DataFrame, table_root: str, vectors_root: str, order:
         I.vector_metadata(F.lit(brand), F.col("issue"), F.col("solution"), F.col("product"),
                           F.col("category"), F.col("url"), F.col("id"), gated=False).alias("metadata"),
     )
-    return added, DT.upsert(spark, vectors_root, vectors, "id")
+    return added, DT.upsert(spark, vectors_root, vectors, None)
 
 
 def catalogue_rejects(items: DataFrame) -> DataFrame:
@@ -198,10 +198,10 @@ def load_knowledge(sources: Sequence[DataFrame], brands: Mapping[str, str], defa
     spark = u.sparkSession
     DT.create(spark, table_root, StructType([*KB_RECORD.fields, StructField("key", StringType())]), "key", buckets)
     DT.create(spark, vectors_root, VECTOR, "id", buckets)
-    rows = materialize(u.drop("id").withColumn("key", vector_id()).withColumn("__ord", F.struct("__src", order)), "knowledge")
+    rows = DT.stage(u.drop("id").withColumn("key", vector_id()).withColumn("__ord", F.struct("__src", order)))
     added = DT.insert_new(spark, table_root, rows, "__ord", id_col="id")
     loaded = DT.read(spark, table_root, rows)
-    return added, DT.upsert(spark, vectors_root, knowledge_vectors(loaded, dim), "id")
+    return added, DT.upsert(spark, vectors_root, knowledge_vectors(loaded, dim), None)
 
 
 SOLUTION_CUT = 10_000

@@ -78,11 +78,21 @@ def test_failed_concurrent_repeated_and_empty_loads(spark, workdir, monkeypatch)
     monkeypatch.undo()
     assert stored(spark, root) == {"a": 1}
     assert DT.compact(spark, root).skipped
+    assert DT.upsert(spark, root, frame(spark, [("a", 5), ("d", 4)]), None).written == 2
+    assert stored(spark, root) == {"a": 5, "d": 4}
     assert DT.create(spark, root, spark.createDataFrame([], SCHEMA).schema, "id", 99).buckets == 8
     with pytest.raises(ValueError):
         DT.read(spark, f"{workdir}/nothing")
 
 
+def test_equal_ordinals_give_one_row_of_a_key(spark, workdir):
+    root = table(spark, f"{workdir}/t", 2)
+    ties = spark.createDataFrame([("a", 1, 0), ("a", 2, 0), ("b", 3, 0)], SCHEMA + ", n long")
+    assert DT.insert_new(spark, root, ties, "n").written == 2
+    assert DT.upsert(spark, root, ties, "n").written == 2
+    assert sorted(stored(spark, root)) == ["a", "b"]
+
+
 def test_old_manifests_go(spark, workdir, monkeypatch):
     import os
     monkeypatch.setattr(DT, "KEPT_MANIFESTS", 2)
