@@ -228,28 +228,28 @@ def _load(spark: SparkSession, root: str, batch: DataFrame, order: str, absent_o
     if files:
         stored = _scan(spark, root, m, files).select(F.col(m.key).alias("__key")).distinct()
         chosen = chosen.join(stored, F.col(m.key) == F.col("__key"), "left_anti")
-    if id_col:
-        chosen = assign_ids(chosen, "__order", start=m.next_id, id_col=id_col)
+    chosen = assign_ids(chosen, "__order", start=m.next_id, id_col=id_col) if id_col else materialize(chosen, "delta-keys")
+    n_chosen = chosen.count()
+    report = Report(m.version, n_rows, n_null, n_chosen, len(touched), len(files), total)
+    if not n_chosen and txn is None:
+        return report
     rows = staged.drop(*([id_col] if id_col else [])).join(chosen.select(ROW, *([id_col] if id_col else [])), ROW)
-    done, written, _ = _write_load(spark, root, m, rows.select(*_conform(rows, m)), txn, bool(id_col))
-    return Report(done.version, n_rows, n_null, written, len(touched), len(files), total)
+    name, buckets = _write(spark, root, m, rows.select(*_conform(rows, m))) if n_chosen else ("", [])
+    done = _add(spark, root, m, name, buckets, txn, n_chosen if id_col else 0)
+    return replace(report, version=done.version)
 
 
 def _applied(m: Manifest, txn: tuple[str, int] | None) -> bool:
     return txn is not None and m.applied.get(txn[0], -1) >= txn[1]
 
 
-def _write_load(spark: SparkSession, root: str, m: Manifest, rows: DataFrame, txn: tuple[str, int] | None, numbered: bool = False) -> tuple[Manifest, int, int]:
-    """Write rows of unlike keys as a load and commit it: (the manifest, rows
-    written, buckets they are in)."""
-    name, buckets = _write(spark, root, m, rows)
-    written = _scan(spark, root, m, [(b, name) for b in buckets]).count()
+def _add(spark: SparkSession, root: str, m: Manifest, name: str, buckets: list[int], txn: tuple[str, int] | None, ids: int = 0) -> Manifest:
+    """Commit a written load."""
     loads = {b: list(one) for b, one in m.loads.items()}
     for b in buckets:
         loads.setdefault(str(b), []).append(name)
     applied = m.applied | ({txn[0]: txn[1]} if txn is not None else {})
-    done = _commit(spark, root, replace(m, version=m.version + 1, loads=loads, applied=applied, next_id=m.next_id + (written if numbered else 0)))
-    return done, written, len(buckets)
+    return _commit(spark, root, replace(m, version=m.version + 1, loads=loads, applied=applied, next_id=m.next_id + ids))
 
 
 def insert_new(spark: SparkSession, root: str, batch: DataFrame, order: str, id_col: str | None = None, txn: tuple[str, int] | None = None) -> Report:
@@ -271,8 +271,10 @@ def upsert(spark: SparkSession, root: str, batch: DataFrame, order: str | None,
     total = len(m.files())
     if _applied(m, txn):
         return Report(m.version, 0, 0, 0, 0, 0, total, True)
-    done, written, touched = _write_load(spark, root, m, batch.select(*_conform(batch, m)), txn)
-    return Report(done.version, written, 0, written, touched, 0, total)
+    name, buckets = _write(spark, root, m, batch.select(*_conform(batch, m)))
+    written = _scan(spark, root, m, [(b, name) for b in buckets]).count()
+    done = _add(spark, root, m, name, buckets, txn)
+    return Report(done.version, written, 0, written, len(buckets), 0, total)
 
 
 def compact(spark: SparkSession, root: str, min_deltas: int = 1) -> Report:

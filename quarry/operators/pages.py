@@ -122,6 +122,15 @@ def keyword_match(text: Column, href: Column, keyword: str) -> Column:
     return F.coalesce(ascii_fold(text).contains(kw) | F.lower(href).contains(kw), F.lit(False))
 
 
+def keyword_or_part_match(text: Column, href: Column, keyword: str, parts=("/article", "/product")) -> Column:
+    """Link text (ASCII-folded) contains the keyword, or the href as written
+    contains the keyword or one of the path parts."""
+    hit = ascii_fold(text).contains(keyword.lower())
+    for part in (keyword, *parts):
+        hit = F.coalesce(hit, F.lit(False)) | href.contains(part)
+    return F.coalesce(hit, F.lit(False))
+
+
 # --- per-page aggregates without a shuffle ---------------------------
 
 def link_counts(pages: DataFrame, marker: str = ".pdf") -> DataFrame:

@@ -24,6 +24,8 @@ from pyspark.sql.types import (ArrayType, IntegerType, MapType, StringType, Stru
                                StructType)
 
 from ..functions import text as T
+from ..functions import url as U
+from .pages import ascii_fold
 
 NODE = StructType([
     StructField("pos", IntegerType()),
@@ -184,6 +186,47 @@ def links_and_embeds(nodes: Column) -> Column:
     return F.concat(a, e)
 
 
+# The containers of result links as (tag, attribute, part of its value).
+RESULT_CONTAINERS = (("div", "id", "searchResults"), ("ul", "class", "results"), ("li", "class", "result"))
+
+
+def container_links(pages: DataFrame, containers=RESULT_CONTAINERS, marker: str = ".pdf", suffix: str = ".pdf",
+                    word: str = "video", embed_type: str = "application/pdf") -> DataFrame:
+    """Document links inside result containers, and embedded documents, in
+    document order and once each: anchors whose href contains ``marker``
+    under an element whose attribute contains the container's value, and
+    ``embed`` elements of ``embed_type``.  Of these, targets (``href``, else
+    ``src``) that end with ``suffix`` or contain ``word`` in any case;
+    ``url`` is resolved against the page.
+
+    Containers are found first and an anchor asks for its own ancestors among
+    them, so a page costs its nodes times their depth."""
+    p = pages if "nodes" in pages.columns else with_nodes(pages)
+    nodes = F.col("nodes")
+
+    def is_container(n):
+        hit = F.lit(False)
+        for tag, name, value in containers:
+            hit = hit | ((n["tag"] == tag) & F.coalesce(attr(n, name).contains(value), F.lit(False)))
+        return hit
+
+    found = F.transform(F.filter(nodes, is_container), lambda n: n["pos"])
+    linked = F.filter(nodes, lambda n: ((n["tag"] == "a") & F.coalesce(attr(n, "href").contains(marker), F.lit(False)) & F.arrays_overlap(n["path"], F.col("__found")))
+                      | ((n["tag"] == "embed") & F.coalesce(attr(n, "type") == embed_type, F.lit(False))))
+    out = p.withColumn("__found", found).select("page_id", F.col("url").alias("page_url"), F.explode_outer(linked).alias("n")).where(F.col("n").isNotNull()).select(
+        "page_id", "page_url", F.col("n.pos").alias("pos"), F.col("n.tag").alias("tag"), href_or_src(F.col("n")).alias("href"))
+    wanted = F.coalesce((F.col("href") != "") & (F.col("href").endswith(suffix) | F.lower("href").contains(word)), F.lit(False))
+    return U.with_resolved(out.where(wanted), "page_url", "href", "url").select("page_id", "pos", "tag", "href", "url")
+
+
+def link_title(n: Column, default: str = "Untitled") -> Column:
+    """A link's own text, else its ``title`` attribute, both with their
+    white space normalised, else ``default``."""
+    def normal(c):
+        return F.nullif(F.trim(F.regexp_replace(c, "[ \\t\\r\\n]+", " ")), F.lit(""))
+    return F.coalesce(normal(n["own_text"]), normal(attr(n, "title")), F.lit(default))
+
+
 # --- C8: links after a marker ----------------------------------------------
 
 def links_after_marker(pages: DataFrame, marker: str = "results", marker_tag: str = "div") -> DataFrame:
@@ -297,6 +340,25 @@ def extract_results(pages: DataFrame, container_tag: str = "div", container_clas
                     .alias("r")).where(F.col("r").isNotNull()).select("page_id", "url", "r.*")
 
 
+def resolve_results(results: DataFrame) -> DataFrame:
+    """``extract_results`` rows with ``link`` and ``doc_link`` resolved
+    against the page; a result without a document link keeps null."""
+    out = results
+    for name in ("link", "doc_link"):
+        out = U.with_resolved(out.withColumnRenamed(name, "__written"), "url", "__written", name).drop("__written")
+    return out.select(*results.columns)
+
+
+def next_link_containing(nodes: Column, label: str = "next") -> Column:
+    """First anchor whose own text (ASCII-folded) or whose aria-label as
+    written contains ``label``, or whose class is ``<label>-page`` or
+    ``pagination-<label>``."""
+    lab = label.lower()
+    return first(nodes, lambda n: (n["tag"] == "a") & (
+        ascii_fold(n["own_text"]).contains(lab) | F.coalesce(attr(n, "aria-label").contains(lab), F.lit(False))
+        | has_class(n, f"{lab}-page") | has_class(n, f"pagination-{lab}")))
+
+
 def next_link_by_label(nodes: Column, label: str = "next") -> Column:
     """First anchor whose class, text or aria-label is ``label``
     (case-insensitive) - the pagination link."""
@@ -308,7 +370,7 @@ def next_link_by_label(nodes: Column, label: str = "next") -> Column:
 
 __all__ = ["node_table", "with_nodes", "links_after_marker", "link_snippet", "extract_cards",
            "extract_results", "attr_or_text", "href_or_src", "links_and_embeds", "next_link_by_label",
-           "parse_nodes"]
+           "parse_nodes", "container_links", "link_title", "resolve_results", "next_link_containing"]
 
 
 def select_any(nodes: Column, *preds) -> Column:

@@ -105,12 +105,14 @@ def load_catalogue(items: DataFrame, table_root: str, vectors_root: str, order:
     spark = items.sparkSession
     DT.create(spark, table_root, PDF_RECORD, "url", buckets)
     DT.create(spark, vectors_root, VECTOR, "id", buckets)
-    firsts = D.dedupe_first(items.where(~F.coalesce(F.col("url") == "", F.lit(True))), "url", order).drop("id")
-    raw = I.embed_text(firsts, "catalogue", "embed_text")
-    rows = DT.stage(I.project_defaults(raw, ITEM_DEFAULTS).withColumn("created_at", F.current_timestamp()))
-    added = DT.insert_new(spark, table_root, rows, order, id_col="id")
-    ids = DT.read(spark, table_root, rows).select("url", "id")
-    vec = EM.embed_hashed(rows.where(~T.is_blank("embed_text")).join(ids, "url"), "embed_text", dim)
+    usable = items.where(~F.coalesce(F.col("url") == "", F.lit(True))).drop("id")
+    staged = DT.stage(usable.withColumn("created_at", F.current_timestamp()))
+    added = DT.insert_new(spark, table_root, I.project_defaults(staged, ITEM_DEFAULTS), order, id_col="id")
+    # keys alone are compared; the texts follow by their row's number
+    firsts = staged.groupBy("url").agg(F.min(F.struct(order, DT.ROW)).alias("__first")).select("url", f"__first.{DT.ROW}")
+    ids = firsts.join(DT.read(spark, table_root, firsts).select("url", "id"), "url").select(DT.ROW, "id")
+    raw = I.embed_text(staged.join(ids, DT.ROW), "catalogue", "embed_text")
+    vec = EM.embed_hashed(I.project_defaults(raw, ITEM_DEFAULTS).where(~T.is_blank("embed_text")), "embed_text", dim)
     vectors = vec.select(
         F.concat(F.lit("doc_"), F.col("id").cast("string")).alias("id"),
         F.col("embedding").cast("array<float>").alias("embedding"),
