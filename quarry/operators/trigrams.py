@@ -29,6 +29,8 @@ BLOCK = 500
 WIDTHS = (16,)
 #: Up to so many wanted trigrams (8 bytes each) go to the tasks as an array, more are joined.
 SENT_GRAMS = 1 << 18
+#: Up to so many keywords, or tests of a keyword on a row, are sent to the tasks, more are joined by shuffles.
+SENT_ROWS = 1 << 17
 #: Characters of texts whose trigrams are emitted together.
 BATCH_CHARS = 1 << 20
 
@@ -79,17 +81,25 @@ def postings(rows: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
 
 def candidates(lists: DataFrame, grams: DataFrame) -> DataFrame:
     """brand, kw, match_id, n_postings (of the rarest trigram): the rows that
-    hold the two rarest trigrams of each keyword.  ``grams``: brand, kw, gram."""
+    hold the two rarest trigrams of each keyword.  ``grams``: brand, kw, gram.
+
+    Lists are small as files and large as rows, so no list is ever sent whole:
+    joins are by counted rows, not by the files' sizes."""
     sizes = lists.groupBy("brand", "gram").agg(F.count(F.lit(1)).alias("n"))
     ranked = grams.join(sizes, ["brand", "gram"], "left").groupBy("brand", "kw").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram"))).alias("g"))
     ranked = ranked.where(F.col("g")[0]["n"] > 0).select("brand", "kw", F.col("g")[0]["n"].alias("n_postings"), F.col("g")[0]["gram"].alias("gram"), F.coalesce(F.get("g", F.lit(1))["gram"], F.col("g")[0]["gram"]).alias("second"))
-    met = lists.join(ranked, ["brand", "gram"]).select("brand", "kw", "n_postings", "match_id", F.col("second").alias("gram"))
-    return met.join(lists, ["brand", "gram", "match_id"], "left_semi").select("brand", "kw", "n_postings", "match_id")
+    ranked = materialize(ranked, "rarest")
+    sent = ranked.count() <= SENT_ROWS
+    asked = ranked.select("brand", "gram").unionByName(ranked.select("brand", F.col("second").alias("gram"))).distinct()
+    lists = lists.join(F.broadcast(asked) if sent else asked.hint("merge"), ["brand", "gram"], "left_semi")
+    met = lists.join(F.broadcast(ranked) if sent else ranked.hint("merge"), ["brand", "gram"]).select("brand", "kw", "n_postings", "match_id", F.col("second").alias("gram"))
+    return met.join(lists.hint("merge"), ["brand", "gram", "match_id"], "left_semi").select("brand", "kw", "n_postings", "match_id")
 
 
 def hits_of(tests: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
     """brand, kw, match_id: the least row of ``tests`` that holds the keyword."""
     own = tests.groupBy("brand", "match_id", F.pmod(F.xxhash64("kw"), F.lit(blocks))).agg(F.collect_list("kw").alias("kws"))
+    own = F.broadcast(own) if tests.limit(SENT_ROWS + 1).count() <= SENT_ROWS else own.hint("merge")
     # the outer form: else the optimizer tests every keyword twice
     met = rows.join(own, ["brand", "match_id"]).select("brand", "match_id", F.explode_outer(F.filter("kws", lambda w: F.contains(F.col("low"), w))).alias("kw"))
     return met.where(F.col("kw").isNotNull()).groupBy("brand", "kw").agg(F.min("match_id").alias("match_id"))

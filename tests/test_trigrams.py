@@ -52,3 +52,16 @@ def test_plans_have_no_constant_key(spark):
     grams = TG.with_grams(df.select("brand", F.col("low").alias("kw"), "low"), "low")
     plan = TG.candidates(TG.postings(df), grams)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("sent", [0, 1000])
+def test_lists_are_never_sent_whole(spark, workdir, monkeypatch, sent):
+    """Lists of many rows are small files: their size must not have them broadcast."""
+    monkeypatch.setattr(TG, "SENT_ROWS", sent, raising=False)
+    df = spark.range(20_000).select(F.col("id").alias("match_id"), F.lit("").alias("brand"), F.lit("abcd").alias("low"))
+    grams = TG.with_grams(spark.createDataFrame([("", "abcd", "abcd")], "brand string, kw string, low string"), "low")
+    TG.postings(df).write.parquet(f"{workdir}/lists")
+    found = TG.candidates(spark.read.parquet(f"{workdir}/lists"), grams)
+    assert found.count() == 20_000
+    joins = [x for x in found._jdf.queryExecution().sparkPlan().toString().split("\n") if "Join" in x and "match_id" in x]
+    assert joins and all("SortMergeJoin" in x for x in joins)
