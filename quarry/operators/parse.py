@@ -14,12 +14,14 @@ work bounded by one page.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import (ArrayType, IntegerType, MapType, StringType, StructField,
                                StructType)
 
@@ -131,9 +133,31 @@ def parse_nodes(html: str | None):
     ]
 
 
-@pandas_udf(ArrayType(NODE))
-def _node_udf(html: pd.Series) -> pd.Series:
-    return pd.Series([parse_nodes(h) for h in html])
+#: Characters of pages whose nodes are held as Python objects at a time.
+CHUNK_CHARS = 1 << 18
+
+
+def node_chunks(html: pa.Array) -> Iterator[pa.Array]:
+    """The node tables of an Arrow batch of pages, some pages at a time: the
+    objects of a whole batch's nodes would take hundreds of times its size."""
+    kind = to_arrow_type(ArrayType(NODE))
+    found, chars = [], 0
+    for page in html:
+        text = page.as_py()
+        nodes = parse_nodes(text)
+        found.append(nodes and [n | {"attrs": list(n["attrs"].items())} for n in nodes])
+        chars += len(text or "")
+        if chars >= CHUNK_CHARS:
+            yield pa.array(found, kind)
+            found, chars = [], 0
+    if found:
+        yield pa.array(found, kind)
+
+
+@arrow_udf(ArrayType(NODE))
+def _node_udf(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for html in batches:
+        yield from node_chunks(html)
 
 
 def node_table(html) -> Column:

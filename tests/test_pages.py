@@ -117,3 +117,17 @@ def test_next_link_by_class_text_or_aria(spark):
     p = spark.createDataFrame([(1, "https://example.com/", html)], "page_id long, url string, html string")
     n = PR.with_nodes(p).select(PR.next_link_by_label(F.col("nodes"), "next")["attrs"]["href"].alias("h")).first()
     assert n["h"] == "/c"
+
+
+def test_node_tables_come_some_pages_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    from quarry.operators import parse as PR
+    pages = [CARDS, None, "", "plain", CARDS * 3] * 20
+    monkeypatch.setattr(PR, "CHUNK_CHARS", len(CARDS) * 4)
+    chunks = list(PR.node_chunks(pa.array(pages)))
+    assert max(map(len, chunks)) <= 5 < len(chunks)
+    got = [row for chunk in chunks for row in chunk.to_pylist(maps_as_pydicts="strict")]
+    assert got == [PR.parse_nodes(p) for p in pages]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").coalesce(1)
+    assert [(r.page_id, r.nodes and len(r.nodes)) for r in PR.with_nodes(df).select("page_id", "nodes").collect()] == [(k, g and len(g)) for k, g in enumerate(got)]
