@@ -179,10 +179,11 @@ def write_routed(df: DataFrame, path: str, route_col: str = "route", mode: str =
     df.write.mode(mode).partitionBy(route_col).option("ignoreNullFields", "false").json(path)
 
 
-def export_json_array(df: DataFrame, path: str) -> None:
-    """One JSON array file.  One file is one task's work, but rows stream
-    through it one Arrow batch at a time; use ``write_jsonl`` for feeds
-    that are read in parallel."""
+def export_json_array(df: DataFrame, path: str, one_file: bool = True) -> None:
+    """One JSON array file, or with ``one_file`` False an array file of each
+    partition's rows.  One file is one task's work, which reads all rows,
+    though they stream through it one Arrow batch at a time: choose array
+    files, or ``write_jsonl``, for feeds that grow."""
     lines = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
 
     def run(batches):
@@ -198,7 +199,7 @@ def export_json_array(df: DataFrame, path: str) -> None:
             yield pd.DataFrame({"value": out})
         yield pd.DataFrame({"value": ["]" if lead == "," else "[]"]})
 
-    lines.coalesce(1).mapInPandas(run, "value string").write.mode("overwrite").text(path)
+    (lines.coalesce(1) if one_file else lines).mapInPandas(run, "value string").write.mode("overwrite").text(path)
 
 
 # --- B9: batched delivery to an external sink --------------------------------

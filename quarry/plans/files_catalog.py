@@ -33,9 +33,9 @@ SELECT url, sha256(issue) AS issue_sha, sha256(solution) AS solution_sha, produc
 
 @register("scan_json_array", SHORT_SQL)
 def scan_json_array(spark, sf):
-    """One JSON-array file, streamed out and scanned in splits."""
+    """JSON-array files, written in parallel and scanned in splits."""
     path = scratch(spark, "array")
-    S.export_json_array(items(spark, sf).select(*FIELDS), path)
+    S.export_json_array(items(spark, sf).select(*FIELDS), path, one_file=False)
     return short(feeds.read_json_array(spark, path).records)
 
 
@@ -61,11 +61,11 @@ def scan_jsonl_files(spark, sf):
 @register("scan_auto_json", f"""
 SELECT CASE WHEN category = 'en' THEN 0 ELSE 1 END::BIGINT AS source_index, url, sha256(issue) AS issue_sha FROM {ITEMS_SQL}""")
 def scan_auto_json(spark, sf):
-    """An array file and JSON Lines files under one reader, in list order;
+    """Array files and JSON Lines files under one reader, in list order;
     a missing path is skipped."""
     it = items(spark, sf)
     array, lines = scratch(spark, "auto"), scratch(spark, "auto") + ".jsonl"
-    S.export_json_array(it.where("category = 'en'").select(*FIELDS), array)
+    S.export_json_array(it.where("category = 'en'").select(*FIELDS), array, one_file=False)
     S.write_jsonl(it.where("category <> 'en'").select(*FIELDS), lines)
     got = feeds.read_auto(spark, [array, lines, f"{lines}-missing"]).records
     return got.select(F.col("source_index").cast("long").alias("source_index"), "url", F.sha2("issue", 256).alias("issue_sha"))

@@ -78,3 +78,23 @@ def test_escaped_quotes():
             want.append(c == 34 and not skip)
             skip = c == 92 and not skip
         assert JS.quotes(np.frombuffer(text, np.uint8)).tolist() == want
+
+
+def test_array_files_of_all_partitions(spark, workdir, monkeypatch):
+    """The registered scans write an array file in each task, not all rows in one."""
+    from pyspark.sql import functions as F
+
+    from quarry.operators import store as S
+    from quarry.plans import files_catalog as FC
+    rows = spark.range(0, 300, 1, 4).where("id < 200").select(F.concat(F.lit("u"), "id").alias("url"), F.lit("x][y").alias("issue"), F.lit("s").alias("solution"), F.lit("p").alias("product"),
+                                                              F.lit("en").alias("category"), F.col("id").cast("int").alias("depth"), F.col("id").alias("ordinal"))
+    S.export_json_array(rows, f"{workdir}/a", one_file=False)
+    feed = FD.read_json_array(spark, f"{workdir}/a")
+    assert feed.records.count() == 200 and feed.rejects.isEmpty()
+    monkeypatch.setattr(FC, "items", lambda spark, sf: rows)
+    written = []
+    monkeypatch.setattr(FC, "scratch", lambda spark, label: written.append(f"{workdir}/{label}{len(written)}") or written[-1])
+    assert FC.scan_json_array(spark, "").count() == 200
+    assert FC.scan_auto_json(spark, "").where("source_index = 0").count() == 200
+    for path in written[:2]:
+        assert spark.read.text(path).select("_metadata.file_path").distinct().count() == 4
