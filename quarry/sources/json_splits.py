@@ -24,6 +24,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ OPENERS, CLOSERS = np.frombuffer(b"[{", np.uint8), np.frombuffer(b"]}", np.uint8
 BLANKS = np.frombuffer(b" \t\r\n\xef\xbb\xbf", np.uint8)  # and a byte order mark
 #: What a row of pieces is: a whole element, its begin, a part with neither end, its end, or the split's counts.
 WHOLE, BEGIN, INNER, END, COUNTS = range(5)
+#: Bytes of a split that are looked at together, in whole rows: a byte takes dozens in numbers.
+RUN_BYTES = 1 << 20
 
 
 def fragments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -45,13 +48,15 @@ def fragments(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, int, int, int]]:
-    """(file, split, first row, end row) of the rows of one split."""
+    """(file, split, first row, end row) of the rows of one split, of some
+    ``RUN_BYTES`` at a time."""
     n = batch.num_rows
     if not n:
         return
     file, split = batch.column("file").dictionary_encode(), batch.column("split").to_numpy()
     code = file.indices.to_numpy()
-    cut = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (split[1:] != split[:-1])))
+    part = np.cumsum(pc.binary_length(batch.column("value")).to_numpy(zero_copy_only=False), dtype=np.int64) // RUN_BYTES
+    cut = np.flatnonzero(np.append(True, (code[1:] != code[:-1]) | (split[1:] != split[:-1]) | (part[1:] != part[:-1])))
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), n], strict=True):
         yield file.dictionary[int(code[a])].as_py(), int(split[a]), a, b
 

@@ -98,3 +98,17 @@ def test_array_files_of_all_partitions(spark, workdir, monkeypatch):
     assert FC.scan_auto_json(spark, "").where("source_index = 0").count() == 200
     for path in written[:2]:
         assert spark.read.text(path).select("_metadata.file_path").distinct().count() == 4
+
+
+def test_a_split_is_looked_at_some_bytes_at_a_time(monkeypatch):
+    import pyarrow as pa
+    text = json.dumps(objects(random.Random(5), 50)).encode()
+    rows = text.split(b"}")
+    batch = pa.RecordBatch.from_arrays([pa.array(["f"] * len(rows)), pa.array([0] * len(rows)), pa.array(rows)], ["file", "split", "value"])
+    monkeypatch.setattr(JS, "RUN_BYTES", 100, raising=False)
+    runs = list(JS._runs(batch))
+    assert len(runs) > 10 and b"".join(JS._bytes(batch.column("value").slice(a, b - a)).tobytes() for _, _, a, b in runs) == text + b"}"
+    cutter, found = JS.Cutter(0, 0, 0), []
+    for _, _, a, b in runs:
+        found += cutter.feed(JS._bytes(batch.column("value").slice(a, b - a)))
+    assert [json.loads(x[4]) for x in found] == objects(random.Random(5), 50)
