@@ -3,7 +3,7 @@
 The default provider is offline and reproducible: tokens are runs of
 letters/digits of the lower-cased text, each token falls in bucket
 ``md5(token)[:8] mod dim``, the bucket counts are L2-normalised.  Token
-splitting runs in the JVM; hashing (cached per distinct token), the bin
+splitting runs in the JVM; hashing (once per distinct token), the bin
 count and the normalisation run on Arrow batches in Python.  A remote provider plugs in via
 ``embed_with`` (one client per partition, batched by Arrow).
 """
@@ -15,9 +15,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from ..schema import EMBEDDING_DIM
@@ -38,26 +40,31 @@ def token_buckets(text, dim: int = EMBEDDING_DIM) -> Column:
     )
 
 
+#: Rows whose tokens are counted together.
+ROWS = 1024
+
+
+def hashed_counts(tokens: pa.Array, dim: int) -> pa.Array:
+    """The normalised bucket counts of each row of an Arrow array of token
+    lists; tokens stay in Arrow, their distinct ones alone are hashed."""
+    out = []
+    for at in range(0, len(tokens), ROWS):
+        part = tokens.slice(at, ROWS)
+        words = part.flatten().dictionary_encode()
+        buckets = np.array([int(hashlib.md5(t.encode("utf-8")).hexdigest()[:8], 16) % dim for t in words.dictionary.to_pylist()], dtype=np.int64)
+        row = np.repeat(np.arange(len(part)), pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False))
+        v = np.bincount(row * dim + buckets[words.indices.to_numpy(zero_copy_only=False)], minlength=len(part) * dim).astype(np.float64).reshape(len(part), dim)
+        n = np.sqrt((v * v).sum(axis=1, keepdims=True))
+        v = np.divide(v, n, out=v, where=n > 0)
+        offsets = pa.array(np.arange(len(part) + 1, dtype=np.int32) * dim)
+        out.append(pa.ListArray.from_arrays(offsets, pa.array(v.ravel()), mask=part.is_null()))
+    return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.float64()))
+
+
 def _hashed_udf(dim: int):
-    @pandas_udf(ArrayType(DoubleType()))
-    def hashed(tokens: pd.Series) -> pd.Series:
-        cache: dict[str, int] = {}
-        out = []
-        for toks in tokens:
-            if toks is None:
-                out.append(None)
-                continue
-            idx = np.empty(len(toks), dtype=np.int64)
-            for i, t in enumerate(toks):
-                b = cache.get(t)
-                if b is None:
-                    b = int(hashlib.md5(t.encode("utf-8")).hexdigest()[:8], 16) % dim
-                    cache[t] = b
-                idx[i] = b
-            v = np.bincount(idx, minlength=dim).astype(np.float64)
-            n = np.sqrt(np.dot(v, v))
-            out.append(v / n if n > 0 else v)
-        return pd.Series(out)
+    @arrow_udf(ArrayType(DoubleType()))
+    def hashed(tokens: pa.Array) -> pa.Array:
+        return hashed_counts(tokens, dim)
     return hashed
 
 
@@ -66,7 +73,7 @@ def hashed_embedding(text, dim: int = EMBEDDING_DIM) -> Column:
     ``dim``; all zeros for text without tokens; null for null text).
     Tokenisation is native; the bucket of a token is
     ``int(md5(token)[:8], 16) mod dim``, computed once per distinct token
-    of an Arrow batch."""
+    of some rows of an Arrow batch."""
     return _hashed_udf(dim)(tokens(text))
 
 

@@ -200,3 +200,22 @@ def test_file_load_cuts_flags_and_replays(spark, workdir):
     assert rejects.count() == 1
     again, _, _ = J.file_load(spark, path, stored=vectors, cut=12)
     assert sorted(r.id for r in again.collect()) == sorted(r.id for r in vectors.collect())
+
+
+def test_hashed_counts_of_arrow_tokens(monkeypatch):
+    import hashlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    from quarry.operators import embed as EM
+    monkeypatch.setattr(EM, "ROWS", 3)
+    rows = [["a", "é", "a"], None, [], ["b"] * 5, ["a", "b", "c", "d"], None, ["é"]] * 2
+    got = EM.hashed_counts(pa.array([["x"], *rows], pa.list_(pa.string())).slice(1), 8).to_pylist()
+    for tokens, vector in zip(rows, got, strict=True):
+        if tokens is None:
+            assert vector is None
+            continue
+        want = np.bincount([int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % 8 for t in tokens], minlength=8).astype(float)
+        n = np.sqrt(want @ want)
+        assert vector == (want / n if n else want).tolist()
