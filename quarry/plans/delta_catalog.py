@@ -129,6 +129,8 @@ def job_load_knowledge(spark, sf):
     for sources in ([docs], [docs, pages], [docs, pages]):
         added, _ = J.load_knowledge(sources, BRANDS, DEFAULT_BRAND, table, vectors, buckets=LOAD_BUCKETS)
     has = DT.read(spark, vectors).select(F.col("id").alias("key"), F.lit(True).alias("has_vector"))
-    return DT.read(spark, table).join(has, "key", "left").select(
-        "id", "brand", "url", F.sha2("issue", 256).alias("issue_sha"), F.sha2("solution", 256).alias("solution_sha"),
+    # hashed before the join: no text is shuffled
+    stored = DT.read(spark, table).select("key", "id", "brand", "url", F.sha2("issue", 256).alias("issue_sha"), F.sha2("solution", 256).alias("solution_sha"))
+    return stored.join(has, "key", "left").select(
+        "id", "brand", "url", "issue_sha", "solution_sha",
         F.coalesce("has_vector", F.lit(False)).alias("has_vector"), F.lit(added.written).cast("long").alias("added_again"))

@@ -195,15 +195,17 @@ def load_knowledge(sources: Sequence[DataFrame], brands: Mapping[str, str], defa
     """Load knowledge from several sources into its stored table and its
     vectors, both keyed by the record's hash (``vector_id``): the two loads'
     reports.  Records stored before keep their ids; new ones get those that
-    follow, in source order then ``order``.  A second run adds nothing."""
+    follow, in source order then ``order``.  A second run adds nothing.  The
+    sources must give the same rows whenever they are read."""
     u = knowledge_items(sources, brands, default_brand, source_col)
     spark = u.sparkSession
     DT.create(spark, table_root, StructType([*KB_RECORD.fields, StructField("key", StringType())]), "key", buckets)
     DT.create(spark, vectors_root, VECTOR, "id", buckets)
-    rows = DT.stage(u.drop("id").withColumn("key", vector_id()).withColumn("__ord", F.struct("__src", order)))
-    added = DT.insert_new(spark, table_root, rows, "__ord", id_col="id")
-    loaded = DT.read(spark, table_root, rows)
-    return added, DT.upsert(spark, vectors_root, knowledge_vectors(loaded, dim), None)
+    rows = DT.marked(u.drop("id").withColumn("key", vector_id()).withColumn("__ord", F.struct("__src", order)))
+    keys = DT.keys_of(rows, "key", "__ord")
+    added = DT.insert_new(spark, table_root, rows, "__ord", id_col="id", keys=keys)
+    loaded = DT.read(spark, table_root, keys)
+    return added, DT.upsert(spark, vectors_root, knowledge_vectors(loaded, dim), None, rows=added.rows_in)
 
 
 SOLUTION_CUT = 10_000
