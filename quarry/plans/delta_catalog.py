@@ -101,8 +101,10 @@ def job_load_catalogue(spark, sf):
     for part in (items.where(F.length("solution") < SHORT), items, items):
         added, _ = J.load_catalogue(part, table, vectors, buckets=LOAD_BUCKETS)
     meta = DT.read(spark, vectors).select(F.col("metadata.db_id").cast("long").alias("id"), F.sha2("metadata.solution", 256).alias("meta_solution_sha"))
-    return DT.read(spark, table).join(meta, "id", "left").select(
-        "id", "url", "product", "category", F.sha2("solution", 256).alias("solution_sha"), "meta_solution_sha", F.lit(added.written).cast("long").alias("added_again"))
+    # hashed before the join: no text is shuffled
+    stored = DT.read(spark, table).withColumn("solution_sha", F.sha2("solution", 256)).drop("solution")
+    return stored.join(meta, "id", "left").select(
+        "id", "url", "product", "category", "solution_sha", "meta_solution_sha", F.lit(added.written).cast("long").alias("added_again"))
 
 
 @register("job_load_knowledge", f"""

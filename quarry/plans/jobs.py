@@ -101,17 +101,22 @@ def load_catalogue(items: DataFrame, table_root: str, vectors_root: str, order:
     wins, new rows get the ids that follow) and its vectors (``doc_<id>``,
     replaced by the load's text): the two loads' reports.  The vectors are
     made of all items of the load, so a run that stopped between the two
-    tables is made whole by the next; a second run adds nothing."""
+    tables is made whole by the next; a second run adds nothing.  The items
+    are read, not written, more than once: they must give the same rows each
+    time (``DT.stage`` them first if they don't)."""
     spark = items.sparkSession
     DT.create(spark, table_root, PDF_RECORD, "url", buckets)
     DT.create(spark, vectors_root, VECTOR, "id", buckets)
     usable = items.where(~F.coalesce(F.col("url") == "", F.lit(True))).drop("id")
-    staged = DT.stage(usable.withColumn("created_at", F.current_timestamp()))
-    added = DT.insert_new(spark, table_root, I.project_defaults(staged, ITEM_DEFAULTS), order, id_col="id")
-    # keys alone are compared; the texts follow by their row's number
-    firsts = staged.groupBy("url").agg(F.min(F.struct(order, DT.ROW)).alias("__first")).select("url", f"__first.{DT.ROW}")
-    ids = firsts.join(DT.read(spark, table_root, firsts).select("url", "id"), "url").select(DT.ROW, "id")
-    raw = I.embed_text(staged.join(ids, DT.ROW), "catalogue", "embed_text")
+    marked = DT.marked(usable)
+    keys = DT.keys_of(marked, "url", order)
+    added = DT.insert_new(spark, table_root, I.project_defaults(marked.withColumn("created_at", F.current_timestamp()), ITEM_DEFAULTS), order, id_col="id", keys=keys)
+    # keys alone are compared; the texts follow by their place
+    firsts = keys.groupBy("url").agg(F.min(DT.PLACE).alias(DT.PLACE))
+    ids = firsts.join(DT.read(spark, table_root, firsts).select("url", "id"), "url")
+    placed = marked.withColumn(DT.PLACE, F.struct(F.col(order).alias("o"), F.col(DT.ROW).alias("r")))
+    by = ("url", DT.PLACE)
+    raw = I.embed_text(DT.follow(placed, ids, list(by), lambda both: (both.repartition(*by), ())), "catalogue", "embed_text")
     vec = EM.embed_hashed(I.project_defaults(raw, ITEM_DEFAULTS).where(~T.is_blank("embed_text")), "embed_text", dim)
     vectors = vec.select(
         F.concat(F.lit("doc_"), F.col("id").cast("string")).alias("id"),
@@ -119,7 +124,7 @@ def load_catalogue(items: DataFrame, table_root: str, vectors_root: str, order:
         I.vector_metadata(F.lit(brand), F.col("issue"), F.col("solution"), F.col("product"),
                           F.col("category"), F.col("url"), F.col("id"), gated=False).alias("metadata"),
     )
-    return added, DT.upsert(spark, vectors_root, vectors, None)
+    return added, DT.upsert(spark, vectors_root, vectors, None, rows=added.rows_in)
 
 
 def catalogue_rejects(items: DataFrame) -> DataFrame:

@@ -54,6 +54,10 @@ def test_rows_follow_their_marks_in_one_exchange(spark):
 def test_jobs_load_without_writing_their_batches(spark, workdir):
     items = spark.createDataFrame([(n, f"u{n % 40}", "p", "i", f"s{n}", "docs") for n in range(60)], "ordinal long, url string, product string, issue string, solution string, source string")
     before = staged(spark)
+    added, vectors = J.load_catalogue(items, f"{workdir}/t", f"{workdir}/v", buckets=4)
+    assert (added.rows_in, added.written, vectors.written) == (60, 40, 40)
+    assert {(r.id, r.url, r.solution) for r in DT.read(spark, f"{workdir}/t").collect()} == {(n + 1, f"u{n}", f"s{n}") for n in range(40)}
+    assert {(r.metadata.db_id, r.metadata.solution) for r in DT.read(spark, f"{workdir}/v").collect()} == {(str(n + 1), f"s{n}") for n in range(40)}
     added, vectors = J.load_knowledge([items, items], {}, "generic", f"{workdir}/kt", f"{workdir}/kv", buckets=4)
     assert (added.rows_in, added.written, vectors.written) == (120, 60, 60)
     again, vectors = J.load_knowledge([items], {}, "generic", f"{workdir}/kt", f"{workdir}/kv", buckets=4)
