@@ -28,11 +28,11 @@ table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,8 +56,14 @@ END = b" "
 BLOCK = 4096
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()  # bytes: exactly the ASCII letters and white space
+def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, flat, in Arrow, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.string())))
+    words, sizes = lists.flatten(), np.diff(lists.offsets.to_numpy())
+    some = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty one
+    first = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))
+    end = np.cumsum(sizes)
+    return words.filter(some).view(pa.binary()), first[end] - first[end - sizes]
 
 
 class Shape:
@@ -122,116 +128,154 @@ class Lanes:
         self.start = np.cumsum(self.total) - self.total
         self.steps = int(self.total.max()) if len(total) else 0
 
-    def active(self, t: int) -> int:
-        return int(np.searchsorted(-self.total, -t, side="left"))
+    def active(self, t: np.ndarray) -> np.ndarray:
+        return np.searchsorted(-self.total, -t, side="left")
 
 
-def _softmax(x: np.ndarray, learn: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, where ``learn`` asks for them, and the log of the sum
-    of exponentials), in place."""
-    top = x.max()
-    if top > 60:  # else no sum overflows
+def _exponentials(x: np.ndarray, bound: float) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of exponentials of the rows of ``x``, which become those, and
+    their logs; no x is above ``bound``."""
+    top = x.max() if bound > 60 else 0  # else no sum overflows
+    if top > 60:
         x -= top
     else:
         top = np.float32(0)
     np.exp(x, out=x)
-    total = x.sum(1)
-    if learn:
-        x /= total[:, None]
-    return x, np.log(np.maximum(total, 1e-37)) + top
+    total = np.maximum(x @ np.ones(x.shape[1], x.dtype), np.float32(1e-37))
+    return total, np.log(total) + top
 
 
 class Network:
+    """States are columns, so that gates and candidates are whole rows; a last
+    1 in each state stands for the biases of the outputs."""
+
     def __init__(self, shape: Shape, p: dict[str, np.ndarray]):
-        self.shape, self.p = shape, p
+        self.shape, self.p = shape, dict(p)
+        self.classes = np.concatenate([p["class_w"], p["class_b"][None]])
+        self.words = np.concatenate([p["word_w"], p["word_b"][:, None]], 1)
+        self.p["class_w"], self.p["class_b"] = self.classes[:HIDDEN], self.classes[HIDDEN]
+        self.p["word_w"], self.p["word_b"] = self.words[:, :HIDDEN], self.words[:, HIDDEN]
         self.sums = {k: np.full_like(v, 1e-3) for k, v in p.items()}
 
     def run(self, inputs: np.ndarray, targets: np.ndarray, lanes: Lanes, learn: bool) -> np.ndarray:
         """Log-probability (natural) of each target; ``inputs`` and
         ``targets`` are lane after lane, the last input id starts a text."""
         out = np.zeros(len(targets))
-        state, begin = np.zeros((len(lanes.total), HIDDEN), np.float32), self.shape.n + 1
+        kind = self.p["recur"].dtype
+        state, begin = np.zeros((HIDDEN, len(lanes.total)), kind), self.shape.n + 1
         span = WINDOW if learn else SCORE_STEPS
         for t0 in range(0, lanes.steps, span):
-            steps, hidden, where = [], [], []
-            for t in range(t0, min(t0 + span, lanes.steps)):
-                n = lanes.active(t)
-                at = lanes.start[:n] + t
-                word = inputs[at]
-                h = state[:n]
-                keep = word != begin
-                if not keep.all():
-                    h = h * keep[:, None]
-                x = self.p["inputs"][word]
-                g = h @ self.p["recur"]
-                gate = 1 / (1 + np.exp(-(x[:, :HIDDEN] + g[:, :HIDDEN])))
-                new = np.tanh(x[:, HIDDEN:] + gate * g[:, HIDDEN:])
-                after = new + gate * (h - new)
+            times = np.arange(t0, min(t0 + span, lanes.steps))
+            active = lanes.active(times).tolist()
+            cut = [0, *np.cumsum(active).tolist()]
+            where = np.concatenate([lanes.start[:n] + t for n, t in zip(active, times, strict=True)])
+            word = inputs[where]
+            x = np.ascontiguousarray(self.p["inputs"][word].T)
+            starts = word == begin
+            recur = np.ascontiguousarray(self.p["recur"].T)
+            rows, steps = np.ones((len(where), HIDDEN + 1), kind), []
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                h, fresh = state[:, :b - a], starts[a:b]
+                if fresh.any():
+                    h = h * ~fresh
+                else:
+                    fresh = None
+                g = recur @ h
+                gate = g[:HIDDEN]
+                gate += x[:HIDDEN, a:b]
+                np.negative(gate, out=gate)
+                np.exp(gate, out=gate)
+                gate += 1
+                np.reciprocal(gate, out=gate)
+                new = gate * g[HIDDEN:]
+                new += x[HIDDEN:, a:b]
+                np.tanh(new, out=new)
+                after = h - new
+                after *= gate
+                after += new
                 if learn:
-                    steps.append((word, h, keep, g[:, HIDDEN:], gate, new))
-                hidden.append(after)
-                where.append(at)
+                    steps.append((h, fresh, g[HIDDEN:], gate, new))
+                rows[a:b, :HIDDEN] = after.T
                 state = after
-            where, h = np.concatenate(where), np.concatenate(hidden)
-            lp, dh, grads = self._output(h, targets[where], learn)
+            lp, dh, grads = self._output(rows, targets[where], learn)
             out[where] = lp
             if learn:
-                self._backward(steps, np.split(dh, np.cumsum([len(x) for x in hidden])[:-1]), grads)
+                self._backward(steps, cut, word, np.ascontiguousarray(dh.T), grads)
         return out
 
     def _output(self, h: np.ndarray, target: np.ndarray, learn: bool):
-        s, p = self.shape, self.p
-        kind = s.class_of[target]
-        scores = h @ p["class_w"] + p["class_b"]
+        s = self.shape
+        kind = s.class_of[target].astype(np.int16)
+        order = np.argsort(kind, kind="stable")  # by class
+        h, target, kind = h[order], target[order], kind[order]
+        cut = np.searchsorted(kind, np.arange(s.rare_class + 1)).tolist()
         rows = np.arange(len(h))
+        # no state is above 1
+        bound = float(np.abs(self.classes).sum(0).max())
+        scores = h @ self.classes
         lp = scores[rows, kind].astype(np.float64)
-        prob, log_sum = _softmax(scores, learn)
+        total, log_sum = _exponentials(scores, bound)
         lp -= log_sum
         dh, grads = None, None
         scale = np.float32(1 / np.sqrt(len(h)))
         if learn:
-            prob[rows, kind] -= 1
-            prob *= scale
-            dh = prob @ p["class_w"].T
-            grads = {"class_w": h.T @ prob, "class_b": prob.sum(0), "word_w": np.zeros_like(p["word_w"]), "word_b": np.zeros_like(p["word_b"])}
-        order = np.argsort(kind.astype(np.int16), kind="stable")
-        cut = np.searchsorted(kind[order], np.arange(s.rare_class + 1))
+            scores *= (scale / total)[:, None]
+            scores[rows, kind] -= scale
+            dh = scores @ self.classes[:HIDDEN].T
+            classes, words = h.T @ scores, np.zeros_like(self.words)
+        bound = float(np.abs(self.words).sum(1).max(initial=0))
         for c in range(s.rare_class):
             a, b = s.first[c], s.first[c + 1]
-            if cut[c] == cut[c + 1] or b - a == 1:
+            i, j = cut[c], cut[c + 1]
+            if i == j or b - a == 1:
                 continue
-            mine = order[cut[c]:cut[c + 1]]
-            hc, w = h[mine], target[mine] - a
-            scores = hc @ p["word_w"][a:b].T + p["word_b"][a:b]
-            r = np.arange(len(mine))
-            own = scores[r, w].astype(np.float64)
-            prob, log_sum = _softmax(scores, learn)
-            lp[mine] += own - log_sum
+            hc, w, r = h[i:j], target[i:j] - a, rows[:j - i]
+            scores = hc @ self.words[a:b].T
+            lp[i:j] += scores[r, w]
+            total, log_sum = _exponentials(scores, bound)
+            lp[i:j] -= log_sum
             if learn:
-                prob[r, w] -= 1
-                prob *= scale
-                grads["word_w"][a:b] = prob.T @ hc
-                grads["word_b"][a:b] = prob.sum(0)
-                dh[mine] += prob @ p["word_w"][a:b]
-        return lp, dh, grads
-
-    def _backward(self, steps, dhs, grads) -> None:
-        later = np.zeros((0, HIDDEN), np.float32)
-        d_in, d_rec = [None] * len(steps), [None] * len(steps)
+                scores *= (scale / total)[:, None]
+                scores[r, w] -= scale
+                np.matmul(scores.T, hc, out=words[a:b])
+                dh[i:j] += scores @ self.words[a:b, :HIDDEN]
+        back = np.empty_like(order)
+        back[order] = rows
+        if learn:
+            dh = dh[back]
+            grads = {"class_w": classes[:HIDDEN], "class_b": classes[HIDDEN], "word_w": words[:, :HIDDEN], "word_b": words[:, HIDDEN]}
+        return lp[back], dh, grads
+
+    def _backward(self, steps, cut, word, dh, grads) -> None:
+        later = dh[:, :0]
+        d_in, d_rec = np.empty((2 * HIDDEN, len(word)), dh.dtype), np.empty((2 * HIDDEN, len(word)), dh.dtype)
         for k in range(len(steps) - 1, -1, -1):
-            _, h, keep, hn, gate, new = steps[k]
-            d = dhs[k].copy()
-            d[:len(later)] += later
-            d_new = d * (1 - gate) * (1 - new * new)
-            d_gate = (d * (h - new) + d_new * hn) * gate * (1 - gate)
-            d_in[k] = np.concatenate([d_gate, d_new], 1)
-            d_rec[k] = np.concatenate([d_gate, d_new * gate], 1)
-            later = (d * gate + d_rec[k] @ self.p["recur"].T) * keep[:, None]
-        grads["recur"] = np.concatenate([x[1] for x in steps]).T @ np.concatenate(d_rec)
-        word, flat = np.concatenate([x[0] for x in steps]), np.concatenate(d_in)
-        order = np.argsort(word, kind="stable")
-        rows, first = np.unique(word[order], return_index=True)
-        self._step("inputs", rows, np.add.reduceat(flat[order], first))
+            h, fresh, hn, gate, new = steps[k]
+            a, b = cut[k], cut[k + 1]
+            d = dh[:, a:b]
+            d[:, :later.shape[1]] += later
+            shut = 1 - gate
+            d_new = new * new
+            np.subtract(1, d_new, out=d_new)
+            d_new *= d
+            d_new *= shut
+            d_gate = h - new
+            d_gate *= d
+            d_gate += d_new * hn
+            shut *= gate
+            d_gate *= shut
+            d_in[:HIDDEN, a:b], d_in[HIDDEN:, a:b] = d_gate, d_new
+            d_rec[:HIDDEN, a:b] = d_gate
+            np.multiply(d_new, gate, out=d_rec[HIDDEN:, a:b])
+            later = self.p["recur"] @ d_rec[:, a:b]
+            later += d * gate
+            if fresh is not None:
+                later *= ~fresh
+        grads["recur"] = np.concatenate([x[0] for x in steps], 1) @ d_rec.T
+        order = np.argsort(word.astype(np.int16 if self.shape.n < 32000 else np.int32), kind="stable")
+        by_word = word[order]
+        first = np.flatnonzero(np.append(True, by_word[1:] != by_word[:-1]))
+        self._step("inputs", by_word[first], np.add.reduceat(np.ascontiguousarray(d_in.T)[order], first))
         for k in ("recur", "class_w", "class_b", "word_w", "word_b"):
             self._step(k, slice(None), grads[k])
 
@@ -251,21 +295,23 @@ class Words:
     whose counts are known; -1 for all the rest."""
 
     def __init__(self, words: list[bytes], counts: np.ndarray, shape: Shape):
-        self.ids = {w: k for k, w in enumerate(words)}
+        self.words = pa.array(words, pa.binary())
+        self.end = words.index(END) if END in words else -1
         self.counts, self.shape = counts, shape
 
-    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Ids of all texts' words and ends, flat; tokens of each text; its
-        words without an id."""
-        get, end = self.ids.get, self.ids.get(END, -1)
-        parts, lengths, unknown = [], [], []
-        for text in texts:
-            words = words_of(text)
-            ids = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
-            unknown.append([words[k] for k in np.flatnonzero(ids < 0).tolist()])
-            parts += [ids, np.array([end], np.int32)]
-            lengths.append(len(words) + 1)
-        return np.concatenate(parts), np.array(lengths), unknown
+    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Ids of all texts' words and ends, flat; tokens of each text; the
+        lists of its words without an id."""
+        words, sizes = words_of(texts)
+        found = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        lengths = sizes + 1
+        ids = np.full(int(lengths.sum()), self.end, np.int32)
+        inner = np.ones(len(ids), bool)
+        inner[np.cumsum(lengths) - 1] = False
+        ids[inner] = found
+        lost = found < 0
+        offsets = np.append(0, np.cumsum(lost))[np.append(0, np.cumsum(sizes))].astype(np.int32)
+        return ids, lengths, pa.ListArray.from_arrays(offsets, words.filter(pa.array(lost)))
 
     def run(self, network: Network, ids: np.ndarray, lengths: np.ndarray, n_lanes: int, learn: bool) -> np.ndarray:
         """Log-probability of each token, in the order of ``ids``."""
@@ -298,11 +344,9 @@ def count_words(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, chunk in chunks(batch, TEXT_BYTES):
-                seen: Counter[bytes] = Counter()
-                for text in _bytes(chunk):
-                    seen.update(words_of(text))
-                seen[END] += chunk.n
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
+                seen = pc.value_counts(words_of(_bytes(chunk))[0])
+                words = pa.concat_arrays([seen.field("values"), pa.array([END], pa.binary())])
+                yield pa.RecordBatch.from_arrays([words, pa.concat_arrays([seen.field("counts"), pa.array([chunk.n], pa.int64())])], ["word", "c"])
 
     return texts_of(docs).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -395,7 +439,7 @@ def score(docs: DataFrame, vocabulary: int = VOCABULARY, known: int = KNOWN) ->
                 lp += np.where((ids >= own.shape.n) | ~has, log_c - log_rare, 0.0)
                 in_counts = has & (own.counts[np.maximum(ids, 0)] > 0)
                 sums = [np.add.reduceat(x, first) for x in (in_counts.astype(np.int64), log_c - log_base, lp)]
-                columns = [pa.array(row + np.arange(chunk.n), pa.int64()), batch.column(0).slice(at, end - at), pa.array(lengths, pa.int64()), *map(pa.array, sums), pa.array(unknown, pa.list_(pa.binary()))]
+                columns = [pa.array(row + np.arange(chunk.n), pa.int64()), batch.column(0).slice(at, end - at), pa.array(lengths, pa.int64()), *map(pa.array, sums), unknown]
                 row += chunk.n
                 yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "unknown"])
 
